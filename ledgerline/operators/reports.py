@@ -6,7 +6,7 @@ ranking has the group's key as last sort column, so equal measures cannot swap.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerline.functions import columns as fn
 from ledgerline.operators.accounts import newest_first, _month_rows
@@ -26,16 +26,23 @@ def largest_first(groups: DataFrame, measure: str, *keys: str) -> DataFrame:
     return groups.orderBy(F.col(measure).desc(), *[F.col(k).asc() for k in keys])
 
 
+def _with_percent(groups: DataFrame, measure: str) -> DataFrame:
+    shared = groups.withColumn("PCT", fn.percent(F.col(measure), F.col("TOTAL")))
+    return shared.withColumn("PCT_LABEL", fn.percent_label(F.col("PCT")))
+
+
 def with_share(groups: DataFrame, measure: str) -> DataFrame:
     """Adds the sum over all groups, each group's percentage of it and a label.
 
     The sum is a scalar subquery on the grouped rows: its aggregation reuses the
     shuffle of the groups, and no window gathers all groups in one task.
     """
-    total = groups.agg(F.sum(measure).alias("total")).scalar()
-    pct = fn.percent(F.col(measure), F.col("TOTAL"))
-    shared = groups.withColumn("TOTAL", total).withColumn("PCT", pct)
-    return shared.withColumn("PCT_LABEL", fn.percent_label(F.col("PCT")))
+    return _with_percent(groups.withColumn("TOTAL", groups.agg(F.sum(measure)).scalar()), measure)
+
+
+def with_share_of_top(top: DataFrame, measure: str) -> DataFrame:
+    """The same within a top-k result, whose k rows already sit in one task."""
+    return _with_percent(top.withColumn("TOTAL", F.sum(measure).over(Window.partitionBy())), measure)
 
 
 def leaders(groups: DataFrame, measure: str) -> DataFrame:
@@ -89,7 +96,7 @@ def top_customers(txn: DataFrame, k: int = 10) -> DataFrame:
 
 def top_customers_share(txn: DataFrame, k: int = 10) -> DataFrame:
     """The same customers with each one's share of what they total together."""
-    return _share_of_top(top_customers(txn, k), "TOTAL_VALUE")
+    return with_share_of_top(top_customers(txn, k), "TOTAL_VALUE")
 
 
 def txn_by_zip_month(txn: DataFrame, customers: DataFrame, zip_code: int, year: int, month: int) -> DataFrame:
@@ -117,7 +124,7 @@ def top_months(txn: DataFrame, k: int = 3) -> DataFrame:
 
 
 def top_months_share(txn: DataFrame, k: int = 3) -> DataFrame:
-    return _share_of_top(top_months(txn, k), "TXN_COUNT")
+    return with_share_of_top(top_months(txn, k), "TXN_COUNT")
 
 
 # --- branches ---------------------------------------------------------------
@@ -147,7 +154,3 @@ def branch_state_totals(txn: DataFrame, branches: DataFrame) -> DataFrame:
 
 def branch_state_total(txn: DataFrame, branches: DataFrame, state: str) -> DataFrame:
     return branch_state_totals(txn, branches.where(F.col("BRANCH_STATE") == state))
-
-
-def _share_of_top(top: DataFrame, measure: str) -> DataFrame:
-    return with_share(top, measure)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ledgerline import schemas, testviews as v
 from ledgerline.functions import columns as fn
 from ledgerline.operators import accounts, clean, loans, quality, reports
+from ledgerline.plans import etl
 from ledgerline.session import shared_folder
 from ledgerline.sinks import files
 from ledgerline.sources import json
@@ -104,7 +105,8 @@ def loan_accepted(spark, sf):
 
 
 def loan_rejects(spark, sf):
-    return quality.rejected(_flagged_feed(spark, sf), "Application_ID")
+    """The flagged feed is used three times, so it is written once."""
+    return quality.rejected(etl.staged(_flagged_feed(spark, sf), "loan-feed"), "Application_ID")
 
 
 def loan_duplicate_keys(spark, sf):
@@ -179,7 +181,7 @@ def customer_email_upsert(spark, sf):
 
 
 def email_requests_unmatched(spark, sf):
-    return accounts.unmatched_keys(v.customer(spark, sf), v.email_requests(spark, sf))
+    return accounts.unmatched_keys(v.raw_customer(spark, sf, "SSN"), v.email_requests(spark, sf))
 
 
 def customer_lookup(spark, sf):
@@ -194,7 +196,7 @@ def customer_lookup_bulk(spark, sf):
 def lookup_unmatched_keys(spark, sf):
     """Part numbers taken as customer keys; the higher ones belong to nobody."""
     wanted = v.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("SSN"))
-    return accounts.unmatched_keys(v.customer(spark, sf), wanted)
+    return accounts.unmatched_keys(v.raw_customer(spark, sf, "SSN"), wanted)
 
 
 def monthly_bill(spark, sf):
@@ -215,7 +217,8 @@ def customer_txn_between(spark, sf):
 # --- reports ----------------------------------------------------------------
 
 def txn_by_zip_month(spark, sf):
-    return reports.txn_by_zip_month(v.card(spark, sf), v.customer(spark, sf), ZIP, 1998, 1)
+    customers = v.raw_customer(spark, sf, "SSN", "CUST_ZIP").withColumn("CUST_ZIP", fn.zip_or_unknown(F.col("CUST_ZIP")))
+    return reports.txn_by_zip_month(v.card(spark, sf), customers, ZIP, 1998, 1)
 
 
 def type_totals(spark, sf):
