@@ -52,14 +52,15 @@ def monthly_bill_bulk(txn: DataFrame, requests: DataFrame) -> DataFrame:
     """Bills for ``requests(CUST_CC_NO, YEAR, MONTH)``, which may repeat.
 
     Requests are deduplicated before the join; a card with very many rows in
-    one month is split by adaptive execution, as the fact is the outer side.
+    one month is split by adaptive execution, as the fact is the outer side. On
+    a table partitioned by month the requests also prune what is read of it.
     """
-    wanted = distinct_keys(
-        requests.select("CUST_CC_NO", fn.calendar_date(F.col("YEAR"), F.col("MONTH"), F.lit(1)).alias("_month")),
-        "CUST_CC_NO", "_month",
-    )
-    rows = txn.withColumn("_month", F.trunc("TXN_DATE", "MM"))
-    return rows.join(wanted, ["CUST_CC_NO", "_month"], "left_semi").select(*txn.columns)
+    wanted = distinct_keys(requests, "CUST_CC_NO", "YEAR", "MONTH").withColumnRenamed("CUST_CC_NO", "_card")
+    stored = {"TXN_YEAR", "TXN_MONTH"} <= set(txn.columns)
+    year = F.col("TXN_YEAR") if stored else F.year("TXN_DATE")
+    month = F.col("TXN_MONTH") if stored else F.month("TXN_DATE")
+    same = (F.col("CUST_CC_NO") == F.col("_card")) & (year == F.col("YEAR")) & (month == F.col("MONTH"))
+    return txn.join(wanted, same, "left_semi")
 
 
 def transactions_between(txn: DataFrame, ssn: int, first: dt.date, last: dt.date) -> DataFrame:

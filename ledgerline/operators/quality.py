@@ -51,8 +51,11 @@ def flag(batch: DataFrame, rules: list[Rule]) -> DataFrame:
     """Adds the first broken rule's name, NULL for sound rows. No shuffle."""
     if CORRUPT in batch.columns:
         rules = [not_corrupt(), *rules]
-    reasons = [F.when(rule.broken, F.lit(rule.reason)) for rule in rules]
-    return batch.withColumn(REASON, F.coalesce(*reasons, F.lit(None).cast("string")))
+    first, *rest = rules
+    reason = F.when(first.broken, F.lit(first.reason))
+    for rule in rest:
+        reason = reason.when(rule.broken, F.lit(rule.reason))
+    return batch.withColumn(REASON, reason)
 
 
 def _sound(flagged: DataFrame) -> DataFrame:

@@ -1,0 +1,38 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from ledgerline.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session(
+        "tests",
+        4,
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.maxMetadataStringLength": "10000",
+            "spark.checkpoint.dir": str(shared / "scratch"),
+            "spark.sql.warehouse.dir": str(shared / "warehouse"),
+        },
+    )
+    yield session
+    session.stop()
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().toString()
+
+
+def final_plan(df) -> str:
+    """The physical plan after the frame has run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from conftest import final_plan
+from ledgerline.operators import accounts
+
+CUSTOMER = "SSN int, FIRST_NAME string, LAST_NAME string, CUST_EMAIL string, CUST_ZIP int"
+TXN = (
+    "CUST_CC_NO string, TIMEID string, TXN_DATE date, CUST_SSN int, BRANCH_CODE int, "
+    "TRANSACTION_TYPE string, TRANSACTION_VALUE decimal(18,2), TRANSACTION_ID bigint"
+)
+
+
+@pytest.fixture(scope="module")
+def customers(spark):
+    return spark.createDataFrame(
+        [(1, "Ann", "Ash", "ann@x", 7501), (2, "Bo", "Birk", "bo@x", 7501), (3, "Cy", "Cole", "cy@x", 60601)], CUSTOMER
+    )
+
+
+def txn(spark, *rows):
+    return spark.createDataFrame(
+        [(card, None if day is None else day.strftime("%Y%m%d"), day, ssn, 1, "Gas", Decimal("5.00"), number)
+         for card, day, ssn, number in rows],
+        TXN,
+    )
+
+
+@pytest.fixture(scope="module")
+def history(spark):
+    return txn(
+        spark,
+        ("A", dt.date(2018, 2, 1), 1, 1),
+        ("A", dt.date(2018, 2, 14), 1, 2),
+        ("A", dt.date(2018, 2, 14), 1, 3),
+        ("A", dt.date(2018, 2, 28), 1, 4),
+        ("A", dt.date(2018, 3, 1), 1, 5),
+        ("A", dt.date(2018, 10, 1), 1, 6),
+        ("A", dt.date(2017, 2, 3), 1, 7),
+        ("B", dt.date(2018, 2, 14), 2, 8),
+        ("A", None, 1, 9),
+    )
+
+
+def ids(df):
+    return [r.TRANSACTION_ID for r in df.collect()]
+
+
+def test_lookup_names_its_fields(customers):
+    row = accounts.customer_lookup(customers, 2).first()
+    assert (row.FIRST_NAME, row.LAST_NAME) == ("Bo", "Birk")
+    assert accounts.customer_lookup(customers, 9).count() == 0
+
+
+def test_bulk_lookup_and_unmatched_keys(spark, customers):
+    wanted = spark.createDataFrame([(3,), (3,), (1,), (9,), (9,)], "SSN int")
+    assert sorted(r.SSN for r in accounts.customer_lookup_bulk(customers, wanted).collect()) == [1, 3]
+    assert [r.SSN for r in accounts.unmatched_keys(customers, wanted).collect()] == [9]
+
+
+def test_monthly_bill_newest_first(history):
+    assert ids(accounts.monthly_bill(history, "A", 2018, 2)) == [4, 2, 3, 1]
+    assert ids(accounts.monthly_bill(history, "A", 2018, 12)) == []
+
+
+def test_range_includes_both_ends_and_orders_by_date(history):
+    rows = accounts.transactions_between(history, 1, dt.date(2018, 2, 1), dt.date(2018, 10, 1))
+    assert ids(rows) == [6, 5, 4, 2, 3, 1]
+
+
+def test_range_takes_the_customer_and_not_the_card(history):
+    assert ids(accounts.transactions_between(history, 2, dt.date(2018, 1, 1), dt.date(2018, 12, 31))) == [8]
+
+
+def test_bulk_bill(spark, history):
+    requests = spark.createDataFrame([("A", 2018, 2), ("A", 2018, 2), ("B", 2018, 3), ("A", 2017, 2)], "CUST_CC_NO string, YEAR int, MONTH int")
+    assert sorted(ids(accounts.monthly_bill_bulk(history, requests))) == [1, 2, 3, 4, 7]
+
+
+def test_latest_update_wins(spark, customers):
+    at = dt.datetime
+    requests = spark.createDataFrame(
+        [(1, at(2024, 1, 2), "second"), (1, at(2024, 1, 1), "first"), (2, at(2024, 1, 1), None), (9, at(2024, 1, 1), "nobody")],
+        "SSN int, REQUESTED_AT timestamp, CUST_EMAIL string",
+    )
+    updated = {r.SSN: r for r in accounts.apply_updates(customers, requests).collect()}
+    assert {k: r.CUST_EMAIL for k, r in updated.items()} == {1: "second", 2: "bo@x", 3: "cy@x"}
+    assert updated[1].FIRST_NAME == "Ann"
+    assert [r.SSN for r in accounts.unmatched_keys(customers, requests).collect()] == [9]
+
+
+def test_several_columns_change_together(spark, customers):
+    requests = spark.createDataFrame(
+        [(3, dt.datetime(2024, 1, 1), "new", 10001)], "SSN int, REQUESTED_AT timestamp, CUST_EMAIL string, CUST_ZIP int"
+    )
+    row = accounts.apply_updates(customers, requests, ("CUST_EMAIL", "CUST_ZIP")).where("SSN = 3").first()
+    assert (row.CUST_EMAIL, row.CUST_ZIP, row.LAST_NAME) == ("new", 10001, "Cole")
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds lowered so that adaptive execution treats test data like a large table."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_card_with_a_third_of_all_rows_is_split_and_kept_whole(spark, small_partitions):
+    rows = spark.range(0, 30000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'HOT' ELSE concat('C', id % 500) END AS CUST_CC_NO",
+        "'20180214' AS TIMEID", "date'2018-02-14' AS TXN_DATE", "cast(id AS int) AS CUST_SSN", "1 AS BRANCH_CODE",
+        "'Gas' AS TRANSACTION_TYPE", "cast(1 AS decimal(18,2)) AS TRANSACTION_VALUE", "id AS TRANSACTION_ID",
+    )
+    requests = rows.selectExpr("CUST_CC_NO", "2018 AS YEAR", "2 AS MONTH").where("CUST_CC_NO <> 'C7'")
+    bills = accounts.monthly_bill_bulk(rows, requests)
+    text = final_plan(bills)
+    assert "skew=true" in text
+    assert sorted(ids(bills)) == [n for n in range(30000) if n % 3 == 0 or n % 500 != 7]

@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from ledgerline import schemas
+from ledgerline.operators import clean
+
+UPDATED = dt.datetime(2020, 5, 1, 8, 30)
+
+
+def test_branch(spark):
+    raw = spark.createDataFrame(
+        [
+            (1, "North", "1 Oak St", "Paterson", "NJ", 7501, "1234565276", UPDATED),
+            (2, "South", "2 Oak St", "Miami", "FL", None, "4565276", UPDATED),
+        ],
+        schemas.BRANCH,
+    )
+    first, second = clean.clean_branch(raw).orderBy("BRANCH_CODE").collect()
+    assert (first.BRANCH_ZIP, first.BRANCH_ZIP5, first.BRANCH_PHONE) == (7501, "07501", "(123)456-5276")
+    assert (second.BRANCH_ZIP, second.BRANCH_ZIP5, second.BRANCH_PHONE) == (99999, "99999", "4565276")
+    assert first.LAST_UPDATED == UPDATED
+
+
+def test_customer(spark):
+    raw = spark.createDataFrame(
+        [(9, "mcDONALD-smith anna", "LEE", "O'neil", "4001", "Elm St", None, "Ames", "IA", "US", 501, "9876543210", "a@b.c", UPDATED)],
+        schemas.CUSTOMER,
+    )
+    row = clean.clean_customer(raw).first()
+    assert row.asDict() == {
+        "SSN": 9, "FIRST_NAME": "Mcdonald-smith Anna", "MIDDLE_NAME": "lee", "LAST_NAME": "O'neil",
+        "Credit_card_no": "4001", "FULL_STREET_ADDRESS": "Elm St", "CUST_CITY": "Ames", "CUST_STATE": "IA",
+        "CUST_COUNTRY": "US", "CUST_ZIP": 501, "CUST_ZIP5": "00501", "CUST_PHONE": "(987)654-3210",
+        "CUST_EMAIL": "a@b.c", "LAST_UPDATED": UPDATED,
+    }
+
+
+def test_transaction(spark):
+    raw = spark.createDataFrame(
+        [
+            ("4001", 2018, 2, 4, 9, 1, "Gas", Decimal("10.50"), 1),
+            ("4001", 2018, 2, 30, 9, 1, "Gas", Decimal("10.50"), 2),
+            ("4001", 2018, None, 4, 9, 1, "Gas", None, 3),
+        ],
+        schemas.TRANSACTION,
+    )
+    rows = clean.clean_transaction(raw).orderBy("TRANSACTION_ID").collect()
+    assert rows[0].asDict() == {
+        "CUST_CC_NO": "4001", "TIMEID": "20180204", "TXN_DATE": dt.date(2018, 2, 4), "CUST_SSN": 9,
+        "BRANCH_CODE": 1, "TRANSACTION_TYPE": "Gas", "TRANSACTION_VALUE": Decimal("10.50"), "TRANSACTION_ID": 1,
+    }
+    assert [(r.TIMEID, r.TXN_DATE) for r in rows[1:]] == [(None, None)] * 2
+
+
+def test_cleaning_is_narrow(spark):
+    raw = spark.createDataFrame([], schemas.CUSTOMER)
+    text = clean.clean_customer(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Python" not in text
