@@ -18,7 +18,7 @@ def integer(value: Column, kind: str = "int") -> Column:
 
 
 def zip_or_unknown(value: Column) -> Column:
-    return F.coalesce(integer(value), F.lit(UNKNOWN_ZIP))
+    return F.when(value.isNull(), UNKNOWN_ZIP).otherwise(integer(value))
 
 
 def zip_text(zip_code: Column) -> Column:

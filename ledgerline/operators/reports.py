@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerline.functions import columns as fn
-from ledgerline.operators.accounts import newest_first, _month_rows
+from ledgerline.operators.accounts import month_rows, newest_first
 
 
 # --- groups -----------------------------------------------------------------
@@ -106,7 +106,7 @@ def txn_by_zip_month(txn: DataFrame, customers: DataFrame, zip_code: int, year:
     the join strategy is left to the sizes Spark sees at run time.
     """
     local = customers.where(F.col("CUST_ZIP") == zip_code).select("SSN", "CUST_ZIP")
-    rows = _month_rows(txn, year, month)
+    rows = month_rows(txn, year, month)
     joined = rows.join(local, rows["CUST_SSN"] == local["SSN"]).drop("SSN")
     return newest_first(joined)
 

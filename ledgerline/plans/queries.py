@@ -205,9 +205,7 @@ def monthly_bill(spark, sf):
 
 def monthly_bill_bulk(spark, sf):
     """Bills for every card and month in which one of its orders had a line shipped."""
-    shipped = v.txn(spark, sf, "CUST_CC_NO", "TXN_DATE")
-    requests = shipped.select("CUST_CC_NO", F.year("TXN_DATE").alias("YEAR"), F.month("TXN_DATE").alias("MONTH"))
-    return accounts.monthly_bill_bulk(v.card(spark, sf), requests)
+    return accounts.monthly_bill_bulk(v.card(spark, sf), v.shipped_months(spark, sf))
 
 
 def customer_txn_between(spark, sf):
@@ -254,11 +252,11 @@ def customers_by_state(spark, sf):
 
 
 def top_customers(spark, sf):
-    return reports.top_customers(v.txn(spark, sf, "CUST_SSN", "TRANSACTION_VALUE"))
+    return reports.top_customers(v.customer_sums(spark, sf))
 
 
 def top_customers_share(spark, sf):
-    return reports.top_customers_share(v.txn(spark, sf, "CUST_SSN", "TRANSACTION_VALUE"))
+    return reports.top_customers_share(v.customer_sums(spark, sf))
 
 
 def top_months(spark, sf):
@@ -282,7 +280,7 @@ def leader_state(spark, sf):
 
 
 def leader_customer(spark, sf):
-    return reports.leaders(reports.totals(v.txn(spark, sf, "CUST_SSN", "TRANSACTION_VALUE"), "CUST_SSN"), "TOTAL_VALUE")
+    return reports.leaders(reports.totals(v.customer_sums(spark, sf), "CUST_SSN"), "TOTAL_VALUE")
 
 
 def leader_branch(spark, sf):

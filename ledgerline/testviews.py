@@ -98,8 +98,8 @@ _RAW_LOAN = {
 # One record per order line: several per key, some without key, some with text
 # that is too long or not a number.
 _LOAN_FEED = {
-    **_RAW_LOAN,
-    "Application_ID": "case when l_discount > 0 or l_tax > 0 then concat('LP', lpad(cast(l_orderkey as string), 12, '0')) end",
+    **{name: name for name in _RAW_LOAN},
+    "Application_ID": "case when l_discount > 0 or l_tax > 0 then Application_ID end",
     "Dependents": "o_orderpriority",
     "Credit_History": "case when l_returnflag = 'R' and l_linestatus = 'F' then 'unknown'"
     " when l_returnflag = 'A' then '1' else '0' end",
@@ -141,8 +141,11 @@ def raw_loan(spark, sf_dir, *wanted: str) -> DataFrame:
 
 
 def loan_feed(spark, sf_dir) -> DataFrame:
-    lookups = [("orders", "l_orderkey = o_orderkey"), _CUSTOMER, _NATION, _REGION]
-    return _view(spark, sf_dir, "lineitem", lookups, _LOAN_FEED)
+    """Order lines with their loan; the lookups are made per order, so lines shuffle once."""
+    kept = {"o_orderkey": "o_orderkey", "o_orderpriority": "o_orderpriority"}
+    loans = _view(spark, sf_dir, "orders", [_CUSTOMER, _NATION, _REGION], {**_RAW_LOAN, **kept})
+    lines = table(spark, sf_dir, "lineitem").join(loans, F.expr("l_orderkey = o_orderkey"), "left")
+    return lines.selectExpr(*[f"{text} AS {name}" for name, text in _LOAN_FEED.items()])
 
 
 def customer(spark, sf_dir) -> DataFrame:
@@ -164,6 +167,32 @@ def txn(spark, sf_dir, *wanted: str) -> DataFrame:
     return _view(spark, sf_dir, "lineitem", lookups, _TXN, wanted)
 
 
+def customer_sums(spark, sf_dir) -> DataFrame:
+    """``txn`` for totals per customer: an order's lines are summed before the
+    customer is looked up, so an order with very many lines shuffles as few rows."""
+    per_order = txn_lines(spark, sf_dir, "l_orderkey", "TRANSACTION_VALUE").groupBy("l_orderkey").agg(
+        F.sum("TRANSACTION_VALUE").alias("TRANSACTION_VALUE")
+    )
+    return _with_order(spark, sf_dir, per_order, "CUST_SSN").select("CUST_SSN", "TRANSACTION_VALUE")
+
+
+def shipped_months(spark, sf_dir) -> DataFrame:
+    """Card and month of every order line, each once per order."""
+    months = txn_lines(spark, sf_dir, "l_orderkey", "TXN_DATE").select(
+        "l_orderkey", F.year("TXN_DATE").alias("YEAR"), F.month("TXN_DATE").alias("MONTH")
+    )
+    return _with_order(spark, sf_dir, months.distinct(), "CUST_CC_NO").select("CUST_CC_NO", "YEAR", "MONTH")
+
+
+def txn_lines(spark, sf_dir, *wanted: str) -> DataFrame:
+    return _view(spark, sf_dir, "lineitem", [], {**_TXN, "l_orderkey": "l_orderkey"}, wanted)
+
+
+def _with_order(spark, sf_dir, lines: DataFrame, column: str) -> DataFrame:
+    orders = _view(spark, sf_dir, "orders", [], {"o_orderkey": "o_orderkey", column: _TXN[column]})
+    return lines.join(orders, F.expr("l_orderkey = o_orderkey"), "left")
+
+
 def loan(spark, sf_dir, *wanted: str) -> DataFrame:
     if wanted:
         return raw_loan(spark, sf_dir, *wanted)

@@ -93,6 +93,16 @@ def test_latest_update_wins(spark, customers):
     assert [r.SSN for r in accounts.unmatched_keys(customers, requests).collect()] == [9]
 
 
+def test_a_request_without_a_value_undoes_no_earlier_one(spark, customers):
+    at = dt.datetime
+    requests = spark.createDataFrame(
+        [(1, at(2024, 1, 1), "new", None), (1, at(2024, 1, 2), None, 10001)],
+        "SSN int, REQUESTED_AT timestamp, CUST_EMAIL string, CUST_ZIP int",
+    )
+    row = accounts.apply_updates(customers, requests, ("CUST_EMAIL", "CUST_ZIP")).where("SSN = 1").first()
+    assert (row.CUST_EMAIL, row.CUST_ZIP) == ("new", 10001)
+
+
 def test_several_columns_change_together(spark, customers):
     requests = spark.createDataFrame(
         [(3, dt.datetime(2024, 1, 1), "new", 10001)], "SSN int, REQUESTED_AT timestamp, CUST_EMAIL string, CUST_ZIP int"
