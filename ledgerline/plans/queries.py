@@ -232,11 +232,13 @@ def type_total_any_case(spark, sf):
 
 
 def branch_state_totals(spark, sf):
-    return reports.branch_state_totals(v.txn(spark, sf, "BRANCH_CODE", "TRANSACTION_VALUE"), v.branch(spark, sf))
+    branches = v.raw_branch(spark, sf, "BRANCH_CODE", "BRANCH_STATE")
+    return reports.branch_state_totals(v.txn(spark, sf, "BRANCH_CODE", "TRANSACTION_VALUE"), branches)
 
 
 def branch_state_total_given(spark, sf):
-    return reports.branch_state_total(v.txn(spark, sf, "BRANCH_CODE", "TRANSACTION_VALUE"), v.branch(spark, sf), STATE)
+    branches = v.raw_branch(spark, sf, "BRANCH_CODE", "BRANCH_STATE")
+    return reports.branch_state_total(v.txn(spark, sf, "BRANCH_CODE", "TRANSACTION_VALUE"), branches, STATE)
 
 
 def txn_count_by_type(spark, sf):

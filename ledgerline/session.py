@@ -8,6 +8,30 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for a cluster and tables of about 100 TB. Adaptive execution joins
+# small shuffle partitions, so the initial number is set for the largest shuffle:
+# 100 TB in 128 MB parts is some 800,000; a report shuffles far less than that.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def cluster_session(app: str, **conf: str) -> SparkSession:
+    """Session of a submitted job; master and ``spark.checkpoint.dir`` come from the cluster."""
+    builder = SparkSession.builder.appName(app)
+    for key, value in {**CLUSTER_SETTINGS, **conf}.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def local_session(app: str, cores: int | str = "*", **conf: str) -> SparkSession:
     """Local session for tests and the benchmark; a cluster passes its own."""
     builder = (

@@ -17,6 +17,22 @@ from ledgerline.operators import clean, quality
 # Key spaces of the test tables may pass INT at scale.
 KEY = "bigint"
 
+# Columns of the supplied tables. Given, they save Spark the job
+# that reads file footers for them.
+_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 _UPDATED = "timestamp'2018-04-21 12:49:02'"
 
 _NATION = ("nation", "c_nationkey = n_nationkey")
@@ -107,7 +123,7 @@ _LOAN_FEED = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _view(spark, sf_dir, fact, lookups, columns, wanted=()) -> DataFrame:
@@ -128,8 +144,8 @@ def raw_customer(spark, sf_dir, *wanted: str) -> DataFrame:
     return _view(spark, sf_dir, "customer", [_NATION, _REGION], _RAW_CUSTOMER, wanted)
 
 
-def raw_branch(spark, sf_dir) -> DataFrame:
-    return _view(spark, sf_dir, "supplier", [("nation", "s_nationkey = n_nationkey")], _RAW_BRANCH)
+def raw_branch(spark, sf_dir, *wanted: str) -> DataFrame:
+    return _view(spark, sf_dir, "supplier", [("nation", "s_nationkey = n_nationkey")], _RAW_BRANCH, wanted)
 
 
 def raw_card(spark, sf_dir, *wanted: str) -> DataFrame:

@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from ledgerline.operators import accounts, reports
 from ledgerline.plans import etl
 from ledgerline.sinks import files
 
@@ -41,6 +42,16 @@ def test_card_deliveries_become_tables(spark, tmp_path, deliveries):
     assert txn.where("TXN_DATE IS NULL").count() == 5
 
 
+def test_reports_run_on_the_stored_tables(spark, tmp_path, deliveries):
+    root = str(tmp_path / "bank")
+    etl.load_bank(spark, *deliveries, root)
+    txn, branches = (files.read_current(spark, f"{root}/{name}") for name in ("transaction", "branch"))
+    assert reports.top_customers(txn).first().LABEL == "1 ($15.00)"
+    assert [r.TXN_COUNT for r in reports.top_months(txn).collect()] == [5]
+    assert accounts.monthly_bill(txn, "4", 2018, 1).count() == 5
+    assert reports.branch_state_totals(txn, branches).first().TXN_COUNT == 10
+
+
 def test_too_many_rejects_publish_nothing(spark, tmp_path, deliveries):
     root = str(tmp_path / "bank")
     with pytest.raises(ValueError, match="1 of 2 rows rejected"):
