@@ -48,19 +48,30 @@ def monthly_bill(txn: DataFrame, card: str, year: int, month: int) -> DataFrame:
     return newest_first(month_rows(txn, year, month).where(F.col("CUST_CC_NO") == card))
 
 
+def monthly_bill_run(txn: DataFrame, cards: DataFrame, year: int, month: int) -> DataFrame:
+    """One month's bills for ``cards(CUST_CC_NO)``, which may repeat."""
+    return month_rows(txn, year, month).join(distinct_keys(cards, "CUST_CC_NO"), "CUST_CC_NO", "left_semi").select(
+        *txn.columns
+    )
+
+
 def monthly_bill_bulk(txn: DataFrame, requests: DataFrame) -> DataFrame:
     """Bills for ``requests(CUST_CC_NO, YEAR, MONTH)``, which may repeat.
 
     Requests are deduplicated before the join; a card with very many rows in
-    one month is split by adaptive execution, as the fact is the outer side. On
-    a table partitioned by month the requests also prune what is read of it.
+    one month is split by adaptive execution, as the fact is the outer side. Of
+    a table partitioned by month only the span of months asked for is read.
     """
     wanted = distinct_keys(requests, "CUST_CC_NO", "YEAR", "MONTH").withColumnRenamed("CUST_CC_NO", "_card")
-    stored = {"TXN_YEAR", "TXN_MONTH"} <= set(txn.columns)
-    year = F.col("TXN_YEAR") if stored else F.year("TXN_DATE")
-    month = F.col("TXN_MONTH") if stored else F.month("TXN_DATE")
+    year, month = F.year("TXN_DATE"), F.month("TXN_DATE")
+    rows = txn
+    if {"TXN_YEAR", "TXN_MONTH"} <= set(txn.columns):
+        year, month = F.col("TXN_YEAR"), F.col("TXN_MONTH")
+        asked = wanted.select((F.col("YEAR") * 12 + F.col("MONTH")).alias("m"))
+        first, last = asked.agg(F.min("m")).scalar(), asked.agg(F.max("m")).scalar()
+        rows = txn.where((year * 12 + month).between(first, last))
     same = (F.col("CUST_CC_NO") == F.col("_card")) & (year == F.col("YEAR")) & (month == F.col("MONTH"))
-    return txn.join(wanted, same, "left_semi")
+    return rows.join(wanted, same, "left_semi")
 
 
 def transactions_between(txn: DataFrame, ssn: int, first: dt.date, last: dt.date) -> DataFrame:

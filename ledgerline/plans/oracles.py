@@ -248,6 +248,10 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "monthly_bill": (("card",), f"""
         SELECT {_CARD} FROM card
         WHERE year(card.TXN_DATE) = 1995 AND month(card.TXN_DATE) = 10 AND CUST_CC_NO = '4000000000000007'"""),
+    "monthly_bill_run": (("card",), f"""
+        SELECT {_CARD} FROM card
+        WHERE year(card.TXN_DATE) = 1998 AND month(card.TXN_DATE) = 1
+              AND CUST_CC_NO IN (SELECT '4' || lpad(CAST(user_id AS VARCHAR), 15, '0') FROM events)"""),
     "monthly_bill_bulk": (("card", "txn"), f"""
         SELECT {_CARD} FROM card
         WHERE (CUST_CC_NO, year(card.TXN_DATE), month(card.TXN_DATE)) IN

@@ -17,7 +17,7 @@ from ledgerline.operators import accounts, clean, loans, quality, reports
 from ledgerline.plans import etl
 from ledgerline.session import shared_folder
 from ledgerline.sinks import files
-from ledgerline.sources import json
+from ledgerline.sources import json, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,7 +126,7 @@ def loan_already_stored(spark, sf):
 
 
 def loan_full_scan(spark, sf):
-    v.loan(spark, sf).createOrReplaceTempView("loan_application")
+    tables.register_views({"loan_application": v.loan(spark, sf)})
     return spark.table("loan_application")
 
 
@@ -203,6 +203,12 @@ def monthly_bill(spark, sf):
     return accounts.monthly_bill(v.card(spark, sf), CARD, 1995, 10)
 
 
+def monthly_bill_run(spark, sf):
+    """January 1998 for the cards of all customers with events."""
+    cards = v.email_requests(spark, sf).select(v.card_number("SSN"))
+    return accounts.monthly_bill_run(v.card(spark, sf), cards, 1998, 1)
+
+
 def monthly_bill_bulk(spark, sf):
     """Bills for every card and month in which one of its orders had a line shipped."""
     return accounts.monthly_bill_bulk(v.card(spark, sf), v.shipped_months(spark, sf))
@@ -329,7 +335,7 @@ _QUERIES = (
     zip_default, phone_format, address_join, name_case, timeid_key,
     customer_email_upsert, email_requests_unmatched,
     customer_lookup, customer_lookup_bulk, lookup_unmatched_keys,
-    monthly_bill, monthly_bill_bulk, customer_txn_between,
+    monthly_bill, monthly_bill_run, monthly_bill_bulk, customer_txn_between,
     txn_by_zip_month, type_totals, type_total_given, type_total_any_case,
     branch_state_totals, branch_state_total_given,
     txn_count_by_type, txn_count_by_type_share, customers_by_state,

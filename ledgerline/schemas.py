@@ -11,6 +11,8 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
+# Names, order and types of the delivered columns.
+
 BRANCH = _struct(
     ("BRANCH_CODE", T.IntegerType()),
     ("BRANCH_NAME", T.StringType()),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.functions import columns as fn
 from ledgerline.operators import clean, quality
@@ -215,6 +215,10 @@ def loan(spark, sf_dir, *wanted: str) -> DataFrame:
     return quality.as_stored_loan(raw_loan(spark, sf_dir))
 
 
+def card_number(key: str) -> Column:
+    return F.concat(F.lit("4"), F.lpad(F.col(key).cast("string"), 15, "0")).alias("CUST_CC_NO")
+
+
 def email_requests(spark, sf_dir) -> DataFrame:
     """One change request per event; the user is the customer."""
     return table(spark, sf_dir, "events").select(

@@ -81,6 +81,11 @@ def test_bulk_bill(spark, history):
     assert sorted(ids(accounts.monthly_bill_bulk(history, requests))) == [1, 2, 3, 4, 7]
 
 
+def test_bill_run(spark, history):
+    cards = spark.createDataFrame([("A",), ("A",), ("C",)], "CUST_CC_NO string")
+    assert sorted(ids(accounts.monthly_bill_run(history, cards, 2018, 2))) == [1, 2, 3, 4]
+
+
 def test_latest_update_wins(spark, customers):
     at = dt.datetime
     requests = spark.createDataFrame(

@@ -101,6 +101,20 @@ def test_range_reads_only_its_years(spark, stored):
     assert rows.count() == sum(1 for n in range(300) if 1 + n % 31 <= 2)
 
 
+def test_bulk_bills_read_only_the_months_asked_for(spark, stored, tmp_path):
+    """The files of another month are broken, so reading them would fail."""
+    schema = spark.read.parquet(stored).schema
+    shutil.copytree(stored, tmp_path / "txn")
+    for file in (tmp_path / "txn" / "TXN_YEAR=2019" / "TXN_MONTH=3").glob("part-*"):
+        file.write_bytes(b"no parquet")
+    txn = spark.read.schema(schema).parquet(str(tmp_path / "txn"))
+    requests = spark.createDataFrame([("4001", 2018, 11), ("4001", 2018, 12), ("4002", 2018, 11)], "CUST_CC_NO string, YEAR int, MONTH int")
+    assert accounts.monthly_bill_bulk(txn, requests).count() == 50
+    assert accounts.monthly_bill_run(txn, requests, 2018, 12).count() == 25
+    with pytest.raises(Exception):
+        accounts.monthly_bill_run(txn, requests, 2019, 3).count()
+
+
 def test_partitioned_write_may_split_a_large_month(spark):
     df = spark.range(10).selectExpr("id", "1 AS m").hint("rebalance", "m")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(df)
