@@ -22,6 +22,24 @@ class Delivery:
     partition_by: tuple[str, ...] = ()
 
 
+def branches(raw: DataFrame) -> Delivery:
+    return Delivery("branch", raw, [quality.required("BRANCH_CODE")], clean.clean_branch)
+
+
+def customers(raw: DataFrame) -> Delivery:
+    return Delivery("customer", raw, [quality.required("SSN")], clean.clean_customer)
+
+
+def transactions(raw: DataFrame) -> Delivery:
+    return Delivery(
+        "transaction",
+        raw,
+        [quality.required("TRANSACTION_ID")],
+        lambda df: clean.with_month_columns(clean.clean_transaction(df)),
+        ("TXN_YEAR", "TXN_MONTH"),
+    )
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes the frame to the shared folder and reads it back.
 
@@ -46,20 +64,14 @@ def load(delivery: Delivery, root: str, most_rejected: float = 1.0) -> DataFrame
 
 
 def load_bank(
-    spark: SparkSession, branches: str, customers: str, transactions: str, root: str, most_rejected: float = 1.0
+    spark: SparkSession, branch_path: str, customer_path: str, transaction_path: str, root: str, most_rejected: float = 1.0
 ) -> dict[str, DataFrame]:
     """Loads the three card deliveries; returns a load report for each."""
-    deliveries = [
-        Delivery("branch", json.read_branches(spark, branches), [quality.required("BRANCH_CODE")], clean.clean_branch),
-        Delivery("customer", json.read_customers(spark, customers), [quality.required("SSN")], clean.clean_customer),
-        Delivery(
-            "transaction",
-            json.read_transactions(spark, transactions),
-            [quality.required("TRANSACTION_ID")],
-            lambda df: clean.with_month_columns(clean.clean_transaction(df)),
-            ("TXN_YEAR", "TXN_MONTH"),
-        ),
-    ]
+    deliveries = (
+        branches(json.read_branches(spark, branch_path)),
+        customers(json.read_customers(spark, customer_path)),
+        transactions(json.read_transactions(spark, transaction_path)),
+    )
     return {d.name: load(d, root, most_rejected) for d in deliveries}
 
 

@@ -184,6 +184,10 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         "SELECT * REPLACE (CAST(TRANSACTION_VALUE AS DOUBLE) AS TRANSACTION_VALUE) FROM raw_card",
     ),
     "scan_json_array_loan": (("raw_loan",), f"SELECT {_LOAN} FROM raw_loan"),
+    "transaction_load": (
+        ("card",),
+        f"SELECT {_CARD}, CAST(year(card.TXN_DATE) AS INT) AS TXN_YEAR, CAST(month(card.TXN_DATE) AS INT) AS TXN_MONTH FROM card",
+    ),
     "load_report": (("sound",), """
         SELECT 'read' AS outcome, count(*) AS "rows" FROM flagged
         UNION ALL SELECT 'accepted', count(*) FROM sound WHERE rn = 1

@@ -130,6 +130,15 @@ def loan_full_scan(spark, sf):
     return spark.table("loan_application")
 
 
+def transaction_load(spark, sf):
+    """All transactions delivered as JSON, loaded into the partitioned table, and read from it."""
+    path = _as_json(v.raw_card(spark, sf), "card-json")
+    schema = schemas.widen_keys(schemas.TRANSACTION, "CUST_SSN", "BRANCH_CODE")
+    root = shared_folder(spark, "bank")
+    etl.load(etl.transactions(json.read_transactions(spark, path, schema)), root)
+    return files.read_current(spark, f"{root}/transaction")
+
+
 # --- clean-up ---------------------------------------------------------------
 
 def branch_clean(spark, sf):
@@ -329,7 +338,7 @@ def loan_segment_rollup(spark, sf):
 
 _QUERIES = (
     scan_json_branch, scan_json_customer, scan_json_transaction, scan_json_array_loan,
-    load_report, loan_load, loan_accepted, loan_rejects, loan_duplicate_keys,
+    transaction_load, load_report, loan_load, loan_accepted, loan_rejects, loan_duplicate_keys,
     loan_new_only, loan_already_stored, loan_full_scan,
     branch_clean, customer_clean, transaction_clean,
     zip_default, phone_format, address_join, name_case, timeid_key,

@@ -116,24 +116,6 @@ def test_several_columns_change_together(spark, customers):
     assert (row.CUST_EMAIL, row.CUST_ZIP, row.LAST_NAME) == ("new", 10001, "Cole")
 
 
-@pytest.fixture
-def small_partitions(spark):
-    """Thresholds lowered so that adaptive execution treats test data like a large table."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    yield
-    for key, value in before.items():
-        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def test_a_card_with_a_third_of_all_rows_is_split_and_kept_whole(spark, small_partitions):
     rows = spark.range(0, 30000, 1, 8).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'HOT' ELSE concat('C', id % 500) END AS CUST_CC_NO",

@@ -115,9 +115,13 @@ def test_bulk_bills_read_only_the_months_asked_for(spark, stored, tmp_path):
         accounts.monthly_bill_run(txn, requests, 2019, 3).count()
 
 
-def test_partitioned_write_may_split_a_large_month(spark):
-    df = spark.range(10).selectExpr("id", "1 AS m").hint("rebalance", "m")
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan(df)
+def test_a_month_with_half_of_the_rows_is_written_by_several_tasks(spark, small_partitions, tmp_path):
+    rows = spark.range(0, 40000, 1, 8).selectExpr(
+        "concat('row ', uuid()) AS text", "CASE WHEN id % 2 = 0 THEN 3 ELSE cast(id % 12 AS int) + 20 END AS m"
+    )
+    files.write_table(rows, str(tmp_path / "t"), partition_by=("m",))
+    assert len(list((tmp_path / "t" / "m=3").glob("part-*"))) > 1
+    assert spark.read.parquet(str(tmp_path / "t")).where("m = 3").count() == 20000
 
 
 def test_loan_table_checks_lengths_and_keeps_its_rows(spark, tmp_path):
