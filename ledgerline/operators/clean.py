@@ -68,3 +68,11 @@ def clean_transaction(raw: DataFrame) -> DataFrame:
 def with_month_columns(txn: DataFrame) -> DataFrame:
     """Partition columns of the stored fact table."""
     return txn.withColumns({"TXN_YEAR": F.year("TXN_DATE"), "TXN_MONTH": F.month("TXN_DATE")})
+
+
+def ignoring_case(df: DataFrame, *names: str) -> DataFrame:
+    """The columns with a collation under which comparing and grouping ignore case.
+
+    For reports over data whose spelling varies (``yes``, ``Yes``).
+    """
+    return df.withColumns({name: F.collate(name, "UTF8_LCASE") for name in names})

@@ -6,10 +6,11 @@ ranking has the group's key as last sort column, so equal measures cannot swap.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerline.functions import columns as fn
 from ledgerline.operators.accounts import month_rows, newest_first
+from ledgerline.operators.clean import ignoring_case
 
 
 # --- groups -----------------------------------------------------------------
@@ -52,9 +53,10 @@ def leaders(groups: DataFrame, measure: str) -> DataFrame:
 
 # --- transactions by type ---------------------------------------------------
 
-def _is_type(txn_type: str, ignore_case: bool) -> Column:
-    column = F.col("TRANSACTION_TYPE")
-    return (F.collate(column, "UTF8_LCASE") if ignore_case else column) == txn_type
+def of_type(txn: DataFrame, txn_type: str, ignore_case: bool = False) -> DataFrame:
+    if ignore_case:
+        txn = ignoring_case(txn, "TRANSACTION_TYPE")
+    return txn.where(F.col("TRANSACTION_TYPE") == txn_type)
 
 
 def txn_count_by_type(txn: DataFrame) -> DataFrame:
@@ -77,7 +79,7 @@ def type_totals(txn: DataFrame) -> DataFrame:
 
 def type_total(txn: DataFrame, txn_type: str, ignore_case: bool = False) -> DataFrame:
     """Number and total value of one transaction type, as one row."""
-    return txn.where(_is_type(txn_type, ignore_case)).agg(
+    return of_type(txn, txn_type, ignore_case).agg(
         F.count("*").alias("TXN_COUNT"), F.sum("TRANSACTION_VALUE").alias("TOTAL_VALUE")
     )
 
@@ -131,8 +133,8 @@ def top_months_share(txn: DataFrame, k: int = 3) -> DataFrame:
 
 def top_branches_for_type(txn: DataFrame, txn_type: str, k: int = 10, ignore_case: bool = False) -> DataFrame:
     """The ``k`` branches with the highest total for one transaction type."""
-    of_type = txn.where(_is_type(txn_type, ignore_case))
-    top = largest_first(totals(of_type, "BRANCH_CODE"), "TOTAL_VALUE", "BRANCH_CODE").limit(k)
+    sums = totals(of_type(txn, txn_type, ignore_case), "BRANCH_CODE")
+    top = largest_first(sums, "TOTAL_VALUE", "BRANCH_CODE").limit(k)
     return top.withColumn("WHOLE_VALUE", fn.whole(F.col("TOTAL_VALUE")))
 
 

@@ -301,8 +301,8 @@ def leader_customer(spark, sf):
 
 
 def leader_branch(spark, sf):
-    txn = v.txn(spark, sf, "BRANCH_CODE", "TRANSACTION_TYPE", "TRANSACTION_VALUE").where(F.col("TRANSACTION_TYPE") == TYPE)
-    return reports.leaders(reports.totals(txn, "BRANCH_CODE"), "TOTAL_VALUE")
+    txn = v.txn(spark, sf, "BRANCH_CODE", "TRANSACTION_TYPE", "TRANSACTION_VALUE")
+    return reports.leaders(reports.totals(reports.of_type(txn, TYPE), "BRANCH_CODE"), "TOTAL_VALUE")
 
 
 # --- loans ------------------------------------------------------------------

@@ -5,7 +5,7 @@ import itertools
 import pytest
 
 from conftest import plan
-from ledgerline.operators import loans
+from ledgerline.operators import clean, loans
 
 SCHEMA = "Gender string, Married string, Education string, Self_Employed string, Property_Area string, Application_Status string"
 ROWS = [
@@ -64,6 +64,15 @@ def test_rates_without_rows_are_null(applications):
     assert loans.rejection_rate_married_male(none).first().PCT is None
 
 
+def test_case_can_be_ignored(spark, applications):
+    shouted = applications.selectExpr("upper(Gender) Gender", "lower(Married) Married", "Education", "lower(Self_Employed) Self_Employed", "Property_Area", "lower(Application_Status) Application_Status")
+    assert loans.status_counts(shouted).first().APPROVED == 0
+    folded = clean.ignoring_case(shouted, "Gender", "Married", "Self_Employed", "Application_Status")
+    assert loans.status_counts(folded).first() == loans.status_counts(applications).first()
+    mixed = clean.ignoring_case(applications.unionByName(shouted), "Gender", "Application_Status")
+    assert loans.segment_rates(mixed, ("Gender",)).count() == 4
+
+
 @pytest.mark.parametrize("how", ["cube", "rollup"])
 def test_segment_rates_against_brute_force(applications, how):
     names = list(loans.SEGMENTS)
