@@ -20,6 +20,7 @@ class Delivery:
     rules: list[quality.Rule]
     clean: Callable[[DataFrame], DataFrame]
     partition_by: tuple[str, ...] = ()
+    lookup_by: tuple[str, ...] = ()
 
 
 def branches(raw: DataFrame) -> Delivery:
@@ -27,7 +28,7 @@ def branches(raw: DataFrame) -> Delivery:
 
 
 def customers(raw: DataFrame) -> Delivery:
-    return Delivery("customer", raw, [quality.required("SSN")], clean.clean_customer)
+    return Delivery("customer", raw, [quality.required("SSN")], clean.clean_customer, lookup_by=files.CUSTOMER_KEYS)
 
 
 def transactions(raw: DataFrame) -> Delivery:
@@ -37,6 +38,7 @@ def transactions(raw: DataFrame) -> Delivery:
         [quality.required("TRANSACTION_ID")],
         lambda df: clean.with_month_columns(clean.clean_transaction(df)),
         ("TXN_YEAR", "TXN_MONTH"),
+        files.TRANSACTION_KEYS,
     )
 
 
@@ -59,7 +61,9 @@ def load(delivery: Delivery, root: str, most_rejected: float = 1.0) -> DataFrame
     report = quality.load_report(flagged)
     quality.check_reject_rate(report, most_rejected)
     files.publish(quality.rejected(flagged), f"{root}/{delivery.name}_rejects")
-    files.publish(delivery.clean(quality.accepted(flagged)), f"{root}/{delivery.name}", delivery.partition_by)
+    files.publish(
+        delivery.clean(quality.accepted(flagged)), f"{root}/{delivery.name}", delivery.partition_by, delivery.lookup_by
+    )
     return report
 
 

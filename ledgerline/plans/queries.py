@@ -214,8 +214,7 @@ def monthly_bill(spark, sf):
 
 def monthly_bill_run(spark, sf):
     """January 1998 for the cards of all customers with events."""
-    cards = v.email_requests(spark, sf).select(v.card_number("SSN"))
-    return accounts.monthly_bill_run(v.card(spark, sf), cards, 1998, 1)
+    return accounts.monthly_bill_run(v.card(spark, sf), v.event_cards(spark, sf), 1998, 1)
 
 
 def monthly_bill_bulk(spark, sf):

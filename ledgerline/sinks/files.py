@@ -12,20 +12,38 @@ from ledgerline.operators.quality import as_stored_loan, new_only
 DONE = "_SUCCESS"
 
 
-def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: tuple[str, ...] = ()) -> None:
+# Columns of the stored tables that are looked up by equality.
+TRANSACTION_KEYS = ("CUST_CC_NO", "CUST_SSN")
+CUSTOMER_KEYS = ("SSN",)
+
+
+def write_table(
+    df: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    partition_by: tuple[str, ...] = (),
+    lookup_by: tuple[str, ...] = (),
+) -> None:
     """Parquet folder, partitioned if asked.
 
     Rows of one partition value are brought together to keep files few; the
     rebalance lets adaptive execution split a value that holds too many rows.
+    ``lookup_by`` columns get bloom filters, so that a search for one key skips
+    the parts of the files that do not hold it.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    writer = df.write.mode(mode).partitionBy(*partition_by)
+    if lookup_by:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for name in lookup_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    writer.parquet(path)
 
 
 def write_transactions(txn: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The fact table, partitioned by year and month for the month filters."""
-    write_table(with_month_columns(txn), path, mode, ("TXN_YEAR", "TXN_MONTH"))
+    write_table(with_month_columns(txn), path, mode, ("TXN_YEAR", "TXN_MONTH"), TRANSACTION_KEYS)
 
 
 def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
@@ -43,7 +61,7 @@ def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
     return sorted(found)
 
 
-def publish(df: DataFrame, root: str, partition_by: tuple[str, ...] = ()) -> str:
+def publish(df: DataFrame, root: str, partition_by: tuple[str, ...] = (), lookup_by: tuple[str, ...] = ()) -> str:
     """Writes the next version of a table; readers see it whole or not at all.
 
     A version counts once Spark has committed its write job. A failed job leaves
@@ -52,7 +70,7 @@ def publish(df: DataFrame, root: str, partition_by: tuple[str, ...] = ()) -> str
     """
     versions = _versions(df.sparkSession, root)
     path = f"{root}/v={versions[-1][0] + 1 if versions else 1}"
-    write_table(df, path, "errorifexists", partition_by)
+    write_table(df, path, "errorifexists", partition_by, lookup_by)
     return path
 
 

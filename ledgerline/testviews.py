@@ -9,9 +9,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.functions import columns as fn
 from ledgerline.operators import clean, quality
 
 # Key spaces of the test tables may pass INT at scale.
@@ -35,6 +34,12 @@ _TABLES = {
 
 _UPDATED = "timestamp'2018-04-21 12:49:02'"
 
+
+
+def _card_of(key: str) -> str:
+    return f"concat('4', lpad(cast({key} as string), 15, '0'))"
+
+
 _NATION = ("nation", "c_nationkey = n_nationkey")
 _REGION = ("region", "n_regionkey = r_regionkey")
 _CUSTOMER = ("customer", "o_custkey = c_custkey")
@@ -44,7 +49,7 @@ _RAW_CUSTOMER = {
     "FIRST_NAME": "c_mktsegment",
     "MIDDLE_NAME": "upper(n_name)",
     "LAST_NAME": "upper(c_name)",
-    "CREDIT_CARD_NO": "concat('4', lpad(cast(c_custkey as string), 15, '0'))",
+    "CREDIT_CARD_NO": _card_of("c_custkey"),
     "STREET_NAME": "case when c_acctbal >= 0 then n_name end",
     "APT_NO": "case when c_mktsegment <> 'BUILDING' then cast(c_custkey as string) end",
     "CUST_CITY": "n_name",
@@ -69,7 +74,7 @@ _RAW_BRANCH = {
 }
 
 _RAW_CARD = {
-    "CREDIT_CARD_NO": "concat('4', lpad(cast(o_custkey as string), 15, '0'))",
+    "CREDIT_CARD_NO": _card_of("o_custkey"),
     "YEAR": "year(o_orderdate)",
     "MONTH": "month(o_orderdate)",
     "DAY": "day(o_orderdate)",
@@ -89,7 +94,7 @@ _CARD = {
 }
 
 _TXN = {
-    "CUST_CC_NO": "concat('4', lpad(cast(o_custkey as string), 15, '0'))",
+    "CUST_CC_NO": _card_of("o_custkey"),
     "TIMEID": "date_format(l_shipdate, 'yyyyMMdd')",
     "TXN_DATE": "cast(l_shipdate as date)",
     "CUST_SSN": "o_custkey",
@@ -215,8 +220,9 @@ def loan(spark, sf_dir, *wanted: str) -> DataFrame:
     return quality.as_stored_loan(raw_loan(spark, sf_dir))
 
 
-def card_number(key: str) -> Column:
-    return F.concat(F.lit("4"), F.lpad(F.col(key).cast("string"), 15, "0")).alias("CUST_CC_NO")
+def event_cards(spark, sf_dir) -> DataFrame:
+    """The card of every event's customer, once per event."""
+    return table(spark, sf_dir, "events").selectExpr(f"{_card_of('user_id')} AS CUST_CC_NO")
 
 
 def email_requests(spark, sf_dir) -> DataFrame:

@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from conftest import plan
 from ledgerline import schemas
@@ -115,6 +116,22 @@ def test_bulk_bills_read_only_the_months_asked_for(spark, stored, tmp_path):
         accounts.monthly_bill_run(txn, requests, 2019, 3).count()
 
 
+@pytest.mark.parametrize("lookup_by, expected", [((), 100000), (("card",), 0)])
+def test_a_lookup_skips_files_without_its_key(spark, tmp_path, lookup_by, expected):
+    """Rows the scan hands on when it searches a key within the file's range that no row has."""
+    cards = spark.range(0, 200000, 2, 1).selectExpr("concat('4', lpad(cast(id AS string), 15, '0')) AS card")
+    cards = cards.sortWithinPartitions(F.xxhash64("card"))
+    files.write_table(cards, str(tmp_path / "t"), lookup_by=lookup_by)
+    found = spark.read.parquet(str(tmp_path / "t")).where("card = '4000000000077777'")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert found.collect() == []
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        assert scan.metrics().apply("numOutputRows").value() == expected
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_a_month_with_half_of_the_rows_is_written_by_several_tasks(spark, small_partitions, tmp_path):
     rows = spark.range(0, 40000, 1, 8).selectExpr(
         "concat('row ', uuid()) AS text", "CASE WHEN id % 2 = 0 THEN 3 ELSE cast(id % 12 AS int) + 20 END AS m"
