@@ -88,6 +88,6 @@ def percent(part: Column, of: Column, digits: int = 4) -> Column:
     return F.round(part.cast("double") * 100 / F.nullif(of.cast("double"), F.lit(0.0)), digits)
 
 
-def percent_label(value: Column) -> Column:
-    """``12.3%``"""
-    return F.concat(F.round(value, 1).cast("decimal(20,1)").cast("string"), F.lit("%"))
+def percent_label(part: Column, of: Column) -> Column:
+    """``12.3%``, rounded once from the exact ratio."""
+    return F.concat(percent(part, of, 1).cast("decimal(20,1)").cast("string"), F.lit("%"))

@@ -76,11 +76,14 @@ def rejection_split_married_male(loans: DataFrame) -> DataFrame:
     slices = rate.select(
         F.stack(
             F.lit(2),
-            F.lit("Approved"), F.col("APPROVED"), fn.percent(F.col("APPROVED"), F.col("TOTAL")),
-            F.lit("Rejected"), F.col("REJECTED"), F.col("PCT"),
-        ).alias("STATUS", "APPLICATIONS", "PCT")
+            F.lit("Approved"), F.col("APPROVED"), F.col("TOTAL"),
+            F.lit("Rejected"), F.col("REJECTED"), F.col("TOTAL"),
+        ).alias("STATUS", "APPLICATIONS", "TOTAL")
+    )
+    part, of = F.col("APPLICATIONS"), F.col("TOTAL")
+    return slices.select(
+        "STATUS", "APPLICATIONS", fn.percent(part, of).alias("PCT"), fn.percent_label(part, of).alias("PCT_LABEL")
     )
-    return slices.withColumn("PCT_LABEL", fn.percent_label(F.col("PCT")))
 
 
 def segment_rates(loans: DataFrame, segments: tuple[str, ...] = SEGMENTS, how: str = "cube") -> DataFrame:

@@ -11,6 +11,7 @@ from ledgerline.schemas import LOAN_COLUMNS, LOAN_LENGTHS
 
 REASON = "reject_reason"
 DUPLICATE = "duplicate_key"
+STORED = "already_stored"
 CORRUPT = "_corrupt_record"
 
 

@@ -28,8 +28,8 @@ def largest_first(groups: DataFrame, measure: str, *keys: str) -> DataFrame:
 
 
 def _with_percent(groups: DataFrame, measure: str) -> DataFrame:
-    shared = groups.withColumn("PCT", fn.percent(F.col(measure), F.col("TOTAL")))
-    return shared.withColumn("PCT_LABEL", fn.percent_label(F.col("PCT")))
+    part, of = F.col(measure), F.col("TOTAL")
+    return groups.withColumns({"PCT": fn.percent(part, of), "PCT_LABEL": fn.percent_label(part, of)})
 
 
 def with_share(groups: DataFrame, measure: str) -> DataFrame:

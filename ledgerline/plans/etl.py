@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.operators import clean, quality
 from ledgerline.session import shared_folder
@@ -80,11 +80,30 @@ def load_bank(
 
 
 def load_loans(
-    spark: SparkSession, documents: str, table: str, most_rejected: float = 1.0, multi_line: bool = False
+    spark: SparkSession,
+    documents: str,
+    table: str,
+    rejects: str,
+    most_rejected: float = 1.0,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Adds landed loan documents to the loan table; returns the load report."""
+    """Adds landed loan documents to the loan table; returns the load report.
+
+    Loans the table holds already are not added; they go to the published
+    ``rejects`` like the other rows left out. Nothing is added when too large a
+    share of the delivery itself is rejected.
+    """
+    key = "Application_ID"
     flagged = staged(quality.flag(json.read_loans(spark, documents, multi_line), quality.loan_rules()), "loan")
-    report = quality.load_report(flagged, "Application_ID")
+    report = quality.load_report(flagged, key)
     quality.check_reject_rate(report, most_rejected)
-    files.append_loans(quality.accepted(flagged, "Application_ID"), table)
-    return report
+    loans = quality.accepted(flagged, key)
+    # Written now: after the append every loan of the delivery is in the table.
+    known = staged(quality.already_stored(loans, spark.table(table), key), "loan-known")
+    left_out = known.withColumns({quality.REASON: F.lit(quality.STORED), "copies": F.lit(1).cast("bigint")})
+    files.publish(quality.rejected(flagged, key).unionByName(left_out, allowMissingColumns=True), rejects)
+    files.append_loans(loans, table)
+    found = known.agg(F.count("*").alias("n")).select(
+        F.stack(F.lit(2), F.lit(quality.STORED), F.col("n"), F.lit("accepted"), -F.col("n")).alias("outcome", "rows")
+    )
+    return report.unionByName(found).groupBy("outcome").agg(F.sum("rows").alias("rows"))

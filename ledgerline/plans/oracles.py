@@ -125,12 +125,12 @@ _SUM = "CAST(sum(TRANSACTION_VALUE) AS DOUBLE) AS TOTAL_VALUE"
 _SEGMENTS = "Gender, Married, Education, Self_Employed, Property_Area"
 
 
-def _pct(part: str, of: str) -> str:
-    return f"round(CAST({part} AS DOUBLE) * 100 / nullif(CAST({of} AS DOUBLE), 0), 4)"
+def _pct(part: str, of: str, digits: int = 4) -> str:
+    return f"round(CAST({part} AS DOUBLE) * 100 / nullif(CAST({of} AS DOUBLE), 0), {digits})"
 
 
-def _label(pct: str) -> str:
-    return f"CAST(CAST(round({pct}, 1) AS DECIMAL(18,1)) AS VARCHAR) || '%'"
+def _label(part: str, of: str) -> str:
+    return f"CAST(CAST({_pct(part, of, 1)} AS DECIMAL(18,1)) AS VARCHAR) || '%'"
 
 
 def _segment_rates(columns: str, grouping: str) -> str:
@@ -172,7 +172,7 @@ _SPLIT = """
          s AS (SELECT 'Approved' AS STATUS, t - n AS APPLICATIONS, t FROM r
                UNION ALL SELECT 'Rejected', n, t FROM r)
     SELECT STATUS, APPLICATIONS, {pct} AS PCT, {label} AS PCT_LABEL FROM s""".format(
-    pct=_pct("APPLICATIONS", "t"), label=_label(_pct("APPLICATIONS", "t"))
+    pct=_pct("APPLICATIONS", "t"), label=_label("APPLICATIONS", "t")
 )
 
 # Query name -> (views it reads, text).
@@ -284,19 +284,19 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         WITH g AS (SELECT TRANSACTION_TYPE, count(*) AS TXN_COUNT, CAST(sum(count(*)) OVER () AS BIGINT) AS TOTAL
                    FROM txn GROUP BY 1)
         SELECT *, {pct} AS PCT, {label} || ' (' || CAST(TXN_COUNT AS VARCHAR) || ')' AS PCT_LABEL FROM g""".format(
-        pct=_pct("TXN_COUNT", "TOTAL"), label=_label(_pct("TXN_COUNT", "TOTAL"))
+        pct=_pct("TXN_COUNT", "TOTAL"), label=_label("TXN_COUNT", "TOTAL")
     )),
     "customers_by_state": (("raw_customer",), "SELECT CUST_STATE, count(*) AS CUSTOMER_COUNT FROM raw_customer GROUP BY 1"),
     "top_customers": (("txn",), f"SELECT {_TOP_CUSTOMER_COLUMNS} FROM ({_TOP_CUSTOMERS})"),
     "top_customers_share": (("txn",), f"""
         WITH t AS ({_TOP_CUSTOMERS}), s AS (SELECT *, sum(v) OVER () AS total FROM t)
         SELECT {_TOP_CUSTOMER_COLUMNS}, CAST(total AS DOUBLE) AS TOTAL, {_pct('v', 'total')} AS PCT,
-               {_label(_pct('v', 'total'))} AS PCT_LABEL FROM s"""),
+               {_label('v', 'total')} AS PCT_LABEL FROM s"""),
     "top_months": (("txn",), f"SELECT {_MONTH_COLUMNS} FROM ({_TOP_MONTHS})"),
     "top_months_share": (("txn",), f"""
         WITH t AS ({_TOP_MONTHS}), s AS (SELECT *, CAST(sum(TXN_COUNT) OVER () AS BIGINT) AS TOTAL FROM t)
         SELECT {_MONTH_COLUMNS}, TOTAL, {_pct('TXN_COUNT', 'TOTAL')} AS PCT,
-               {_label(_pct('TXN_COUNT', 'TOTAL'))} AS PCT_LABEL FROM s"""),
+               {_label('TXN_COUNT', 'TOTAL')} AS PCT_LABEL FROM s"""),
     "top_branches_for_type": (("txn",), """
         SELECT BRANCH_CODE, CAST(v AS DOUBLE) AS TOTAL_VALUE, CAST(trunc(v) AS BIGINT) AS WHOLE_VALUE
         FROM (SELECT BRANCH_CODE, sum(TRANSACTION_VALUE) AS v FROM txn WHERE TRANSACTION_TYPE = 'ECONOMY'

@@ -97,7 +97,12 @@ def test_labels(spark):
     row = ("7", Decimal("1234.50"))
     assert one(spark, fn.amount_label(F.col("k"), F.col("v")), "k string, v decimal(28,2)", row) == "7 ($1234.50)"
     assert one(spark, fn.whole(F.col("v")), "v decimal(18,2)", (Decimal("-12.99"),)) == -12
-    assert one(spark, fn.percent_label(F.col("v")), "v double", (12.345,)) == "12.3%"
+
+
+def test_percent_label_is_rounded_once(spark):
+    """12.34996 would be 12.35 with four digits, and then 12.4."""
+    assert one(spark, fn.percent_label(F.lit(1234996), F.lit(10000000))) == "12.3%"
+    assert one(spark, fn.percent_label(F.lit(1), F.lit(0))) is None
 
 
 def test_percent_of_nothing_is_null(spark):

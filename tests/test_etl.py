@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.operators import accounts, reports
 from ledgerline.plans import etl
@@ -67,12 +68,27 @@ def test_a_second_load_replaces_the_first(spark, tmp_path, deliveries):
 
 
 def test_loan_documents_are_added_once(spark, tmp_path):
+    rejects = str(tmp_path / "rejects")
     files.create_loan_table(spark, "loan_etl", str(tmp_path / "table"))
     (tmp_path / "d1").mkdir(), (tmp_path / "d2").mkdir()
-    write(tmp_path / "d1" / "a.json", [[{"Application_ID": "LP1"}, {"Application_ID": "LP2"}, {"Application_ID": "LP2"}], [{"Gender": "Male"}]])
+    write(tmp_path / "d1" / "a.json", [[{"Application_ID": "LP1"}, {"Application_ID": "LP2"}, {"Application_ID": "LP2"}], [{"Gender": "Male"}], "[{broken"])
     write(tmp_path / "d2" / "a.json", [[{"Application_ID": "LP2"}, {"Application_ID": "LP3", "Credit_History": 1}]])
-    report = {r.outcome: r.rows for r in etl.load_loans(spark, str(tmp_path / "d1"), "loan_etl").collect()}
-    assert report == {"read": 4, "accepted": 2, "duplicate_key": 1, "missing:Application_ID": 1}
-    etl.load_loans(spark, str(tmp_path / "d2"), "loan_etl")
+
+    report = {r.outcome: r.rows for r in etl.load_loans(spark, str(tmp_path / "d1"), "loan_etl", rejects).collect()}
+    assert report == {
+        "read": 5, "accepted": 2, "duplicate_key": 1, "missing:Application_ID": 1, "corrupt_record": 1, "already_stored": 0,
+    }
+    left_out = files.read_current(spark, rejects).groupBy("reject_reason").agg(F.sum("copies").alias("n")).collect()
+    assert {r.reject_reason: r.n for r in left_out} == {"duplicate_key": 1, "missing:Application_ID": 1, "corrupt_record": 1}
+
+    report = {r.outcome: r.rows for r in etl.load_loans(spark, str(tmp_path / "d2"), "loan_etl", rejects).collect()}
+    assert report == {"read": 2, "accepted": 1, "duplicate_key": 0, "already_stored": 1}
+    assert [(r.Application_ID, r.reject_reason, r.copies) for r in files.read_current(spark, rejects).collect()] == [
+        ("LP2", "already_stored", 1)
+    ]
     assert sorted(r.Application_ID for r in spark.table("loan_etl").collect()) == ["LP1", "LP2", "LP3"]
+
+    with pytest.raises(ValueError, match="rejected"):
+        etl.load_loans(spark, str(tmp_path / "d1"), "loan_etl", rejects, most_rejected=0.1)
+    assert spark.table("loan_etl").count() == 3
     spark.sql("DROP TABLE loan_etl")
