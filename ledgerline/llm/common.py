@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,6 +106,48 @@ def codes(flat: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
 
 
+# Ids that a filter takes; its bits are 16 for each, 16 MB at most.
+FILTER_IDS = 8_000_000
+
+
+class IdFilter:
+    """A Bloom filter of ids with two hashes: tells for certain that an id was not put in."""
+
+    def __init__(self, n_bits: int):
+        self.words = np.zeros(n_bits // 64, np.uint64)
+        self.last = np.uint64(n_bits - 1)
+
+    def places(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word and bit of each id, for both hashes one after the other."""
+        x = np.concatenate([ids.view(np.uint64) + np.uint64(salt) for salt in (0x9E3779B97F4A7C15, 0x3C6EF372FE94F82B)])
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        at = (x ^ (x >> np.uint64(31))) & self.last
+        return (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+
+    def may_hold(self, ids: np.ndarray) -> np.ndarray:
+        word, bit = self.places(ids)
+        found = (self.words[word] & bit) != 0
+        return found[: len(ids)] & found[len(ids) :]
+
+
+def id_filter(ids: DataFrame) -> Broadcast | None:
+    """A broadcast ``IdFilter`` of the only column, without nulls; None when there are more than ``FILTER_IDS``."""
+    n = ids.count()
+    if n > FILTER_IDS:
+        return None
+    made = IdFilter(1 << max(10, (16 * n - 1).bit_length()))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, bit = made.places(batch.column(0).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64))], ["word", "bits"])
+
+    rows = ids.mapInArrow(put, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    made.words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return ids.sparkSession.sparkContext.broadcast(made)
+
+
 def components(edges: DataFrame, purpose: str) -> DataFrame:
     """Connected components of the links ``a``, ``b`` (bigint): ``node`` and ``component``, its smallest node.
 

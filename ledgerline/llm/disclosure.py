@@ -27,17 +27,20 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import materialize
 
 CONTEXT = 80
+RUN = 256  # matches summed at once
+MANY_SPANS = 64
 SUPPORT = 3
 REMOVE = 0.97
 GENERALISE = 0.9
 LEAST_LETTERS = 3
 
-# The patterns by kind. Possessive repeats and the look-behind match
-# what the plain patterns match, without going back over long runs.
+# The patterns by kind. Possessive repeats, look-behinds and the least
+# number of a card's digits only leave out what would fail, so that long runs are
+# passed once and few matches are left to check.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "card": r"[0-9](?:[\x20-]?[0-9]){12,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 # What a text must hold for the pattern to be tried.
@@ -47,7 +50,6 @@ IP_IN_RANGE = rf"^(?:{_BYTE}\.){{3}}{_BYTE}$"
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term_generalised": "[TERM]", "term_removed": ""}
 KINDS = tuple(PATTERNS)
 
-_SPAN = "struct<kind:string,start:int,end:int>"
 _FOUND = "array<struct<kind:string,start:int,end:int,value:string,before:string,after:string>>"
 
 
@@ -77,35 +79,56 @@ def _valid(kind: str, value: Column) -> Column:
     }[kind]
 
 
-def _matches(text: Column, pattern: Column, kind: Column | None) -> Column:
-    """All matches with their places and the text before and after, up to the next match."""
-    parts = F.split(text, pattern, -1)
-    values = F.regexp_extract_all(text, pattern, F.lit(0))
-    rows = F.transform(values, lambda v, i: F.struct(v.alias("value"), F.get(parts, i).alias("before"), F.get(parts, i + 1).alias("after")))
+def _with_matches(rows: DataFrame, out: str, pattern: Column, kind: str, where: Column) -> DataFrame:
+    """``rows`` with the matches of ``pattern`` in ``text`` as ``out``; none where the condition does not hold.
+
+    Each has its place and the text on either side, up to the next match. Pairs
+    of gap and match are a column of their own, as lambdas run what stands in
+    them for each element.
+    """
+    gaps = F.split("text", pattern, -1)
+    values = F.regexp_extract_all("text", pattern, F.lit(0))
+    left = F.zip_with(values, gaps, lambda v, gap: F.struct(v.alias("value"), gap.alias("before")))
+    pairs = F.zip_with(
+        left, F.slice(gaps, F.lit(2), F.size(gaps)), lambda x, gap: F.struct(x["value"], x["before"], gap.alias("after"))
+    )
+    pairs = F.filter(pairs, lambda x: x["value"].isNotNull())
 
     def add(acc: Column, row: Column) -> Column:
         start = acc["at"] + F.length(row["before"])
         end = start + F.length(row["value"])
-        name = F.lit("") if kind is None else kind
         span = F.struct(
-            name.alias("kind"), start.alias("start"), end.alias("end"), row["value"].alias("value"),
+            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), row["value"].alias("value"),
             F.right(row["before"], F.lit(CONTEXT)).alias("before"), F.left(row["after"], F.lit(CONTEXT)).alias("after"),
         )
         return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
 
+    def join(acc: Column, part: Column) -> Column:
+        moved = F.transform(
+            part["out"], lambda s: s.withField("start", s["start"] + acc["at"]).withField("end", s["end"] + acc["at"])
+        )
+        return F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["out"], moved).alias("out"))
+
+    # Places are summed in runs of matches and then over the runs, as every append copies its array.
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(_FOUND).alias("out"))
-    return F.aggregate(rows, zero, add, lambda acc: acc["out"])
+    runs = F.sequence(F.lit(1), F.size("pairs"), F.lit(RUN))
+    parts = F.transform(runs, lambda i: F.aggregate(F.slice("pairs", i, F.lit(RUN)), zero, add))
+    found = F.aggregate(parts, zero, join, lambda acc: acc["out"])
+    none = F.array().cast(_FOUND)
+    rows = rows.withColumn("pairs", F.when(where, pairs))
+    return rows.withColumn(out, F.when(F.size("pairs") > 0, found).otherwise(none)).drop("pairs")
 
 
-def base_matches(text: Column) -> Column:
-    """Valid matches of all kinds, by kind as listed and place."""
+def with_base(rows: DataFrame) -> DataFrame:
+    """``rows`` with the valid matches of all kinds in ``text`` as ``matches``, by kind as listed and place."""
+    for kind, pattern in PATTERNS.items():
+        hint = F.instr("text", HINTS[kind]) > 0 if HINTS[kind] else F.col("text").rlike("[0-9]")
+        rows = _with_matches(rows, kind, F.lit(pattern), kind, hint)
 
-    def of(kind: str) -> Column:
-        valid = F.filter(_matches(text, F.lit(PATTERNS[kind]), F.lit(kind)), lambda m: _valid(kind, m["value"]))
-        hint = F.instr(text, HINTS[kind]) > 0 if HINTS[kind] else text.rlike("[0-9]")
-        return F.when(hint, valid).otherwise(F.array().cast(_FOUND))
+    def valid(kind: str) -> Column:
+        return F.filter(kind, lambda m: _valid(kind, m["value"]))
 
-    return F.concat(*map(of, KINDS))
+    return rows.withColumn("matches", F.concat(*map(valid, KINDS))).drop(*KINDS)
 
 
 def _rows(documents: DataFrame) -> DataFrame:
@@ -120,7 +143,7 @@ def _rows(documents: DataFrame) -> DataFrame:
 
 def entity_contexts(documents: DataFrame) -> DataFrame:
     """``doc_id``, ``print``, ``entity`` and a word of its context, ``term``, once per document."""
-    matches = _rows(documents).select("doc_id", "print", F.explode(base_matches(F.col("text"))).alias("m"))
+    matches = with_base(_rows(documents)).select("doc_id", "print", F.explode("matches").alias("m"))
     # Words cut by the window's edge and other personal data in it are no terms.
     blank = F.lit("|".join([*PATTERNS.values(), r"[^\p{L}]+"]))
     before = F.when(F.length("m.before") < CONTEXT, F.col("m.before")).otherwise(F.regexp_replace("m.before", r"^\p{L}+", " "))
@@ -171,16 +194,15 @@ def spans(documents: DataFrame, remove: float = REMOVE) -> DataFrame:
     rows = _rows(documents).alias("d").join(
         own.alias("o"), F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("d.print") == F.col("o.print")), "left"
     ).select("d.*", "terms", "removed")
-    rows = rows.withColumn("base", _bare(base_matches(F.col("text"))))
+    rows = with_base(rows).withColumn("base", _bare(F.col("matches"))).drop("matches")
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
-    matches = _matches(F.col("text"), pattern, None)
+    rows = _with_matches(rows, "found", pattern, "", F.col("terms").isNotNull())
     outside = F.filter(
-        matches, lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
+        "found", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
     )
     kind = lambda m: F.when(F.array_contains("removed", F.lower(m["value"])), "term_removed").otherwise("term_generalised")
     found = F.transform(outside, lambda m: F.struct(kind(m).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
-    none = F.array().cast(f"array<{_SPAN}>")
-    found = F.when(F.col("terms").isNull(), none).otherwise(F.array_sort(found))
+    found = F.array_sort(found)
     return rows.select("doc_id", "text", "no_text", "row", "base", found.alias("terms"))
 
 
@@ -197,23 +219,40 @@ def n_of(kind: str) -> Column:
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
 
 
-def masked(text: Column, found: Column) -> Column:
-    """``text`` with each span replaced by its label; where spans overlap the one that starts first goes in full."""
+def with_masked(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``clean``: the text, each span of ``base`` and ``terms`` replaced by its label.
+
+    Where spans overlap the one that starts first goes in full. A substring is
+    sought from the text's beginning; with many spans the text is taken apart once.
+    """
     by_start = F.array_sort(
-        F.transform(found, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus"), s["kind"].alias("kind")))
+        F.transform(
+            F.concat("base", "terms"),
+            lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus"), s["kind"].alias("kind")),
+        )
     )
     labels = F.create_map(*(F.lit(x) for pair in LABELS.items() for x in pair))
+    many = F.size("by_start") > MANY_SPANS
+
+    def piece(start: Column, n: Column) -> Column:
+        return F.when(many, F.array_join(F.slice("letters", start + 1, n), "")).otherwise(F.substring("text", start + 1, n))
 
     def add(acc: Column, s: Column) -> Column:
         end = -s["minus"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        gap = piece(acc["at"], F.greatest(s["start"] - acc["at"], F.lit(0)))
         new = F.struct(end.alias("at"), F.array_append(F.array_append(acc["out"], gap), labels[s["kind"]]).alias("out"))
         longer = F.struct(F.greatest(acc["at"], end).alias("at"), acc["out"].alias("out"))
         return F.when(s["start"] >= acc["at"], new).otherwise(longer)
 
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    tail = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size(found) == 0, text).otherwise(F.aggregate(by_start, zero, add, tail))
+
+    def finish(acc: Column) -> Column:
+        return F.concat(F.array_join(acc["out"], ""), piece(acc["at"], F.greatest(F.length("text") - acc["at"], F.lit(0))))
+
+    rows = rows.withColumn("by_start", by_start)
+    rows = rows.withColumn("letters", F.when(many, F.split("text", "")))
+    clean = F.when(F.size("by_start") == 0, F.col("text")).otherwise(F.aggregate("by_start", zero, add, finish))
+    return rows.withColumn("clean", clean).drop("by_start", "letters")
 
 
 def sanitise(documents: DataFrame) -> DataFrame:
@@ -221,9 +260,8 @@ def sanitise(documents: DataFrame) -> DataFrame:
 
     ``n_chars``, if there, is the new length. Null texts stay null.
     """
-    found = spans(documents)
-    text = F.when(~F.col("no_text"), masked(F.col("text"), F.concat("base", "terms")))
-    found = found.withColumn("clean", text)
+    found = with_masked(spans(documents))
+    found = found.withColumn("clean", F.when(~F.col("no_text"), F.col("clean")))
     new = {"doc_id": F.col("doc_id"), "text": F.col("clean"), "n_chars": F.length("clean")}
     kinds = dict(documents.dtypes)
     return found.select(*(new.get(c, F.col(f"row.`{c}`")).cast(kinds[c]).alias(c) for c in documents.columns))

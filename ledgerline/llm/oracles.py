@@ -1,5 +1,144 @@
-"""DuckDB SQL of the text operators' queries, where SQL can express them."""
+"""DuckDB SQL of the text operators' queries, where SQL can express them.
+
+Packing and token counts need a tokenizer, block classification, disclosure and
+line rules a procedure: those are tested against brute force.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from ledgerline.llm.licenses import PERCENT, PHRASES, TEMPLATES
+from ledgerline.llm.sharding import HASH_BITS, LIMIT
+
+_SPLIT = "'[ \\x09-\\x0D]+'"
+_ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _terms(text: str) -> str:
+    """Words of digits, small letters and non-ASCII characters, as a list."""
+    lower = _ASCII_LOWER.format(f"coalesce({text}, '')")
+    return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+def _words(text: str) -> str:
+    lower = _ASCII_LOWER.format(f"coalesce({text}, '')")
+    return f"regexp_extract_all({lower}, '[^\\x20\\x09-\\x0D]+')"
+
+
+_SHARDS = f"""
+WITH rows AS (
+    SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS bytes,
+           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, {HASH_BITS // 4}) AS BIGINT) AS hash
+    FROM documents
+), levels AS (
+    SELECT rows.*, d AS depth, hash >> ({HASH_BITS} - d) AS prefix FROM rows, range(0, 40) t(d)
+), sums AS (
+    SELECT *, sum(bytes) OVER w AS shard_bytes, count(*) OVER w AS shard_rows
+    FROM levels WINDOW w AS (PARTITION BY depth, prefix)
+), ends AS (
+    SELECT *, row_number() OVER (PARTITION BY hash, doc_id ORDER BY depth) AS k
+    FROM sums WHERE shard_bytes <= {LIMIT} OR shard_rows = 1
+)
+SELECT doc_id, bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), CAST(depth AS INTEGER), '0') END AS shard,
+       CAST(depth AS INTEGER) AS depth, CAST(shard_bytes AS BIGINT) AS shard_bytes, shard_rows
+FROM ends WHERE k = 1
+"""
+
+_ARCHIVE = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+named AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest FROM payloads),
+firsts AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS largest FROM named)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND largest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND largest <> page_id THEN largest END AS refers_to
+FROM firsts
+"""
+
+_phrases = ", ".join(f"('{phrase}', '{label}')" for phrase, label in PHRASES.items())
+_templates = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
+_LICENSES = f"""
+WITH phrases(phrase, label) AS (VALUES {_phrases}),
+given(template, label, notice) AS (VALUES {_templates}),
+templates AS (SELECT template, label, list_distinct(string_split(notice, ' ')) AS own FROM given),
+docs AS (SELECT doc_id, {_terms('text')} AS words FROM documents),
+starts AS (
+    SELECT doc_id, words, unnest(range(0, len(words))) AS spot FROM docs WHERE list_contains(words, 'license')
+), places AS (
+    SELECT doc_id, spot, label FROM starts JOIN phrases
+    ON list_slice(words, spot + 1, spot + len(string_split(phrase, ' '))) = string_split(phrase, ' ')
+), base AS (
+    SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list_distinct(list(label)) AS labels
+    FROM places GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, i AS line_no, list_distinct({_terms('lines[i]')}) AS block
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents), range(1, 100000) r(i)
+    WHERE i <= len(lines)
+), found AS (
+    SELECT doc_id, line_no, label, own, len(list_intersect(own, block)) / len(own) AS containment
+    FROM lines JOIN templates ON 100 * len(list_intersect(own, block)) >= {PERCENT} * len(own)
+), kept AS (
+    SELECT * FROM found a WHERE NOT EXISTS (
+        SELECT 1 FROM found b WHERE b.doc_id = a.doc_id AND b.line_no = a.line_no
+        AND len(b.own) > len(a.own) AND len(list_intersect(a.own, b.own)) = len(a.own))
+), method AS (
+    SELECT doc_id, list_distinct(list(label)) AS labels, max(containment) AS score FROM kept GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(method.labels, [])))), ',') AS labels,
+       CAST(CASE WHEN n_base > 0 THEN 1 ELSE coalesce(score, 0) END AS DOUBLE) AS score
+FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN method USING (doc_id)
+"""
+
+_JACCARD = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_words('text')} AS words FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(words) < 3 THEN array_to_string(words, ' ')
+                                 ELSE words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] END AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 1))) AS i FROM docs WHERE len(words) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * common >= 90 * (x.n + y.n - common)
+), reach AS (
+    SELECT doc_id AS node, doc_id AS other FROM docs
+    UNION
+    SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM docs LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT node AS doc_id, min(other) AS component_id FROM reach GROUP BY node) USING (doc_id)
+"""
+
+_OVERLAP = f"""
+WITH docs AS (SELECT doc_id, {_terms('text')} AS words FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_terms('text')} AS words FROM benchmark),
+phrases AS (
+    SELECT DISTINCT item_id, list_slice(words, i, i + 12) AS phrase
+    FROM (SELECT *, unnest(range(1, greatest(2, len(words) - 11))) AS i FROM items WHERE len(words) > 0)
+), sizes AS (SELECT DISTINCT len(phrase) AS n FROM phrases),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM docs),
+hits AS (
+    SELECT doc_id, i, n, item_id FROM places JOIN sizes ON i + n - 1 <= len(words)
+    JOIN phrases ON phrase = list_slice(words, i, i + n - 1)
+), covered AS (
+    SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS w FROM hits) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
+    FROM hits GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_extendible_sharding": _SHARDS,
+    "op4_warc_normaliser": _ARCHIVE,
+    "op7_license_scan": _LICENSES,
+    "op9_ngram_jaccard_join": _JACCARD,
+    "op10_benchmark_decontamination": _OVERLAP,
+}

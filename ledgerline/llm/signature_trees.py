@@ -30,11 +30,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPACE_LOWER, codes, components, materialize, slices, words
+from ledgerline.llm.common import SPACE_LOWER, codes, components, id_filter, materialize, slices, words
 
 SHINGLE = 3
 PERCENT = 90
@@ -164,11 +165,21 @@ def _measured(documents: DataFrame, length: int, percent: int) -> DataFrame:
     return _rows(documents).mapInArrow(measure, "doc_id bigint, n bigint, p1 bigint, p2 bigint, keys array<bigint>")
 
 
-def _contents(documents: DataFrame, length: int) -> DataFrame:
-    """``doc_id``, fingerprint, hashes, bitmap, and the least number of bits that a partner must share."""
+def _contents(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """``doc_id``, fingerprint, hashes, bitmap and its bits, of the documents ``wanted`` and maybe some others.
+
+    A filter of the ids wanted, of bounded size, spares a shuffle of all texts.
+    """
+    known = id_filter(wanted)
+    if known is None:
+        documents = documents.join(wanted, "doc_id", "left_semi")
 
     def content(batches):
         for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column("doc_id")))
+            if known is not None:
+                ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+                batch = batch.filter(pa.array(known.value.may_hold(ids)))
             for part in slices(batch, "text"):
                 sets = shingle_hashes(part, length)
                 prints = [_fingerprint(x) for x in sets]
@@ -323,8 +334,7 @@ def links(documents: DataFrame, measured: DataFrame, length: int, percent: int)
     shared = parts.select(first.alias("a"), F.col("p1").alias("b")).where("a <> b").distinct()
     roots = components(shared, "forest").select(F.col("node").alias("p1"), F.col("component").alias("root"))
     members = materialize(classes.join(roots, "p1").select("root", "doc_id", "p1", "p2", "n"), "tree-members")
-    wanted = documents.join(members.select("doc_id").distinct(), "doc_id", "left_semi")
-    units = _units(members, _contents(wanted, length), percent)
+    units = _units(members, _contents(documents, members.select("doc_id").distinct(), length), percent)
 
     def compare(batch: pa.Table) -> pa.Table:
         ids = batch.column("doc_id").to_pylist()

@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import random
+
+import brute
+import pytest
+from conftest import EDGE_TEXTS, PROSE, rows
+from pyspark.sql import functions as F
+
+from ledgerline.llm import decontamination
+
+
+def digest(spark, docs, items, **options):
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    items = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontamination.overlap(docs, items, **options)
+    return rows(
+        found, "doc_id", "n_words", "n_hit", F.size("items"), F.sha2(F.array_join("items", ","), 256), decontamination.contaminated()
+    )
+
+
+@pytest.mark.parametrize("at_once", [200_000, 7])
+def test_phrases_match_brute_force(spark, monkeypatch, at_once):
+    monkeypatch.setattr(decontamination, "PHRASES_AT_ONCE", at_once)
+    rng = random.Random(1)
+    vocabulary = ["the", "of", "a", "sea", "boat", "Zoë"]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(i, text(rng.choice([0, 1, 3, 15]))) for i in range(12)] + [(50, None), (51, "?!")]
+    docs = [(i, text(rng.randrange(60))) for i in range(30)]
+    docs += [(100 + i, f"{text(5)} {items[i][1].upper()}, {text(40)}") for i in range(12)]
+    assert digest(spark, docs, items) == sorted(brute.overlaps(docs, items), key=repr)
+
+
+def test_phrases_do_not_reach_across_documents(spark):
+    words = PROSE.split()
+    docs = [(1, " ".join(words[:8])), (2, " ".join(words[8:])), (3, PROSE)]
+    assert digest(spark, docs, [(9, PROSE)]) == sorted(brute.overlaps(docs, [(9, PROSE)]), key=repr)
+
+
+def test_proximity_matches(spark):
+    words = "alpha beta gamma delta epsilon zeta".split()
+    docs = [(1, " ".join(words)), (2, "alpha beta x gamma delta epsilon zeta"), (3, "alpha beta x y z gamma delta epsilon zeta")]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    index = decontamination.build_index(docs)
+    wanted = decontamination.phrases(spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string"))
+    ids = decontamination.documents_of(index).select("block", "document", "doc_id")
+    found = decontamination.search(index, wanted, slack=1).join(ids, ["block", "document"])
+    assert rows(found, "doc_id", "first_word", "n_words", "exact") == [(1, 0, 6, True), (2, 0, 7, False)]
+
+
+def test_special_cases(spark, edge_documents, no_documents):
+    items = spark.createDataFrame([(1, PROSE), (2, None), (3, ""), (4, "one"), (4, "one")], "item_id bigint, text string")
+    found = decontamination.overlap(edge_documents, items)
+    want = brute.overlaps(EDGE_TEXTS, [(1, PROSE), (4, "one")])
+    assert rows(found, "doc_id", "n_words", "n_hit") == sorted((w[:3] for w in want), key=repr)
+    assert rows(decontamination.overlap(no_documents, items)) == []
+    none = decontamination.overlap(edge_documents, spark.createDataFrame([], "item_id bigint, text string"))
+    assert {r[0] for r in rows(none, "n_hit")} == {0} and none.count() == len(EDGE_TEXTS)
+
+
+def test_contaminated_documents_go(spark, edge_documents, no_documents):
+    items = spark.createDataFrame([(1, PROSE)], "item_id bigint, text string")
+    found = decontamination.without_contaminated(edge_documents, items)
+    assert found.dtypes == edge_documents.dtypes
+    # Both rows without an id go, as one of them is contaminated.
+    assert rows(found, "doc_id") == [(10,), (11,), (12,), (3,), (4,), (5,), (6,), (7,), (8,), (8,), (9,)]
+    assert rows(decontamination.without_contaminated(no_documents, items)) == []

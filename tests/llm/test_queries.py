@@ -1,0 +1,104 @@
+"""The registered queries on the smallest tables, beside brute force and SQL."""
+
+from __future__ import annotations
+
+import brute
+import duckdb
+import pytest
+from conftest import SF_DIR, rows
+
+from ledgerline.llm.oracles import ORACLES
+from ledgerline.llm.queries import QUERIES
+from ledgerline.llm.tokens import public_tokenizer
+
+
+@pytest.fixture(scope="module")
+def docs(tables):
+    return [(r[0], r[1]) for r in tables["documents"]]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_its_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    cur = con.execute(ORACLES[name])
+    names = [d[0] for d in cur.description]
+    want = sorted(cur.fetchall(), key=repr)
+    assert rows(QUERIES[name](spark, SF_DIR), *names) == want
+
+
+def test_packing(spark, docs):
+    from tokenizers import Tokenizer
+
+    found = QUERIES["op2_best_fit_packing"](spark, SF_DIR).cache()
+    tokenizer = Tokenizer.from_file(public_tokenizer())
+    want = sorted(brute.pieces(docs, tokenizer), key=repr)
+    assert rows(found, "doc_id", "piece", "start", "length", "ids_crc32") == want
+    places = rows(found, "sequence_id", "offset", "length")
+    assert brute.gapless(places)
+    # Best fit comes within a sequence of what the ids need at least.
+    assert len({p[0] for p in places}) <= -(-sum(p[2] for p in places) // 4096) + 1
+
+
+def test_archive(spark, tables):
+    pages = [(r[0], r[2]) for r in tables["pages"]]
+    assert rows(QUERIES["op4_warc_normaliser"](spark, SF_DIR)) == sorted(brute.archived(pages), key=repr)
+
+
+def test_personal_data(spark, docs):
+    found = QUERIES["op5_pii_disclosure"](spark, SF_DIR)
+    want = sorted(((i, *brute.personal(t)[:5]) for i, t in docs), key=repr)
+    assert rows(found, "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == want
+
+
+def test_token_counts(spark, docs):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizer())
+    sizes = [len(tokenizer.encode(t or "", add_special_tokens=False).ids) for _, t in docs]
+    want = [
+        (
+            n,
+            sizes.count(n),
+            sum(x > n for x in sizes),
+            sum(x for x in sizes if x > n),
+            sum(x <= n for x in sizes),
+            sum(x for x in sizes if x <= n),
+            sum(min(x, n) for x in sizes),
+        )
+        for n in set(sizes)
+    ]
+    found = QUERIES["op6_token_counts"](spark, SF_DIR)
+    columns = ("length", "n_docs", "docs_over", "tokens_over", "docs_within", "tokens_within", "truncated_total")
+    assert rows(found, *columns) == sorted(want, key=repr)
+
+
+def test_licenses(spark, docs):
+    found = QUERIES["op7_license_scan"](spark, SF_DIR)
+    want = sorted(((i, *brute.licenses(t)) for i, t in docs), key=repr)
+    assert rows(found, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels") == want
+
+
+def test_quality(spark, docs):
+    found = QUERIES["op8_quality_rules"](spark, SF_DIR).cache()
+    want = sorted(((i, *brute.quality(t).values()) for i, t in docs), key=repr)
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert rows(found, *columns) == want
+    assert found.where("base_failed and kept").isEmpty()
+
+
+def test_near_duplicates(spark, docs):
+    want = sorted(((i, *x) for i, x in brute.near(docs).items()), key=repr)
+    assert rows(QUERIES["op9_ngram_jaccard_join"](spark, SF_DIR)) == want
+
+
+def test_decontamination(spark, docs, tables):
+    want = sorted(brute.overlaps(docs, tables["benchmark"]), key=repr)
+    assert rows(QUERIES["op10_benchmark_decontamination"](spark, SF_DIR)) == want
+
+
+@pytest.mark.parametrize("name", ["op5_pii_disclosure", "op7_license_scan"])
+def test_native_queries_run_no_python(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
