@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import materialize, slices
-from ledgerline.llm.tokens import WordEncoder
+from ledgerline.llm.tokens import word_encoder
 
 CAPACITY = 4096
 END = 1
@@ -47,7 +47,7 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end:
     """The documents' ids, with ``end`` behind, cut every ``capacity`` ids; ``with_ids`` adds them as ``ids``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         for batch in batches:
             for part in slices(batch, "text"):
                 flat, firsts = encoder.ids(pc.fill_null(part.column("text"), ""))

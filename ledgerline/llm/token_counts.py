@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import materialize, slices
-from ledgerline.llm.tokens import WordEncoder
+from ledgerline.llm.tokens import word_encoder
 
 BLOCK = 1024
 
@@ -27,7 +27,7 @@ def lengths(documents: DataFrame, tokenizer: str) -> DataFrame:
     """``length``: the number of ids of each document's text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         for batch in batches:
             for part in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays(

@@ -23,7 +23,7 @@ def tokenizer():
 @given(st.lists(st.text(max_size=60), max_size=6))
 @settings(max_examples=150, deadline=None)
 def test_words_encode_as_the_whole_text_does(tokenizer, texts):
-    texts += ["a\x0b!b \x0c\x1c'S x<|endoftext|>y z é ́e", "İSTANBUL ΟΔΟΣ ﬁ ①"]
+    texts += ["a\x0b!b \x0c\x1c'S x<|endoftext|>y z é ́e", "İSTANBUL ΟΔΟΣ ﬁ ①", "a.b,c..d 3.14,5 x.'s A.É,e\u0301.", "<|ENDOFTEXT|> The.<|endoftext|>,a"]
     flat, starts = WordEncoder(public_tokenizer()).ids(pa.array(texts, pa.string()))
     for text, a, b in zip(texts, starts[:-1], starts[1:]):
         assert flat[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
