@@ -14,8 +14,8 @@ length     the block has at least ``a`` words,
 position   the words after the first common one suffice on both sides.
 
 Only built-in functions run. The template table is small and fixed; Spark decides
-on broadcasts by its size. Of templates found in a block those whose words another
-found one holds too are dropped, as "GNU Lesser" holds all words of "GNU".
+on broadcasts by its size. Of templates found in a block those are dropped whose
+words another holds too that is found as fully, as "GNU Lesser" holds "GNU".
 
 Null and empty texts have no words. Repeated rows get the same labels each; rows
 are found again by id and text hash, so ids may repeat or be null. Other columns
@@ -166,7 +166,10 @@ def block_labels(matches: DataFrame) -> DataFrame:
     found = F.collect_list(F.struct("label", "words", "containment"))
     blocks = matches.groupBy("doc_id", "print", "line_no").agg(found.alias("found"))
     wider = lambda x: F.exists(
-        "found", lambda y: (F.size(y["words"]) > F.size(x["words"])) & (F.size(F.array_except(x["words"], y["words"])) == 0)
+        "found",
+        lambda y: (F.size(y["words"]) > F.size(x["words"]))
+        & (y["containment"] >= x["containment"])
+        & (F.size(F.array_except(x["words"], y["words"])) == 0),
     )
     kept = blocks.select("doc_id", "print", F.explode(F.filter("found", lambda x: ~wider(x))).alias("x"))
     return kept.groupBy("doc_id", "print").agg(

@@ -78,7 +78,7 @@ starts AS (
 ), kept AS (
     SELECT * FROM found a WHERE NOT EXISTS (
         SELECT 1 FROM found b WHERE b.doc_id = a.doc_id AND b.line_no = a.line_no
-        AND len(b.own) > len(a.own) AND len(list_intersect(a.own, b.own)) = len(a.own))
+        AND len(b.own) > len(a.own) AND b.containment >= a.containment AND len(list_intersect(a.own, b.own)) = len(a.own))
 ), method AS (
     SELECT doc_id, list_distinct(list(label)) AS labels, max(containment) AS score FROM kept GROUP BY doc_id
 )

@@ -36,9 +36,9 @@ def plain(texts, percent=90):
         for line in (text or "").split("\n"):
             block = set(brute.TERM.findall(brute.lower(line)))
             found = [(label, set(t.split())) for label, t in licenses.TEMPLATES]
-            found = [(label, t) for label, t in found if 100 * len(t & block) >= percent * len(t)]
-            score = max([score, *(len(t & block) / len(t) for _, t in found)])
-            labels |= {label for label, t in found if not any(t < other for _, other in found)}
+            found = [(label, t, len(t & block) / len(t)) for label, t in found if 100 * len(t & block) >= percent * len(t)]
+            score = max([score, *(share for *_, share in found)])
+            labels |= {label for label, t, share in found if not any(t < other and more >= share for _, other, more in found)}
         base = brute.licenses(text)
         labels |= set(base[4].split(",")) - {""}
         out.append((",".join(sorted(labels)), 1.0 if base[1] else score))
