@@ -12,18 +12,36 @@ from ledgerline.schemas import MONEY
 UNKNOWN_ZIP = 99999
 
 
-def integer(value: Column, kind: str = "int") -> Column:
-    """Whole number, NULL when the text is not one (a plain cast would raise)."""
-    return value.try_cast(kind)
+# Whole numbers as deliveries spell them, also as ``7.0``; two decimals at most.
+WHOLE = r"^[+-]?[0-9]{1,19}(?:\.0*)?$"
+AMOUNT = r"^[+-]?[0-9]{1,16}(?:\.[0-9]{0,2}0*)?$"
+
+
+def whole_number(text: Column) -> Column:
+    """BIGINT of a delivered text, NULL when it is no whole number."""
+    text = F.trim(text)
+    return F.when(text.rlike(WHOLE), F.regexp_replace(text, r"\.0*$", "").try_cast("bigint"))
+
+
+def amount(text: Column) -> Column:
+    """Money of a delivered text, NULL when it has more than two decimals or is no number."""
+    text = F.trim(text)
+    return F.when(text.rlike(AMOUNT), text.try_cast(MONEY))
 
 
 def zip_or_unknown(value: Column) -> Column:
-    return F.when(value.isNull(), UNKNOWN_ZIP).otherwise(integer(value))
+    return F.when(value.isNull(), UNKNOWN_ZIP).otherwise(value.cast("int"))
+
+
+def padded(value: Column, width: int) -> Column:
+    """Zeros in front up to ``width`` characters; longer values stay whole."""
+    text = value.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
 def zip_text(zip_code: Column) -> Column:
-    """Five characters; the numeric form loses leading zeros."""
-    return F.lpad(zip_code.cast("string"), 5, "0")
+    """Five characters at least; the numeric form loses leading zeros."""
+    return padded(zip_code, 5)
 
 
 def us_phone(value: Column) -> Column:

@@ -1,6 +1,7 @@
 """Clean-up projections from delivered records to stored tables.
 
-Each is narrow (no shuffle) and meant for ``df.transform``.
+Each is narrow (no shuffle) and meant for ``df.transform``. Columns may be typed or
+text as delivered; text must have passed the rules of ``operators.quality``.
 """
 
 from __future__ import annotations
@@ -15,10 +16,25 @@ def _col(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(kind)
 
 
-def clean_branch(raw: DataFrame, key_type: str = "int") -> DataFrame:
-    zip_code = fn.zip_or_unknown(F.col("BRANCH_ZIP"))
+def _is_text(df: DataFrame, name: str) -> bool:
+    return name in df.columns and df.schema[name].dataType.simpleString() == "string"
+
+
+def _whole(df: DataFrame, name: str, kind: str = "bigint") -> Column:
+    """The column as a whole number of type ``kind``."""
+    value = _col(df, name, kind)
+    return (fn.whole_number(value) if _is_text(df, name) else value).try_cast(kind)
+
+
+def _time(df: DataFrame, name: str) -> Column:
+    """The column as a time; a text in another format is unknown."""
+    return F.col(name).try_cast("timestamp") if _is_text(df, name) else F.col(name)
+
+
+def clean_branch(raw: DataFrame) -> DataFrame:
+    zip_code = fn.zip_or_unknown(_whole(raw, "BRANCH_ZIP"))
     return raw.select(
-        fn.integer(F.col("BRANCH_CODE"), key_type).alias("BRANCH_CODE"),
+        _whole(raw, "BRANCH_CODE").alias("BRANCH_CODE"),
         "BRANCH_NAME",
         "BRANCH_STREET",
         "BRANCH_CITY",
@@ -26,14 +42,14 @@ def clean_branch(raw: DataFrame, key_type: str = "int") -> DataFrame:
         zip_code.alias("BRANCH_ZIP"),
         fn.zip_text(zip_code).alias("BRANCH_ZIP5"),
         fn.us_phone(F.col("BRANCH_PHONE")).alias("BRANCH_PHONE"),
-        "LAST_UPDATED",
+        _time(raw, "LAST_UPDATED").alias("LAST_UPDATED"),
     )
 
 
-def clean_customer(raw: DataFrame, key_type: str = "int") -> DataFrame:
-    zip_code = fn.zip_or_unknown(F.col("CUST_ZIP"))
+def clean_customer(raw: DataFrame) -> DataFrame:
+    zip_code = fn.zip_or_unknown(_whole(raw, "CUST_ZIP"))
     return raw.select(
-        fn.integer(F.col("SSN"), key_type).alias("SSN"),
+        _whole(raw, "SSN").alias("SSN"),
         F.initcap("FIRST_NAME").alias("FIRST_NAME"),
         F.lower("MIDDLE_NAME").alias("MIDDLE_NAME"),
         F.initcap("LAST_NAME").alias("LAST_NAME"),
@@ -46,22 +62,23 @@ def clean_customer(raw: DataFrame, key_type: str = "int") -> DataFrame:
         fn.zip_text(zip_code).alias("CUST_ZIP5"),
         fn.us_phone(F.col("CUST_PHONE")).alias("CUST_PHONE"),
         "CUST_EMAIL",
-        "LAST_UPDATED",
+        _time(raw, "LAST_UPDATED").alias("LAST_UPDATED"),
     )
 
 
 def clean_transaction(raw: DataFrame) -> DataFrame:
     """One date instead of three parts; the card column gets its stored name."""
-    date = fn.calendar_date(F.col("YEAR"), F.col("MONTH"), F.col("DAY"))
+    date = fn.calendar_date(*(_whole(raw, part, "int") for part in ("YEAR", "MONTH", "DAY")))
+    value = fn.amount(F.col("TRANSACTION_VALUE")) if _is_text(raw, "TRANSACTION_VALUE") else fn.money(F.col("TRANSACTION_VALUE"))
     return raw.select(
         F.col("CREDIT_CARD_NO").alias("CUST_CC_NO"),
         fn.time_id(date).alias("TIMEID"),
         date.alias("TXN_DATE"),
-        "CUST_SSN",
-        _col(raw, "BRANCH_CODE", "int").alias("BRANCH_CODE"),
+        _whole(raw, "CUST_SSN").alias("CUST_SSN"),
+        _whole(raw, "BRANCH_CODE").alias("BRANCH_CODE"),
         "TRANSACTION_TYPE",
-        fn.money(F.col("TRANSACTION_VALUE")).alias("TRANSACTION_VALUE"),
-        _col(raw, "TRANSACTION_ID", "bigint").alias("TRANSACTION_ID"),
+        value.alias("TRANSACTION_VALUE"),
+        _whole(raw, "TRANSACTION_ID").alias("TRANSACTION_ID"),
     )
 
 
@@ -70,6 +87,15 @@ def with_month_columns(txn: DataFrame) -> DataFrame:
     return txn.withColumns({"TXN_YEAR": F.year("TXN_DATE"), "TXN_MONTH": F.month("TXN_DATE")})
 
 
+# Stored beside the type, so that a search that ignores case reaches the scan.
+TYPE_KEY = "TRANSACTION_TYPE_KEY"
+
+
+def as_stored_transactions(txn: DataFrame) -> DataFrame:
+    """The fact table: type in small letters, and the partition columns last."""
+    return with_month_columns(txn.withColumn(TYPE_KEY, F.lower("TRANSACTION_TYPE")))
+
+
 def ignoring_case(df: DataFrame, *names: str) -> DataFrame:
     """The columns with a collation under which comparing and grouping ignore case.
 

@@ -6,13 +6,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.operators.keyed import one_per_key, surplus
+from ledgerline.functions import columns as fn
+from ledgerline.operators.keyed import distinct_keys, one_per_key, surplus
 from ledgerline.schemas import LOAN_COLUMNS, LOAN_LENGTHS
 
 REASON = "reject_reason"
 DUPLICATE = "duplicate_key"
 STORED = "already_stored"
 CORRUPT = "_corrupt_record"
+LOST = "lost_in_corrupt"
 
 
 @dataclass(frozen=True)
@@ -31,8 +33,25 @@ def longest(name: str, limit: int) -> Rule:
     return Rule(f"too_long:{name}", F.char_length(F.col(name)) > limit)
 
 
-def castable(name: str, kind: str) -> Rule:
-    return Rule(f"not_{kind}:{name}", F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull())
+def whole(name: str) -> Rule:
+    """A text that is there must spell a whole number, also as ``1.0``."""
+    return Rule(f"not_whole:{name}", F.col(name).isNotNull() & fn.whole_number(F.col(name)).isNull())
+
+
+def zip_code(name: str) -> list[Rule]:
+    """Five digits at most; a longer code is not cut."""
+    digits = fn.whole_number(F.col(name))
+    return [whole(name), Rule(f"too_long:{name}", (digits < 0) | (digits > 99_999))]
+
+
+def money(name: str) -> Rule:
+    return Rule(f"not_money:{name}", F.col(name).isNotNull() & fn.amount(F.col(name)).isNull())
+
+
+def real_date(*parts: str) -> Rule:
+    """Year, month and day are there and name a day that exists."""
+    date = fn.calendar_date(*(fn.whole_number(F.col(part)).try_cast("int") for part in parts))
+    return Rule("no_date:" + "-".join(parts), date.isNull())
 
 
 def not_corrupt() -> Rule:
@@ -44,7 +63,26 @@ def loan_rules() -> list[Rule]:
     return [
         required("Application_ID"),
         *[longest(name, limit) for name, limit in LOAN_LENGTHS.items()],
-        castable("Credit_History", "int"),
+        whole("Credit_History"),
+        Rule("too_large:Credit_History", F.abs(fn.whole_number(F.col("Credit_History"))) > 2_147_483_647),
+    ]
+
+
+def branch_rules() -> list[Rule]:
+    return [required("BRANCH_CODE"), whole("BRANCH_CODE"), *zip_code("BRANCH_ZIP")]
+
+
+def customer_rules() -> list[Rule]:
+    return [required("SSN"), whole("SSN"), *zip_code("CUST_ZIP")]
+
+
+def transaction_rules() -> list[Rule]:
+    """Nothing that bills, ranges and totals need may be missing or misspelt."""
+    return [
+        *[required(name) for name in ("TRANSACTION_ID", "CREDIT_CARD_NO", "CUST_SSN", "TRANSACTION_VALUE")],
+        *[whole(name) for name in ("TRANSACTION_ID", "CUST_SSN", "BRANCH_CODE")],
+        money("TRANSACTION_VALUE"),
+        real_date("YEAR", "MONTH", "DAY"),
     ]
 
 
@@ -63,25 +101,27 @@ def _sound(flagged: DataFrame) -> DataFrame:
     return flagged.where(F.col(REASON).isNull()).drop(REASON, CORRUPT)
 
 
-def accepted(flagged: DataFrame, key: str | None = None) -> DataFrame:
+def accepted(flagged: DataFrame, key: str | None = None, newest: Column | None = None) -> DataFrame:
     """Sound rows; with a key, each key once.
 
-    Of several rows with one key the smallest by column order stays.
+    Of several rows with one key the one with the greatest ``newest`` stays, NULL
+    being the least; without that, and among equals, the smallest by column order.
     """
     sound = _sound(flagged)
     if key is None:
         return sound
-    return one_per_key(sound, [key], [F.col(name).asc() for name in sound.columns if name != key])
+    order = [] if newest is None else [newest.desc_nulls_last()]
+    return one_per_key(sound, [key], order + [F.col(name).asc() for name in sound.columns if name != key])
 
 
-def rejected(flagged: DataFrame, key: str | None = None) -> DataFrame:
+def rejected(flagged: DataFrame, key: str | None = None, newest: Column | None = None) -> DataFrame:
     """Every row that ``accepted`` leaves out, with reason and number of equal rows."""
     broken = flagged.where(F.col(REASON).isNotNull())
     broken = broken.groupBy(*broken.columns).agg(F.count("*").alias("copies"))
     if key is None:
         return broken
     sound = _sound(flagged)
-    repeats = surplus(sound, accepted(flagged, key)).withColumn(REASON, F.lit(DUPLICATE))
+    repeats = surplus(sound, accepted(flagged, key, newest)).withColumn(REASON, F.lit(DUPLICATE))
     return broken.unionByName(repeats, allowMissingColumns=True)
 
 
@@ -90,22 +130,42 @@ def duplicate_keys(batch: DataFrame, key: str) -> DataFrame:
     return counts.where(F.col("copies") > 1)
 
 
+def held_keys(wanted: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """The stored keys that ``wanted`` names: a short list.
+
+    A stored table is large and a batch often small. The batch's keys are the
+    right side, so Spark broadcasts them when they are few and the stored keys
+    are not shuffled.
+    """
+    return stored.select(key).join(distinct_keys(wanted, key), key, "left_semi")
+
+
 def new_only(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows whose key the stored table does not hold yet."""
-    return batch.join(stored.select(key), key, "left_anti")
+    return batch.join(held_keys(batch, stored, key), key, "left_anti")
 
 
 def already_stored(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows whose key the stored table already holds."""
-    return batch.join(stored.select(key), key, "left_semi")
+    return batch.join(held_keys(batch, stored, key), key, "left_semi")
+
+
+def check_lines(flagged: DataFrame) -> None:
+    """Raises when the damaged records are lines of documents that span lines."""
+    if CORRUPT in flagged.columns and not flagged.where(F.trim(CORRUPT).isin("[", "{", "[{")).isEmpty():
+        raise ValueError("the documents span lines: read them with multi_line=True")
 
 
 def load_report(flagged: DataFrame, key: str | None = None) -> DataFrame:
     """Rows per outcome: ``read``, ``accepted``, and one line per reject reason.
 
-    Rows are counted per (reason, key) first, inside the map tasks, so neither a
-    hot key nor a frequent reason weighs on one task. Broken rows need no key.
+    ``read`` and ``accepted`` are there also when nothing was delivered. A damaged
+    array document is one damaged row; the records it names are its loss and
+    count as read: ``lost_in_corrupt``. Rows are counted per (reason, key) first,
+    inside the map tasks, so neither a hot key nor a frequent reason weighs on
+    one task. Broken rows need no key.
     """
+    lost = _lost_records(flagged)
     sound = F.col(REASON).isNull()
     if key is None:
         counted = flagged.groupBy(REASON).agg(F.count("*").alias("n")).withColumn("keys", F.col("n"))
@@ -122,24 +182,46 @@ def load_report(flagged: DataFrame, key: str | None = None) -> DataFrame:
             F.lit(DUPLICATE), F.when(sound, F.col("n") - F.col("keys")).otherwise(F.lit(0).cast("bigint")),
         ).alias("outcome", "rows")
     )
-    return outcomes.groupBy("outcome").agg(F.sum("rows").alias("rows"))
+    always = flagged.sparkSession.createDataFrame([("read", 0), ("accepted", 0)], "outcome string, rows bigint")
+    found = outcomes.unionByName(always).unionByName(lost).groupBy("outcome").agg(F.sum("rows").alias("rows"))
+    return found.where("rows > 0 or outcome in ('read', 'accepted')")
+
+
+# The keys by which records are told in a damaged document.
+_KEYS = ("Application_ID", "TRANSACTION_ID", "SSN", "BRANCH_CODE")
+
+
+def _lost_records(flagged: DataFrame) -> DataFrame:
+    """Records that damaged documents name beyond the one row that each is counted as."""
+    if CORRUPT not in flagged.columns:
+        return flagged.sparkSession.createDataFrame([], "outcome string, rows bigint")
+    named = F.greatest(*(F.regexp_count(CORRUPT, F.lit(f'"{key}"\\s*:')) for key in _KEYS)) - 1
+    n = F.coalesce(F.sum(F.when(named > 0, named)), F.lit(0)).cast("bigint")
+    lost = flagged.where(F.col(CORRUPT).isNotNull()).agg(n.alias("n"))
+    return lost.select(F.stack(F.lit(2), F.lit("read"), F.col("n"), F.lit(LOST), F.col("n")).alias("outcome", "rows"))
 
 
 def check_reject_rate(report: DataFrame, most: float) -> None:
-    """Raises when a larger share than ``most`` of the rows read was rejected.
+    """Raises when nothing was accepted, or a larger share than ``most`` of the rows read rejected.
 
-    Brings two counts to the driver.
+    Repeated rows are no defect of the delivery and count as accepted. Brings
+    three counts to the driver.
     """
-    read, kept = report.agg(
-        F.coalesce(F.sum(F.when(F.col("outcome") == "read", F.col("rows"))), F.lit(0)),
-        F.coalesce(F.sum(F.when(F.col("outcome") == "accepted", F.col("rows"))), F.lit(0)),
-    ).first()
-    if read - kept > most * read:
-        raise ValueError(f"{read - kept} of {read} rows rejected, more than the allowed share {most}")
+    named = {"read": "read", "kept": "accepted", "again": DUPLICATE}
+    counts = [
+        F.coalesce(F.sum(F.when(F.col("outcome") == outcome, F.col("rows"))), F.lit(0)).alias(name)
+        for name, outcome in named.items()
+    ]
+    found = report.agg(*counts).first()
+    bad = found.read - found.kept - found.again
+    if not found.kept:
+        raise ValueError(f"none of {found.read} rows accepted")
+    if bad > most * found.read:
+        raise ValueError(f"{bad} of {found.read} rows rejected, more than the allowed share {most}")
 
 
 def as_stored_loan(rows: DataFrame) -> DataFrame:
     """The ten stored columns in stored types."""
     return rows.select(
-        *[F.col(n).cast("int").alias(n) if n == "Credit_History" else F.col(n) for n in LOAN_COLUMNS]
+        *[fn.whole_number(F.col(n)).cast("int").alias(n) if n == "Credit_History" else F.col(n) for n in LOAN_COLUMNS]
     )

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerline.functions import columns as fn
-from ledgerline.operators.accounts import month_rows, newest_first
-from ledgerline.operators.clean import ignoring_case
+from ledgerline.operators.accounts import MONTH_COLUMNS, month_rows, newest_first
+from ledgerline.operators.clean import TYPE_KEY, ignoring_case
 
 
 # --- groups -----------------------------------------------------------------
@@ -54,6 +54,9 @@ def leaders(groups: DataFrame, measure: str) -> DataFrame:
 # --- transactions by type ---------------------------------------------------
 
 def of_type(txn: DataFrame, txn_type: str, ignore_case: bool = False) -> DataFrame:
+    """Rows of one type. The stored type in small letters, if there, is compared in the scan."""
+    if ignore_case and TYPE_KEY in txn.columns:
+        return txn.where(F.col(TYPE_KEY) == txn_type.lower())
     if ignore_case:
         txn = ignoring_case(txn, "TRANSACTION_TYPE")
     return txn.where(F.col("TRANSACTION_TYPE") == txn_type)
@@ -116,11 +119,16 @@ def txn_by_zip_month(txn: DataFrame, customers: DataFrame, zip_code: int, year:
 # --- months -----------------------------------------------------------------
 
 def top_months(txn: DataFrame, k: int = 3) -> DataFrame:
-    """The ``k`` months with most transactions; undated rows are left out first."""
-    dated = txn.where(F.col("TXN_DATE").isNotNull())
-    months = dated.groupBy(F.year("TXN_DATE").alias("YEAR"), F.month("TXN_DATE").alias("MONTH")).agg(
-        F.count("*").alias("TXN_COUNT")
-    )
+    """The ``k`` months with most transactions; undated rows are left out first.
+
+    A table partitioned by month is counted by its partition columns, of which
+    the undated partition is left out: no data column is read.
+    """
+    if MONTH_COLUMNS <= set(txn.columns):
+        dated, year, month = txn.where("TXN_YEAR is not null and TXN_MONTH is not null"), F.col("TXN_YEAR"), F.col("TXN_MONTH")
+    else:
+        dated, year, month = txn.where(F.col("TXN_DATE").isNotNull()), F.year("TXN_DATE"), F.month("TXN_DATE")
+    months = dated.groupBy(year.alias("YEAR"), month.alias("MONTH")).agg(F.count("*").alias("TXN_COUNT"))
     top = largest_first(months, "TXN_COUNT", "YEAR", "MONTH").limit(k)
     return top.withColumn("LABEL", fn.month_label(F.col("YEAR"), F.col("MONTH")))
 

@@ -6,32 +6,32 @@ from __future__ import annotations
 _VIEWS = {
     "raw_customer": ((), """
         SELECT c_custkey AS SSN, c_mktsegment AS FIRST_NAME, upper(n_name) AS MIDDLE_NAME, upper(c_name) AS LAST_NAME,
-               '4' || lpad(CAST(c_custkey AS VARCHAR), 15, '0') AS CREDIT_CARD_NO,
+               '4' || repeat('0', greatest(0, 15 - length(CAST(c_custkey AS VARCHAR)))) || CAST(c_custkey AS VARCHAR) AS CREDIT_CARD_NO,
                CASE WHEN c_acctbal >= 0 THEN n_name END AS STREET_NAME,
                CASE WHEN c_mktsegment <> 'BUILDING' THEN CAST(c_custkey AS VARCHAR) END AS APT_NO,
                n_name AS CUST_CITY, n_name AS CUST_STATE, r_name AS CUST_COUNTRY,
                CAST(CASE WHEN c_mktsegment <> 'MACHINERY' THEN 1000 + c_nationkey END AS INT) AS CUST_ZIP,
                CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN CAST(c_custkey AS VARCHAR)
-                    ELSE '123' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') END AS CUST_PHONE,
+                    ELSE '123' || repeat('0', greatest(0, 7 - length(CAST(c_custkey AS VARCHAR)))) || CAST(c_custkey AS VARCHAR) END AS CUST_PHONE,
                'c' || CAST(c_custkey AS VARCHAR) || '@example.com' AS CUST_EMAIL,
-               '2018-04-21 12:49:02' AS LAST_UPDATED
+               '2021-09-30 07:15:44' AS LAST_UPDATED
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""),
     "raw_branch": ((), """
         SELECT s_suppkey AS BRANCH_CODE, s_name AS BRANCH_NAME, n_name || ' Street' AS BRANCH_STREET,
                n_name AS BRANCH_CITY, n_name AS BRANCH_STATE,
                CAST(CASE WHEN s_acctbal >= 0 THEN 2000 + s_nationkey END AS INT) AS BRANCH_ZIP,
-               '123' || lpad(CAST(s_suppkey AS VARCHAR), 7, '0') AS BRANCH_PHONE,
-               '2018-04-21 12:49:02' AS LAST_UPDATED
+               '123' || repeat('0', greatest(0, 7 - length(CAST(s_suppkey AS VARCHAR)))) || CAST(s_suppkey AS VARCHAR) AS BRANCH_PHONE,
+               '2021-09-30 07:15:44' AS LAST_UPDATED
         FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey"""),
     "raw_card": ((), """
-        SELECT '4' || lpad(CAST(o_custkey AS VARCHAR), 15, '0') AS CREDIT_CARD_NO,
+        SELECT '4' || repeat('0', greatest(0, 15 - length(CAST(o_custkey AS VARCHAR)))) || CAST(o_custkey AS VARCHAR) AS CREDIT_CARD_NO,
                CAST(year(o_orderdate) AS INT) AS "YEAR", CAST(month(o_orderdate) AS INT) AS "MONTH",
                CAST(day(o_orderdate) AS INT) AS "DAY",
                o_custkey AS CUST_SSN, CAST(NULL AS BIGINT) AS BRANCH_CODE, o_orderpriority AS TRANSACTION_TYPE,
                CAST(o_totalprice AS DECIMAL(18,2)) AS TRANSACTION_VALUE, o_orderkey AS TRANSACTION_ID
         FROM orders"""),
     "raw_loan": ((), """
-        SELECT 'LP' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS Application_ID,
+        SELECT 'LP' || repeat('0', greatest(0, 12 - length(CAST(o_orderkey AS VARCHAR)))) || CAST(o_orderkey AS VARCHAR) AS Application_ID,
                CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY') THEN 'Male' ELSE 'Female' END AS Gender,
                CASE WHEN r_name IN ('AFRICA', 'EUROPE') THEN 'No' ELSE 'Yes' END AS Married,
                substr(o_orderpriority, 1, 1) AS Dependents,
@@ -50,7 +50,7 @@ _VIEWS = {
                     WHEN l_returnflag = 'A' THEN '1' ELSE '0' END AS Credit_History,
                Property_Area, Income, Application_Status
         FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
-             LEFT JOIN raw_loan ON Application_ID = 'LP' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0')"""),
+             LEFT JOIN raw_loan ON Application_ID = 'LP' || repeat('0', greatest(0, 12 - length(CAST(l_orderkey AS VARCHAR)))) || CAST(l_orderkey AS VARCHAR)"""),
     "flagged": (("loan_feed",), """
         SELECT *, CASE WHEN Application_ID IS NULL THEN 'missing:Application_ID'
                        WHEN length(Application_ID) > 20 THEN 'too_long:Application_ID'
@@ -62,7 +62,7 @@ _VIEWS = {
                        WHEN length(Property_Area) > 20 THEN 'too_long:Property_Area'
                        WHEN length(Income) > 20 THEN 'too_long:Income'
                        WHEN length(Application_Status) > 10 THEN 'too_long:Application_Status'
-                       WHEN Credit_History IS NOT NULL AND TRY_CAST(Credit_History AS INT) IS NULL THEN 'not_int:Credit_History'
+                       WHEN Credit_History IS NOT NULL AND TRY_CAST(Credit_History AS INT) IS NULL THEN 'not_whole:Credit_History'
                   END AS reject_reason
         FROM loan_feed"""),
     "sound": (("flagged",), """
@@ -78,7 +78,7 @@ _VIEWS = {
                upper(substr(LAST_NAME, 1, 1)) || lower(substr(LAST_NAME, 2)) AS LAST_NAME,
                CREDIT_CARD_NO AS Credit_card_no, concat_ws(', ', APT_NO, STREET_NAME) AS FULL_STREET_ADDRESS,
                CUST_CITY, CUST_STATE, CUST_COUNTRY, coalesce(CUST_ZIP, 99999) AS CUST_ZIP,
-               lpad(CAST(coalesce(CUST_ZIP, 99999) AS VARCHAR), 5, '0') AS CUST_ZIP5,
+               repeat('0', greatest(0, 5 - length(CAST(coalesce(CUST_ZIP, 99999) AS VARCHAR)))) || CAST(coalesce(CUST_ZIP, 99999) AS VARCHAR) AS CUST_ZIP5,
                CASE WHEN regexp_matches(CUST_PHONE, '^[0-9]{10}$')
                     THEN '(' || substr(CUST_PHONE, 1, 3) || ')' || substr(CUST_PHONE, 4, 3) || '-' || substr(CUST_PHONE, 7, 4)
                     ELSE CUST_PHONE END AS CUST_PHONE,
@@ -87,7 +87,7 @@ _VIEWS = {
     "branch_v": (("raw_branch",), """
         SELECT BRANCH_CODE, BRANCH_NAME, BRANCH_STREET, BRANCH_CITY, BRANCH_STATE,
                coalesce(BRANCH_ZIP, 99999) AS BRANCH_ZIP,
-               lpad(CAST(coalesce(BRANCH_ZIP, 99999) AS VARCHAR), 5, '0') AS BRANCH_ZIP5,
+               repeat('0', greatest(0, 5 - length(CAST(coalesce(BRANCH_ZIP, 99999) AS VARCHAR)))) || CAST(coalesce(BRANCH_ZIP, 99999) AS VARCHAR) AS BRANCH_ZIP5,
                CASE WHEN regexp_matches(BRANCH_PHONE, '^[0-9]{10}$')
                     THEN '(' || substr(BRANCH_PHONE, 1, 3) || ')' || substr(BRANCH_PHONE, 4, 3) || '-' || substr(BRANCH_PHONE, 7, 4)
                     ELSE BRANCH_PHONE END AS BRANCH_PHONE,
@@ -99,13 +99,28 @@ _VIEWS = {
                TRANSACTION_VALUE, TRANSACTION_ID
         FROM raw_card"""),
     "txn": ((), """
-        SELECT '4' || lpad(CAST(o_custkey AS VARCHAR), 15, '0') AS CUST_CC_NO, CAST(l_shipdate AS DATE) AS TXN_DATE,
+        SELECT '4' || repeat('0', greatest(0, 15 - length(CAST(o_custkey AS VARCHAR)))) || CAST(o_custkey AS VARCHAR) AS CUST_CC_NO, CAST(l_shipdate AS DATE) AS TXN_DATE,
                o_custkey AS CUST_SSN, l_suppkey AS BRANCH_CODE, p_type AS TRANSACTION_TYPE,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS TRANSACTION_VALUE
         FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey"""),
+    "customer_feed": ((), """
+        SELECT o_custkey AS SSN, o_orderstatus = 'P' AS long_zip,
+               CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END AS updated
+        FROM orders"""),
+    "card_flagged": (("raw_card",), """
+        SELECT *, TRY_CAST(printf('%04d-%02d-%02d', "YEAR", "MONTH", CAST(day_text AS INT)) AS DATE) AS d,
+               CASE WHEN CREDIT_CARD_NO IS NULL THEN 'missing:CREDIT_CARD_NO'
+                    WHEN right(value_text, 1) <> '0' THEN 'not_money:TRANSACTION_VALUE'
+                    WHEN TRY_CAST(printf('%04d-%02d-%02d', "YEAR", "MONTH", CAST(day_text AS INT)) AS DATE) IS NULL
+                    THEN 'no_date:YEAR-MONTH-DAY' END AS reject_reason
+        FROM (SELECT r.* REPLACE (CASE WHEN o_totalprice >= 5000 THEN CREDIT_CARD_NO END AS CREDIT_CARD_NO,
+                                  3000000000 + CUST_SSN AS CUST_SSN),
+                     CASE WHEN o_orderpriority = '1-URGENT' THEN '31' ELSE CAST("DAY" AS VARCHAR) END AS day_text,
+                     CAST(TRANSACTION_VALUE AS VARCHAR) || CASE WHEN o_orderstatus = 'P' THEN '5' ELSE '0' END AS value_text
+              FROM raw_card r JOIN orders ON o_orderkey = TRANSACTION_ID)"""),
     "loan": (("raw_loan",), "SELECT * REPLACE (CAST(Credit_History AS INT) AS Credit_History) FROM raw_loan"),
     "stored": ((), """
-        SELECT 'LP' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS Application_ID
+        SELECT 'LP' || repeat('0', greatest(0, 12 - length(CAST(o_orderkey AS VARCHAR)))) || CAST(o_orderkey AS VARCHAR) AS Application_ID
         FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'"""),
     "email_requests": ((), """
         SELECT user_id AS SSN, ts AS REQUESTED_AT, 'u' || CAST(event_id AS VARCHAR) || '@example.com' AS CUST_EMAIL
@@ -121,6 +136,14 @@ _CARD = (
     "CUST_CC_NO, TIMEID, CAST(TXN_DATE AS VARCHAR) AS TXN_DATE, CUST_SSN, BRANCH_CODE, TRANSACTION_TYPE, "
     "CAST(TRANSACTION_VALUE AS DOUBLE) AS TRANSACTION_VALUE, TRANSACTION_ID"
 )
+_STORED_CARD = (
+    f"{_CARD}, lower(TRANSACTION_TYPE) AS TRANSACTION_TYPE_KEY, "
+    "CAST(year(card.TXN_DATE) AS INT) AS TXN_YEAR, CAST(month(card.TXN_DATE) AS INT) AS TXN_MONTH"
+)
+_CUSTOMER_LOAD = """
+        SELECT c.* REPLACE (3000000000 + c.SSN AS SSN, CAST(f.updated AS VARCHAR) AS LAST_UPDATED)
+        FROM customer_v c JOIN (SELECT SSN, max(updated) AS updated FROM customer_feed WHERE NOT long_zip GROUP BY SSN) f
+        ON c.SSN = f.SSN"""
 _SUM = "CAST(sum(TRANSACTION_VALUE) AS DOUBLE) AS TOTAL_VALUE"
 _SEGMENTS = "Gender, Married, Education, Self_Employed, Property_Area"
 
@@ -186,14 +209,63 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "scan_json_array_loan": (("raw_loan",), f"SELECT {_LOAN} FROM raw_loan"),
     "transaction_load": (
         ("card",),
-        f"SELECT {_CARD}, CAST(year(card.TXN_DATE) AS INT) AS TXN_YEAR, CAST(month(card.TXN_DATE) AS INT) AS TXN_MONTH FROM card",
+        f"SELECT {_STORED_CARD} FROM card",
     ),
+    "scan_json_multi_line_loan": (("raw_loan",), f"SELECT {_LOAN} FROM raw_loan"),
+    "branch_load": (("branch_v",), "SELECT * REPLACE (3000000000 + BRANCH_CODE AS BRANCH_CODE) FROM branch_v"),
+    "customer_load": (("customer_v", "customer_feed"), _CUSTOMER_LOAD),
+    "customer_lookup_repeated": (("customer_v", "customer_feed"), f"SELECT * FROM ({_CUSTOMER_LOAD}) WHERE SSN = 3000000007"),
+    "card_load": (("card_flagged",), """
+        SELECT CREDIT_CARD_NO AS CUST_CC_NO, strftime(d, '%Y%m%d') AS TIMEID, CAST(d AS VARCHAR) AS TXN_DATE, CUST_SSN,
+               BRANCH_CODE, TRANSACTION_TYPE, CAST(TRANSACTION_VALUE AS DOUBLE) AS TRANSACTION_VALUE, TRANSACTION_ID,
+               lower(TRANSACTION_TYPE) AS TRANSACTION_TYPE_KEY, CAST(year(d) AS INT) AS TXN_YEAR,
+               CAST(month(d) AS INT) AS TXN_MONTH
+        FROM card_flagged WHERE reject_reason IS NULL"""),
+    "card_load_rejects": (("card_flagged",), """
+        SELECT CREDIT_CARD_NO, CAST("YEAR" AS VARCHAR) AS "YEAR", CAST("MONTH" AS VARCHAR) AS "MONTH", day_text AS "DAY",
+               CAST(CUST_SSN AS VARCHAR) AS CUST_SSN, CAST(NULL AS VARCHAR) AS BRANCH_CODE, TRANSACTION_TYPE,
+               value_text AS TRANSACTION_VALUE, CAST(TRANSACTION_ID AS VARCHAR) AS TRANSACTION_ID, reject_reason,
+               CAST(1 AS BIGINT) AS copies
+        FROM card_flagged WHERE reject_reason IS NOT NULL"""),
+    "bank_load_report": (("customer_feed", "card_flagged"), """
+        WITH b AS (SELECT count(*) AS n FROM supplier),
+             c AS (SELECT count(*) AS n, count(*) FILTER (WHERE long_zip) AS bad,
+                          count(DISTINCT SSN) FILTER (WHERE NOT long_zip) AS one FROM customer_feed),
+             t AS (SELECT count(*) AS n, count(*) FILTER (WHERE reject_reason IS NULL) AS good FROM card_flagged),
+             r AS (SELECT 'branch' AS "table", 'read' AS outcome, n AS "rows" FROM b
+                   UNION ALL SELECT 'branch', 'accepted', n FROM b
+                   UNION ALL SELECT 'customer', 'read', n FROM c
+                   UNION ALL SELECT 'customer', 'accepted', one FROM c
+                   UNION ALL SELECT 'customer', 'duplicate_key', n - bad - one FROM c
+                   UNION ALL SELECT 'customer', 'too_long:CUST_ZIP', bad FROM c
+                   UNION ALL SELECT 'transaction', 'read', n FROM t
+                   UNION ALL SELECT 'transaction', 'accepted', good FROM t
+                   UNION ALL SELECT 'transaction', reject_reason, count(*) FROM card_flagged
+                             WHERE reject_reason IS NOT NULL GROUP BY 2)
+        SELECT * FROM r WHERE "rows" > 0 OR outcome IN ('read', 'accepted')"""),
+    "top_months_stored": (("card",), f"WITH m AS ({_TOP_MONTHS.replace('FROM txn', 'FROM card')}) SELECT {_MONTH_COLUMNS} FROM m"),
+    "customer_txn_between_stored": (("card",), f"""
+        SELECT {_STORED_CARD} FROM card
+        WHERE CUST_SSN = 7 AND card.TXN_DATE BETWEEN DATE '1996-12-01' AND DATE '1999-02-28'"""),
+    "type_total_any_case_stored": (("card",), f"""
+        SELECT count(*) AS TXN_COUNT, {_SUM} FROM card WHERE lower(TRANSACTION_TYPE) = '1-urgent'"""),
     "load_report": (("sound",), """
         SELECT 'read' AS outcome, count(*) AS "rows" FROM flagged
         UNION ALL SELECT 'accepted', count(*) FROM sound WHERE rn = 1
         UNION ALL SELECT 'duplicate_key', count(*) FROM sound WHERE rn > 1
         UNION ALL SELECT reject_reason, count(*) FROM flagged WHERE reject_reason IS NOT NULL GROUP BY 1"""),
-    "loan_load": (("sound",), f"SELECT {_STORED_LOAN} FROM sound WHERE rn = 1"),
+    "loan_load": (("sound", "raw_loan", "stored"), f"""
+        SELECT {_STORED_LOAN} FROM raw_loan WHERE Application_ID IN (SELECT Application_ID FROM stored)
+        UNION ALL
+        SELECT {_STORED_LOAN} FROM sound WHERE rn = 1 AND Application_ID NOT IN (SELECT Application_ID FROM stored)"""),
+    "loan_load_report": (("sound", "stored"), """
+        SELECT 'read' AS outcome, count(*) AS "rows" FROM flagged
+        UNION ALL SELECT 'accepted', count(*) FROM sound
+            WHERE rn = 1 AND Application_ID NOT IN (SELECT Application_ID FROM stored)
+        UNION ALL SELECT 'already_stored', count(*) FROM sound
+            WHERE rn = 1 AND Application_ID IN (SELECT Application_ID FROM stored)
+        UNION ALL SELECT 'duplicate_key', count(*) FROM sound WHERE rn > 1
+        UNION ALL SELECT reject_reason, count(*) FROM flagged WHERE reject_reason IS NOT NULL GROUP BY 1"""),
     "loan_accepted": (("sound",), f"SELECT {_STORED_LOAN} FROM sound WHERE rn = 1"),
     "loan_rejects": (("sound",), f"""
         SELECT {_LOAN}, reject_reason, count(*) AS copies FROM flagged WHERE reject_reason IS NOT NULL GROUP BY ALL
@@ -217,7 +289,7 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "transaction_clean": (("card",), f"SELECT {_CARD} FROM card"),
     "zip_default": (("raw_customer",), """
         SELECT SSN, CUST_ZIP, coalesce(CUST_ZIP, 99999) AS ZIP,
-               lpad(CAST(coalesce(CUST_ZIP, 99999) AS VARCHAR), 5, '0') AS ZIP5 FROM raw_customer"""),
+               repeat('0', greatest(0, 5 - length(CAST(coalesce(CUST_ZIP, 99999) AS VARCHAR)))) || CAST(coalesce(CUST_ZIP, 99999) AS VARCHAR) AS ZIP5 FROM raw_customer"""),
     "phone_format": (
         ("raw_customer", "customer_v"),
         "SELECT SSN, r.CUST_PHONE, c.CUST_PHONE AS PHONE FROM raw_customer r JOIN customer_v c USING (SSN)",
@@ -239,8 +311,8 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
             QUALIFY row_number() OVER (PARTITION BY SSN ORDER BY REQUESTED_AT DESC, CUST_EMAIL DESC) = 1) n
         ON c.SSN = n.SSN"""),
     "email_requests_unmatched": (
-        ("customer_v", "email_requests"),
-        "SELECT DISTINCT SSN FROM email_requests WHERE SSN NOT IN (SELECT SSN FROM customer_v)",
+        (),
+        "SELECT DISTINCT p_partkey AS SSN FROM part WHERE p_partkey NOT IN (SELECT c_custkey FROM customer)",
     ),
     "customer_lookup": (("customer_v",), "SELECT * FROM customer_v WHERE SSN = 7"),
     "customer_lookup_bulk": (
@@ -255,11 +327,15 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "monthly_bill_run": (("card",), f"""
         SELECT {_CARD} FROM card
         WHERE year(card.TXN_DATE) = 1998 AND month(card.TXN_DATE) = 1
-              AND CUST_CC_NO IN (SELECT '4' || lpad(CAST(user_id AS VARCHAR), 15, '0') FROM events)"""),
+              AND CUST_CC_NO IN (SELECT '4' || repeat('0', greatest(0, 15 - length(CAST(user_id AS VARCHAR)))) || CAST(user_id AS VARCHAR) FROM events)"""),
     "monthly_bill_bulk": (("card", "txn"), f"""
         SELECT {_CARD} FROM card
         WHERE (CUST_CC_NO, year(card.TXN_DATE), month(card.TXN_DATE)) IN
               (SELECT (CUST_CC_NO, year(t.TXN_DATE), month(t.TXN_DATE)) FROM txn t)"""),
+    "monthly_bill_bulk_stored": (("card", "txn"), f"""
+        SELECT {_STORED_CARD} FROM card
+        WHERE (CUST_CC_NO, year(card.TXN_DATE), month(card.TXN_DATE)) IN
+              (SELECT (CUST_CC_NO, year(t.TXN_DATE), month(t.TXN_DATE)) FROM txn t)"""),
     "customer_txn_between": (("card",), f"""
         SELECT {_CARD} FROM card
         WHERE CUST_SSN = 7 AND card.TXN_DATE BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"""),

@@ -7,7 +7,9 @@ lookup, a bill or a report are the feature itself and no row cap.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -54,20 +56,17 @@ def _as_json(df: DataFrame, name: str) -> str:
 
 def scan_json_branch(spark, sf):
     path = _as_json(v.raw_branch(spark, sf), "branch-json")
-    schema = schemas.widen_keys(schemas.BRANCH, "BRANCH_CODE")
-    return json.read_branches(spark, path, schema).drop(quality.CORRUPT)
+    return json.read_branches(spark, path, schemas.BRANCH).drop(quality.CORRUPT)
 
 
 def scan_json_customer(spark, sf):
     path = _as_json(v.raw_customer(spark, sf), "customer-json")
-    schema = schemas.widen_keys(schemas.CUSTOMER, "SSN")
-    return json.read_customers(spark, path, schema).drop(quality.CORRUPT)
+    return json.read_customers(spark, path, schemas.CUSTOMER).drop(quality.CORRUPT)
 
 
 def scan_json_transaction(spark, sf):
     path = _as_json(v.raw_card(spark, sf), "card-json")
-    schema = schemas.widen_keys(schemas.TRANSACTION, "CUST_SSN", "BRANCH_CODE")
-    return json.read_transactions(spark, path, schema).drop(quality.CORRUPT)
+    return json.read_transactions(spark, path, schemas.TRANSACTION).drop(quality.CORRUPT)
 
 
 def scan_json_array_loan(spark, sf):
@@ -93,11 +92,26 @@ def load_report(spark, sf):
     return quality.load_report(_flagged_feed(spark, sf), "Application_ID")
 
 
+def _loan_loads(spark, sf):
+    """The loan table after two loads, earlier applications and then the feed: its folder, and the second report."""
+    table, folder = f"loans_{uuid.uuid4().hex}", shared_folder(spark, "loan-table")
+    files.create_loan_table(spark, table, folder)
+    report = None
+    for number, delivery in enumerate((v.earlier_loans(spark, sf), v.loan_feed(spark, sf))):
+        documents = _as_json(delivery, "loan-json")
+        rejects = f"{shared_folder(spark, 'loan-rejects')}/{number}"
+        report = etl.load_loans(spark, documents, table, rejects, most_rejected=1.0)
+    spark.sql(f"DROP TABLE {table}")  # the folder stays
+    return folder, report
+
+
 def loan_load(spark, sf):
-    """The accepted loans, published as a table and read back."""
-    root = shared_folder(spark, "loan-table")
-    files.publish(quality.as_stored_loan(quality.accepted(_flagged_feed(spark, sf), "Application_ID")), root)
-    return files.read_current(spark, root)
+    folder, _ = _loan_loads(spark, sf)
+    return spark.read.parquet(folder).select(*schemas.LOAN_COLUMNS)
+
+
+def loan_load_report(spark, sf):
+    return _loan_loads(spark, sf)[1]
 
 
 def loan_accepted(spark, sf):
@@ -110,7 +124,7 @@ def loan_rejects(spark, sf):
 
 
 def loan_duplicate_keys(spark, sf):
-    return quality.duplicate_keys(v.loan_feed(spark, sf), "Application_ID")
+    return quality.duplicate_keys(v.loan_feed(spark, sf, "Application_ID"), "Application_ID")
 
 
 def loan_new_only(spark, sf):
@@ -130,15 +144,87 @@ def loan_full_scan(spark, sf):
     return spark.table("loan_application")
 
 
-def transaction_load(spark, sf):
+def scan_json_multi_line_loan(spark, sf):
+    """All loans as array documents that span lines, one file a task, and back."""
+    loan = v.raw_loan(spark, sf)
+    number = F.substring("Application_ID", 3, 30).cast("bigint")
+    documents = loan.groupBy(F.floor(number / DOCUMENT_SIZE).alias("document")).agg(
+        F.to_json(F.collect_list(F.struct(*loan.columns)), {"pretty": "true"}).alias("value")
+    )
+    path = shared_folder(spark, "loan-documents")
+    # A file must hold one document.
+    documents.write.partitionBy("document").text(path)
+    return json.read_loans(spark, path, multi_line=True).select(*schemas.LOAN_COLUMNS)
+
+
+def _loaded_transactions(spark, sf):
     """All transactions delivered as JSON, loaded into the partitioned table, and read from it."""
     path = _as_json(v.raw_card(spark, sf), "card-json")
-    schema = schemas.widen_keys(schemas.TRANSACTION, "CUST_SSN", "BRANCH_CODE")
     root = shared_folder(spark, "bank")
-    etl.load(etl.transactions(json.read_transactions(spark, path, schema)), root)
+    etl.load(etl.transactions(json.read_transactions(spark, path)), root)
     return files.read_current(spark, f"{root}/transaction")
 
 
+def transaction_load(spark, sf):
+    return _loaded_transactions(spark, sf)
+
+
+def _bank_load(spark, sf):
+    """The three card deliveries with their defects, loaded together: root folder and reports."""
+    paths = [_as_json(feed(spark, sf), name) for feed, name in
+             ((v.branch_feed, "branch-json"), (v.customer_feed, "customer-json"), (v.card_feed, "card-json"))]
+    root = shared_folder(spark, "bank")
+    return root, etl.load_bank(spark, *paths, root, most_rejected=0.5)
+
+
+def branch_load(spark, sf):
+    return files.read_current(spark, f"{_bank_load(spark, sf)[0]}/branch")
+
+
+def customer_load(spark, sf):
+    """One row per key, the latest; of wide and decimal keys, long ZIP codes, times in two formats."""
+    return files.read_current(spark, f"{_bank_load(spark, sf)[0]}/customer")
+
+
+def customer_lookup_repeated(spark, sf):
+    """Lookup of a customer that the delivery names once per order: one row."""
+    return accounts.customer_lookup(customer_load(spark, sf), 3_000_000_000 + SSN)
+
+
+def card_load(spark, sf):
+    """Transactions without those on days that do not exist, without card, or with a third decimal."""
+    return files.read_current(spark, f"{_bank_load(spark, sf)[0]}/transaction")
+
+
+def card_load_rejects(spark, sf):
+    """The rejected transactions as they were delivered."""
+    rejects = files.read_current(spark, f"{_bank_load(spark, sf)[0]}/transaction_rejects")
+    return rejects.drop(quality.CORRUPT)
+
+
+def bank_load_report(spark, sf):
+    _, reports_ = _bank_load(spark, sf)
+    rows = [report.withColumn("table", F.lit(name)) for name, report in reports_.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def top_months_stored(spark, sf):
+    return reports.top_months(_loaded_transactions(spark, sf))
+
+
+def customer_txn_between_stored(spark, sf):
+    return accounts.transactions_between(_loaded_transactions(spark, sf), SSN, dt.date(1996, 12, 1), dt.date(1999, 2, 28))
+
+
+def monthly_bill_bulk_stored(spark, sf):
+    return accounts.monthly_bill_bulk(_loaded_transactions(spark, sf), v.shipped_months(spark, sf))
+
+
+def type_total_any_case_stored(spark, sf):
+    """The stored type in small letters is compared in the scan."""
+    return reports.type_total(_loaded_transactions(spark, sf), "1-Urgent", ignore_case=True)
+
+
 # --- clean-up ---------------------------------------------------------------
 
 def branch_clean(spark, sf):
@@ -190,7 +276,7 @@ def customer_email_upsert(spark, sf):
 
 
 def email_requests_unmatched(spark, sf):
-    return accounts.unmatched_keys(v.raw_customer(spark, sf, "SSN"), v.email_requests(spark, sf))
+    return accounts.unmatched_keys(v.raw_customer(spark, sf, "SSN"), v.part_requests(spark, sf))
 
 
 def customer_lookup(spark, sf):
@@ -337,7 +423,9 @@ def loan_segment_rollup(spark, sf):
 
 _QUERIES = (
     scan_json_branch, scan_json_customer, scan_json_transaction, scan_json_array_loan,
-    transaction_load, load_report, loan_load, loan_accepted, loan_rejects, loan_duplicate_keys,
+    scan_json_multi_line_loan, transaction_load, branch_load, customer_load, customer_lookup_repeated,
+    card_load, card_load_rejects, bank_load_report,
+    load_report, loan_load, loan_load_report, loan_accepted, loan_rejects, loan_duplicate_keys,
     loan_new_only, loan_already_stored, loan_full_scan,
     branch_clean, customer_clean, transaction_clean,
     zip_default, phone_format, address_join, name_case, timeid_key,
@@ -348,6 +436,7 @@ _QUERIES = (
     branch_state_totals, branch_state_total_given,
     txn_count_by_type, txn_count_by_type_share, customers_by_state,
     top_customers, top_customers_share, top_months, top_months_share, top_branches_for_type,
+    top_months_stored, customer_txn_between_stored, monthly_bill_bulk_stored, type_total_any_case_stored,
     leader_type, leader_state, leader_customer, leader_branch,
     loan_status_counts, approval_rate_self_employed, approval_rate_as_written,
     rejection_rate_married_male, rejection_split_married_male,

@@ -11,10 +11,11 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
-# Names, order and types of the delivered columns.
+# Names, order and types of the delivered columns. Keys are BIGINT,
+# since key spaces may pass INT.
 
 BRANCH = _struct(
-    ("BRANCH_CODE", T.IntegerType()),
+    ("BRANCH_CODE", T.LongType()),
     ("BRANCH_NAME", T.StringType()),
     ("BRANCH_STREET", T.StringType()),
     ("BRANCH_CITY", T.StringType()),
@@ -25,7 +26,7 @@ BRANCH = _struct(
 )
 
 CUSTOMER = _struct(
-    ("SSN", T.IntegerType()),
+    ("SSN", T.LongType()),
     ("FIRST_NAME", T.StringType()),
     ("MIDDLE_NAME", T.StringType()),
     ("LAST_NAME", T.StringType()),
@@ -46,8 +47,8 @@ TRANSACTION = _struct(
     ("YEAR", T.IntegerType()),
     ("MONTH", T.IntegerType()),
     ("DAY", T.IntegerType()),
-    ("CUST_SSN", T.IntegerType()),
-    ("BRANCH_CODE", T.IntegerType()),
+    ("CUST_SSN", T.LongType()),
+    ("BRANCH_CODE", T.LongType()),
     ("TRANSACTION_TYPE", T.StringType()),
     ("TRANSACTION_VALUE", MONEY),
     ("TRANSACTION_ID", T.LongType()),
@@ -79,8 +80,15 @@ LOAN_COLUMNS = [
     "Application_Status",
 ]
 
-# As delivered: everything is text, so one bad number spoils one record and
-# not the whole document it came in.
+def as_delivered(schema: T.StructType) -> T.StructType:
+    """The same columns as text: a quoted or odd number spoils one field and not
+    its record, and rejected rows keep what was delivered."""
+    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
+
+
+BRANCH_FEED = as_delivered(BRANCH)
+CUSTOMER_FEED = as_delivered(CUSTOMER)
+TRANSACTION_FEED = as_delivered(TRANSACTION)
 LOAN_FEED = _struct(*[(name, T.StringType()) for name in LOAN_COLUMNS])
 
 
@@ -90,10 +98,3 @@ def loan_ddl_columns() -> str:
         f"{name} VARCHAR({LOAN_LENGTHS[name]})" if name in LOAN_LENGTHS else f"{name} INT"
         for name in LOAN_COLUMNS
     )
-
-
-def widen_keys(schema: T.StructType, *keys: str) -> T.StructType:
-    """The schema with the named key columns as BIGINT, for key spaces beyond INT."""
-    return T.StructType(
-        [T.StructField(f.name, T.LongType() if f.name in keys else f.dataType, f.nullable) for f in schema]
-    )

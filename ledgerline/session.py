@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -54,13 +53,13 @@ def local_session(app: str, cores: int | str = "*", **conf: str) -> SparkSession
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the folder every executor can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Without the
-    setting only local mode may go on, with a temporary folder of this machine.
+    The cluster names that folder in ``spark.checkpoint.dir``. A folder of one
+    machine (``file:``) will do in local mode only.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="ledgerline-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    local = spark.conf.get("spark.master", "").startswith("local")
+    if not local and root.startswith("file:"):
+        raise ValueError(f"spark.checkpoint.dir names a folder of one machine: {root}")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -1,4 +1,8 @@
-"""JSON scans with fixed schemas. Bad values become NULL and mark the record."""
+"""JSON scans with fixed schemas.
+
+Deliveries are read as text by default and typed after validation. With a typed
+schema a value that does not fit becomes NULL and marks its record.
+"""
 
 from __future__ import annotations
 
@@ -25,18 +29,22 @@ def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType,
     )
 
 
-def read_branches(spark: SparkSession, path: str | list[str], schema: T.StructType = schemas.BRANCH) -> DataFrame:
+def read_branches(spark: SparkSession, path: str | list[str], schema: T.StructType = schemas.BRANCH_FEED) -> DataFrame:
     return read_json(spark, path, schema)
 
 
-def read_customers(spark: SparkSession, path: str | list[str], schema: T.StructType = schemas.CUSTOMER) -> DataFrame:
+def read_customers(spark: SparkSession, path: str | list[str], schema: T.StructType = schemas.CUSTOMER_FEED) -> DataFrame:
     return read_json(spark, path, schema)
 
 
-def read_transactions(spark: SparkSession, path: str | list[str], schema: T.StructType = schemas.TRANSACTION) -> DataFrame:
+def read_transactions(spark: SparkSession, path: str | list[str], schema: T.StructType = schemas.TRANSACTION_FEED) -> DataFrame:
     return read_json(spark, path, schema)
 
 
 def read_loans(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
-    """Landed loan documents, each a JSON array; all fields as text."""
+    """Landed loan documents, each a JSON array; all fields as text.
+
+    An array that spans lines needs ``multi_line``; read without it, its lines
+    are damaged records, which ``quality.check_lines`` refuses.
+    """
     return read_json(spark, path, schemas.LOAN_FEED, multi_line)

@@ -13,9 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.operators import clean, quality
 
-# Key spaces of the test tables may pass INT at scale.
-KEY = "bigint"
-
 # Columns of the supplied tables. Given, they save Spark the job
 # that reads file footers for them.
 _TABLES = {
@@ -32,12 +29,16 @@ _TABLES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
-_UPDATED = "timestamp'2018-04-21 12:49:02'"
+_UPDATED = "timestamp'2021-09-30 07:15:44'"
+
 
+def _wide(key: str, width: int) -> str:
+    """The key as text, with zeros in front up to ``width``; a longer key stays whole."""
+    return f"lpad(cast({key} as string), greatest({width}, length(cast({key} as string))), '0')"
 
 
 def _card_of(key: str) -> str:
-    return f"concat('4', lpad(cast({key} as string), 15, '0'))"
+    return f"concat('4', {_wide(key, 15)})"
 
 
 _NATION = ("nation", "c_nationkey = n_nationkey")
@@ -57,7 +58,7 @@ _RAW_CUSTOMER = {
     "CUST_COUNTRY": "r_name",
     "CUST_ZIP": "case when c_mktsegment <> 'MACHINERY' then 1000 + c_nationkey end",
     "CUST_PHONE": "case when c_mktsegment = 'AUTOMOBILE' then cast(c_custkey as string)"
-    " else concat('123', lpad(cast(c_custkey as string), 7, '0')) end",
+    f" else concat('123', {_wide('c_custkey', 7)}) end",
     "CUST_EMAIL": "concat('c', cast(c_custkey as string), '@example.com')",
     "LAST_UPDATED": _UPDATED,
 }
@@ -69,7 +70,7 @@ _RAW_BRANCH = {
     "BRANCH_CITY": "n_name",
     "BRANCH_STATE": "n_name",
     "BRANCH_ZIP": "case when s_acctbal >= 0 then 2000 + s_nationkey end",
-    "BRANCH_PHONE": "concat('123', lpad(cast(s_suppkey as string), 7, '0'))",
+    "BRANCH_PHONE": f"concat('123', {_wide('s_suppkey', 7)})",
     "LAST_UPDATED": _UPDATED,
 }
 
@@ -104,7 +105,7 @@ _TXN = {
 }
 
 _RAW_LOAN = {
-    "Application_ID": "concat('LP', lpad(cast(o_orderkey as string), 12, '0'))",
+    "Application_ID": f"concat('LP', {_wide('o_orderkey', 12)})",
     "Gender": "case when c_mktsegment in ('AUTOMOBILE', 'BUILDING', 'MACHINERY') then 'Male' else 'Female' end",
     "Married": "case when r_name in ('AFRICA', 'EUROPE') then 'No' else 'Yes' end",
     "Dependents": "substr(o_orderpriority, 1, 1)",
@@ -161,20 +162,71 @@ def raw_loan(spark, sf_dir, *wanted: str) -> DataFrame:
     return _view(spark, sf_dir, "orders", [_CUSTOMER, _NATION, _REGION], _RAW_LOAN, wanted)
 
 
-def loan_feed(spark, sf_dir) -> DataFrame:
+def loan_feed(spark, sf_dir, *wanted: str) -> DataFrame:
     """Order lines with their loan; the lookups are made per order, so lines shuffle once."""
-    kept = {"o_orderkey": "o_orderkey", "o_orderpriority": "o_orderpriority"}
-    loans = _view(spark, sf_dir, "orders", [_CUSTOMER, _NATION, _REGION], {**_RAW_LOAN, **kept})
+    chosen = {name: _LOAN_FEED[name] for name in wanted or _LOAN_FEED}
+    used = [name for name in _RAW_LOAN if re.search(rf"\b{name}\b", " ".join(chosen.values()))]
+    kept = {name: name for name in ("o_orderkey", "o_orderpriority")}
+    columns = {**{name: _RAW_LOAN[name] for name in used}, **kept}
+    loans = _view(spark, sf_dir, "orders", [_CUSTOMER, _NATION, _REGION], columns)
     lines = table(spark, sf_dir, "lineitem").join(loans, F.expr("l_orderkey = o_orderkey"), "left")
-    return lines.selectExpr(*[f"{text} AS {name}" for name, text in _LOAN_FEED.items()])
+    return lines.selectExpr(*[f"{text} AS {name}" for name, text in chosen.items()])
+
+
+# Deliveries as text, with the defects that rules must find. One customer record
+# per order: keys repeat, pass INT and are partly spelt as decimals, some ZIP
+# codes are too long, some times are in another format.
+_CUSTOMER_FEED = {
+    **_RAW_CUSTOMER,
+    "SSN": "concat(cast(3000000000 + c_custkey as string), case when o_orderpriority = '1-URGENT' then '.0' else '' end)",
+    "CUST_ZIP": "case when o_orderstatus = 'P' then concat(cast(1000 + c_nationkey as string), '1234')"
+    " when c_mktsegment <> 'MACHINERY' then cast(1000 + c_nationkey as string) end",
+    "LAST_UPDATED": "date_format(o_orderdate, case when o_orderpriority = '5-LOW' then 'dd.MM.yyyy' else 'yyyy-MM-dd HH:mm:ss' end)",
+}
+
+# Branch records with wide keys spelt as decimals.
+_BRANCH_FEED = {
+    **_RAW_BRANCH,
+    "BRANCH_CODE": "concat(cast(3000000000 + s_suppkey as string), '.0')",
+    "BRANCH_ZIP": "case when s_acctbal >= 0 then cast(2000 + s_nationkey as string) end",
+    "LAST_UPDATED": "'2021-09-30 07:15:44'",
+}
+
+# Transactions on the 31st of any month, with a third decimal, without a card.
+_CARD_FEED = {
+    **_RAW_CARD,
+    "CREDIT_CARD_NO": f"case when o_totalprice >= 5000 then {_RAW_CARD['CREDIT_CARD_NO']} end",
+    "DAY": "case when o_orderpriority = '1-URGENT' then '31' else cast(day(o_orderdate) as string) end",
+    "CUST_SSN": "cast(3000000000 + o_custkey as string)",
+    "TRANSACTION_VALUE": "concat(cast(cast(o_totalprice as decimal(18,2)) as string), case when o_orderstatus = 'P' then '5' else '0' end)",
+}
+
+
+def customer_feed(spark, sf_dir) -> DataFrame:
+    return _view(spark, sf_dir, "orders", [_CUSTOMER, _NATION, _REGION], _CUSTOMER_FEED)
+
+
+def branch_feed(spark, sf_dir) -> DataFrame:
+    return _view(spark, sf_dir, "supplier", [("nation", "s_nationkey = n_nationkey")], _BRANCH_FEED)
+
+
+def card_feed(spark, sf_dir) -> DataFrame:
+    return _view(spark, sf_dir, "orders", [], _CARD_FEED)
+
+
+def earlier_loans(spark, sf_dir) -> DataFrame:
+    """An earlier delivery of loans: the applications made before 1998, without defects."""
+    kept = {**_RAW_LOAN, "made": "o_orderdate"}
+    loans = _view(spark, sf_dir, "orders", [_CUSTOMER, _NATION, _REGION], kept)
+    return loans.where("made < timestamp_ntz'1998-01-01'").drop("made")
 
 
 def customer(spark, sf_dir) -> DataFrame:
-    return clean.clean_customer(raw_customer(spark, sf_dir), KEY)
+    return clean.clean_customer(raw_customer(spark, sf_dir))
 
 
 def branch(spark, sf_dir) -> DataFrame:
-    return clean.clean_branch(raw_branch(spark, sf_dir), KEY)
+    return clean.clean_branch(raw_branch(spark, sf_dir))
 
 
 def card(spark, sf_dir) -> DataFrame:
@@ -234,6 +286,13 @@ def email_requests(spark, sf_dir) -> DataFrame:
     )
 
 
+def part_requests(spark, sf_dir) -> DataFrame:
+    """Change requests that name part numbers as customers; the higher ones belong to nobody."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("SSN"), F.concat(F.col("p_name"), F.lit("@example.com")).alias("CUST_EMAIL")
+    )
+
+
 def stored_loan_keys(spark, sf_dir) -> DataFrame:
     """Keys of an earlier load: the applications made before 1998."""
     earlier = table(spark, sf_dir, "orders").where("o_orderdate < timestamp_ntz'1998-01-01'")

@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from ledgerline import schemas
 from ledgerline.operators import clean
 
@@ -12,13 +14,13 @@ UPDATED = dt.datetime(2020, 5, 1, 8, 30)
 def test_branch(spark):
     raw = spark.createDataFrame(
         [
-            (1, "North", "1 Oak St", "Paterson", "NJ", 7501, "1234565276", UPDATED),
+            (1, "North", "1 Oak St", "Ebbtide", "QZ", 4207, "9034417758", UPDATED),
             (2, "South", "2 Oak St", "Miami", "FL", None, "4565276", UPDATED),
         ],
         schemas.BRANCH,
     )
     first, second = clean.clean_branch(raw).orderBy("BRANCH_CODE").collect()
-    assert (first.BRANCH_ZIP, first.BRANCH_ZIP5, first.BRANCH_PHONE) == (7501, "07501", "(123)456-5276")
+    assert (first.BRANCH_ZIP, first.BRANCH_ZIP5, first.BRANCH_PHONE) == (4207, "04207", "(903)441-7758")
     assert (second.BRANCH_ZIP, second.BRANCH_ZIP5, second.BRANCH_PHONE) == (99999, "99999", "4565276")
     assert first.LAST_UPDATED == UPDATED
 
@@ -54,6 +56,15 @@ def test_transaction(spark):
     assert [(r.TIMEID, r.TXN_DATE) for r in rows[1:]] == [(None, None)] * 2
 
 
+def test_delivered_text_is_typed(spark):
+    raw = spark.createDataFrame([("3000000000.0", "39120", "04.05.2020"), ("7", None, "2020-05-04 01:02:03")], "SSN string, CUST_ZIP string, LAST_UPDATED string")
+    raw = raw.select(*[F.col(n) if n in raw.columns else F.lit(None).cast("string").alias(n) for n in schemas.CUSTOMER.names])
+    rows = clean.clean_customer(raw).orderBy("SSN").collect()
+    assert [(r.SSN, r.CUST_ZIP, r.LAST_UPDATED) for r in rows] == [
+        (7, 99999, dt.datetime(2020, 5, 4, 1, 2, 3)), (3_000_000_000, 39120, None),
+    ]
+
+
 def test_cleaning_is_narrow(spark):
     raw = spark.createDataFrame([], schemas.CUSTOMER)
     text = clean.clean_customer(raw)._jdf.queryExecution().executedPlan().toString()

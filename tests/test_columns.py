@@ -16,7 +16,7 @@ def one(spark, expression, schema="x string", row=(None,)):
 @pytest.mark.parametrize(
     "given, expected",
     [
-        ("1234565276", "(123)456-5276"),
+        ("9034417758", "(903)441-7758"),
         ("5551234", "5551234"),
         ("123456789012", "123456789012"),
         ("x1234567890", "x1234567890"),
@@ -37,9 +37,29 @@ def test_zip_default_and_leading_zeros(spark, given, zip_code, text):
     assert one(spark, fn.zip_text(expression), "x int", (given,)) == text
 
 
-@pytest.mark.parametrize("given, expected", [("12", 12), ("12a", None), ("", None), (None, None), ("99999999999", None)])
-def test_integer_is_tolerant(spark, given, expected):
-    assert one(spark, fn.integer(F.col("x")), row=(given,)) == expected
+@pytest.mark.parametrize("given, text", [(75011234, "75011234"), (123456, "123456")])
+def test_longer_codes_are_not_cut(spark, given, text):
+    assert one(spark, fn.zip_text(F.col("x")), "x int", (given,)) == text
+
+
+@pytest.mark.parametrize(
+    "given, expected",
+    [
+        ("12", 12), (" 12 ", 12), ("1.0", 1), ("1.", 1), ("-3", -3), ("39120", 39120), ("99999999999", 99999999999),
+        ("0.5", None), ("12a", None), ("", None), (None, None), ("9" * 19, None), ("1e3", None),
+    ],
+)
+def test_whole_numbers_as_delivered(spark, given, expected):
+    assert one(spark, fn.whole_number(F.col("x")), row=(given,)) == expected
+
+
+@pytest.mark.parametrize(
+    "given, expected",
+    [("10.5", "10.50"), ("10.120", "10.12"), ("7", "7.00"), ("10.129", None), ("x", None), (None, None), ("-0.01", "-0.01")],
+)
+def test_amounts_keep_two_decimals_or_none(spark, given, expected):
+    found = one(spark, fn.amount(F.col("x")), row=(given,))
+    assert (found if found is None else str(found)) == expected
 
 
 @pytest.mark.parametrize(

@@ -17,18 +17,18 @@ def write(path, lines):
 def test_branch_scan_uses_the_declared_schema(spark, tmp_path):
     path = write(
         tmp_path / "b.json",
-        [{"BRANCH_CODE": 5, "LAST_UPDATED": "2018-04-18T16:51:47.000-04:00", "BRANCH_ZIP": 7501, "OTHER": 1}],
+        [{"BRANCH_CODE": 5, "LAST_UPDATED": "2021-03-02T08:15:30.000-04:00", "BRANCH_ZIP": 4207, "OTHER": 1}],
     )
-    df = source.read_branches(spark, path)
+    df = source.read_branches(spark, path, schemas.BRANCH)
     assert df.columns == [*schemas.BRANCH.names, CORRUPT]
     row = df.first()
-    assert (row.BRANCH_CODE, row.BRANCH_ZIP) == (5, 7501)
-    assert row.LAST_UPDATED == dt.datetime(2018, 4, 18, 20, 51, 47)
+    assert (row.BRANCH_CODE, row.BRANCH_ZIP) == (5, 4207)
+    assert row.LAST_UPDATED == dt.datetime(2021, 3, 2, 12, 15, 30)
 
 
 def test_a_bad_value_is_null_and_marks_the_record(spark, tmp_path):
     path = write(tmp_path / "c.json", [{"SSN": "many", "FIRST_NAME": "Bo"}, {"SSN": 3}, "{broken"])
-    rows = source.read_customers(spark, path).cache().collect()
+    rows = source.read_customers(spark, path, schemas.CUSTOMER).cache().collect()
     assert sorted((r.SSN or 0, r.FIRST_NAME, r[CORRUPT] is not None) for r in rows if r.SSN or r.FIRST_NAME) == [
         (0, "Bo", True), (3, None, False),
     ]
@@ -37,10 +37,17 @@ def test_a_bad_value_is_null_and_marks_the_record(spark, tmp_path):
 
 def test_transaction_values_are_exact(spark, tmp_path):
     path = write(tmp_path / "t.json", [{"TRANSACTION_ID": 1, "TRANSACTION_VALUE": 0.1}, {"TRANSACTION_ID": 2, "TRANSACTION_VALUE": 0.2}])
-    values = [r.TRANSACTION_VALUE for r in source.read_transactions(spark, path).collect()]
+    values = [r.TRANSACTION_VALUE for r in source.read_transactions(spark, path, schemas.TRANSACTION).collect()]
     assert str(sum(values)) == "0.30"
 
 
+def test_deliveries_are_read_as_text(spark, tmp_path):
+    """A quoted number spoils nothing."""
+    path = write(tmp_path / "c.json", [{"SSN": "17", "CUST_ZIP": "39120"}, {"SSN": 18.0, "CUST_ZIP": 39121}])
+    rows = source.read_customers(spark, path).orderBy("SSN").collect()
+    assert [(r.SSN, r.CUST_ZIP, r[CORRUPT]) for r in rows] == [("17", "39120", None), ("18.0", "39121", None)]
+
+
 LOANS = [{"Application_ID": "LP1", "Credit_History": 1}, {"Application_ID": "LP2", "Gender": "Male"}]
 
 
