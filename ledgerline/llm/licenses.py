@@ -118,7 +118,8 @@ def _lines(documents: DataFrame) -> DataFrame:
 
 def word_counts(documents: DataFrame, table: DataFrame) -> DataFrame:
     """How often each word of the templates occurs in the corpus: ``word``, ``n``; 0 for those that never do."""
-    vocabulary = table.select(F.explode("words").alias("word")).distinct()
+    # A written table has a known size: small as it is, Spark broadcasts it and shuffles no words.
+    vocabulary = materialize(table.select(F.explode("words").alias("word")).distinct(), "license-vocabulary")
     words = F.explode(F.split(F.lower(word_line(F.col("text"))), " ")).alias("word")
     counts = _rows(documents).select(words).join(vocabulary, "word").groupBy("word").agg(F.count("*").alias("n"))
     return vocabulary.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
