@@ -56,7 +56,14 @@ FRAME_WORDS = frozenset(
     "sponsored subscribe subscription survey taboola tags teaser thread toc toolbar topbar trackback warning widget "
     "widgets".split()
 )
+# Beginnings that tell as much, as in "commentlist" or "adslot".
+FRAME_STEMS = (
+    "adbox", "adsense", "adslot", "adunit", "advert", "breadcrumb", "comment", "cookie", "footer", "masthead", "navbar",
+    "navigation", "newsletter", "sidebar", "sponsor", "subscri",
+)
 ARTICLE_WORDS = frozenset("article articlebody content entry main post story".split())
+# "has-sidebar" tells of a layout and not of a part.
+LAYOUT_WORDS = frozenset("has no with without".split())
 
 _SILENT = "|".join(SILENT_TAGS)
 _TOKEN = re.compile(
@@ -67,7 +74,7 @@ _TOKEN = re.compile(
     r"|</?[A-Za-z][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"(class|id|role|aria-label|hidden|style|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _CLOSERS = "\"')]}»”’"
@@ -110,10 +117,25 @@ class _Page:
     pieces: list[tuple[str, bool]] = field(default_factory=list)
 
 
-def _kind(tag: str, attributes: str) -> int:
+def _names(value: str, found: int) -> int:
+    """What the words of a class or id say."""
+    for name in value.split():
+        parts = {x.lower() for x in _NAME_PARTS.findall(name)}
+        if parts & LAYOUT_WORDS:
+            continue
+        if parts & {"header", "head"} and parts & {"article", "entry", "post", "story"}:
+            continue  # the head of an article holds its title
+        if parts & FRAME_WORDS or any(part.startswith(FRAME_STEMS) for part in parts):
+            return FRAME
+        if parts & ARTICLE_WORDS:
+            found = ARTICLE
+    return found
+
+
+def _kind(tag: str, attributes: str, in_article: bool) -> int:
     """What a tag says of the part of the page that it holds; its names count more than the tag."""
     found = PLAIN
-    if tag in FRAME_TAGS:
+    if tag in FRAME_TAGS and not (tag == "header" and in_article):
         found = FRAME
     elif tag in ARTICLE_TAGS:
         found = ARTICLE
@@ -123,24 +145,15 @@ def _kind(tag: str, attributes: str) -> int:
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "style" and _HIDING.search(value)) or (name == "aria-hidden" and value == "true"):
             return HIDDEN
-        if name == "role":
-            if value.lower() in FRAME_ROLES:
-                return FRAME
-            if value.lower() in ARTICLE_TAGS:
-                found = ARTICLE
-        elif name in ("class", "id"):
-            parts = {x.lower() for x in _NAME_PARTS.findall(value)}
-            if parts & FRAME_WORDS and not (name == "class" and parts & ARTICLE_WORDS and not parts & _SURE_WORDS):
-                return FRAME
-            if parts & ARTICLE_WORDS:
-                found = ARTICLE
+        if name == "role" and value.lower() in FRAME_ROLES:
+            return FRAME
+        if name == "role" and value.lower() in ARTICLE_TAGS:
+            found = ARTICLE
+        if name in ("class", "id", "aria-label") and (found := _names(value, found)) == FRAME:
+            return FRAME
     return found
 
 
-# Of the frame words those that decide even beside an article word, as in "post-comments".
-_SURE_WORDS = FRAME_WORDS - {"header", "head", "meta", "main", "links", "tags", "byline"}
-
-
 def blocks(page: str) -> list[Block]:
     """The flat blocks of a page that have a word, in page order; hidden parts are left out."""
     out = _Page()
@@ -201,7 +214,7 @@ def blocks(page: str) -> list[Block]:
             if tag != "p":
                 continue
         top = stack[-1]
-        kind = _kind(tag, match[4])
+        kind = _kind(tag, match[4], top.in_article)
         if block or kind != PLAIN:
             label = re.search(r"data-label=([01])", match[4])
             stack.append(_Open(

@@ -50,6 +50,11 @@ FRAMES = [
     f"<form><label>Name</label><p>{SECOND}</p><select><option>One</select></form>",
     f'<section id="comments"><div class="comment"><p>{SECOND}</p></div></section>',
     f'<article class="comment"><p>{SECOND}</p></article>',
+    f'<ol class="commentlist"><li><p>{SECOND}</p></li></ol>',
+    f'<div class="main-header"><p>{SECOND}</p></div>',
+    f'<div class="AdSlot1">{SECOND}</div>',
+    f'<div aria-label="Comments"><p>{SECOND}</p></div>',
+    f'<div class="post-meta"><p>{SECOND}</p></div>',
     f'<div role="alert"><p>{SECOND}</p></div>',
     f'<div hidden><p>{SECOND}</p></div><p style="display: none">{SECOND}</p>',
     "<script>if (a<b) document.write('<p>no text</p>')</script><style>p{margin:0}</style><!-- <p>not here</p> -->",
@@ -62,10 +67,18 @@ def test_frames_are_left_out(frame):
     want = f"Ropes\n{PARAGRAPH}\nShort one."
     assert text(f"<body>{frame}<article>{article}</article></body>") == want
     assert text(f"<body><main>{article}</main>{frame}</body>") == want
-    assert text(f"<body><article>{article}{frame}</article></body>") == want
+    if not frame.startswith("<header>"):  # in an article it is the article's head
+        assert text(f"<body><article>{article}{frame}</article></body>") == want
     assert text(f'<body>{frame}<div class="post-content">{article}</div>{frame}</body>') == want
 
 
+def test_head_of_the_article_and_layout_names():
+    page = f'<div class="wrapper has-sidebar"><article class="post"><header><h1>Ropes</h1></header><p>{PARAGRAPH}</p></article></div>'
+    assert text(page) == f"Ropes\n{PARAGRAPH}"
+    page = f'<div class="page no-sidebar"><div class="entry-header"><h1>Ropes</h1></div><div class="entry-content"><p>{PARAGRAPH}</p></div></div>'
+    assert text(page).endswith(PARAGRAPH)
+
+
 def test_page_without_marks():
     menu = "".join(f'<div><a href="/{x}">{x} and more</a></div>' for x in "abcdef")
     assert text(f"<body>{menu}<div><p>{PARAGRAPH}</p><p>{SECOND}</p></div>{menu}</body>") == f"{PARAGRAPH}\n{SECOND}"
