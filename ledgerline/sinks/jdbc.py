@@ -22,6 +22,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, driver: str, mode: str = "er
     """Writes the frame and returns the number of rows sent.
 
     ``mode`` is a real save mode: ``errorifexists``, ``overwrite`` or ``append``.
+    Overwriting empties the table first, so an export that fails leaves it empty
+    or in part: overwrite a side table and swap the names in the database.
     A partition is one transaction, but a task that is lost after its commit runs
     again; compare the returned number with the table's count, or give the table
     a primary key, before the export is used.

@@ -33,7 +33,7 @@ def connect(sf_dir: str):
 
 
 # Spark and DuckDB types that hold the same values.
-SAME_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+SAME_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def compare(spark, con, name: str, sf_dir: str) -> list[str]:
@@ -66,7 +66,7 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session("check", 8)
     con = connect(sf_dir)
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     bad = 0
     for name in names:
         start = time.time()
