@@ -164,19 +164,26 @@ def term_rows(documents: DataFrame) -> DataFrame:
     return _rows(documents).select("doc_id", "print", F.explode(words).alias("term")).where(F.length("term") >= LEAST_LETTERS)
 
 
+def _disclosure(n_t: Column, total: int) -> Column:
+    """The share of an entity's bits that a term of ``n_t`` documents tells; an entity of every document has none."""
+    share = 1 + F.log2(F.col("n_et") / n_t) / -F.log2(F.col("n_e") / F.lit(float(max(total, 1))))
+    return F.when(F.col("n_e") >= total, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), share))
+
+
 def disclosing_terms(documents: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
     """Terms whose disclosure of some entity is at least ``least``: ``term``, ``disclosure``, the largest."""
     contexts = materialize(entity_contexts(documents), "contexts")
+    total = documents.count()
     entities = contexts.groupBy("entity").agg(F.count_distinct("doc_id", "print").alias("n_e"))
     pairs = contexts.groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.count_distinct("print").alias("texts"))
-    pairs = materialize(pairs.where(F.col("texts") >= support).join(entities, "entity"), "pairs")
+    # A term occurs in no fewer documents than those where it stands near any entity. That bounds its
+    # disclosure from above, so common words need not be counted in all texts.
+    near = contexts.groupBy("term").agg(F.count_distinct("doc_id", "print").alias("n_near"))
+    pairs = pairs.where(F.col("texts") >= support).join(entities, "entity").join(near, "term")
+    pairs = materialize(pairs.where(_disclosure(F.col("n_near"), total) >= least), "pairs")
     candidates = materialize(pairs.select("term").distinct(), "candidates")
     counts = term_rows(documents).join(candidates, "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    total = documents.count()
-    share = 1 + F.log2(F.col("n_et") / F.col("n_t")) / -F.log2(F.col("n_e") / F.lit(float(max(total, 1))))
-    # An entity of every document has no bits to tell.
-    told = F.when(F.col("n_e") >= total, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), share))
-    told = pairs.join(counts, "term").groupBy("term").agg(F.max(told).alias("disclosure"))
+    told = pairs.join(counts, "term").groupBy("term").agg(F.max(_disclosure(F.col("n_t"), total)).alias("disclosure"))
     return materialize(told.where(F.col("disclosure") >= least), "terms")
 
 
