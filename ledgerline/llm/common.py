@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Text handled at once inside a task, in bytes; a longer text is handled alone.
+# Spark itself cuts the batches that a task gets at 64 MB.
 SLICE_BYTES = 8 << 20
 
 
@@ -51,6 +52,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def byte_map(texts: pa.Array, table: np.ndarray) -> pa.Array:
@@ -106,6 +108,21 @@ def codes(flat: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
 
 
+# Ids that are broadcast for a join, 64 MB at most in an executor.
+BROADCAST_IDS = 4_000_000
+
+
+def without(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """``rows`` whose id is not among ``ids``, a written table of its own.
+
+    As long as the ids are few they are broadcast and the rows stay where they
+    are; beyond ``BROADCAST_IDS`` Spark decides, and may shuffle both.
+    """
+    few = ids.count() <= BROADCAST_IDS
+    match = rows[column].eqNullSafe(ids[column])
+    return rows.join(F.broadcast(ids) if few else ids, match, "left_anti")
+
+
 # Ids that a filter takes; its bits are 16 for each, 16 MB at most.
 FILTER_IDS = 8_000_000
 
@@ -172,7 +189,7 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         )
         links = materialize(small.where("u <> v").distinct(), purpose)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        if now == before or not now[0]:
             break
         before = now
     pairs = links.select(F.col("u").alias("node"), F.col("v").alias("component"))

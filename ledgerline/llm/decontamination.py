@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ALNUM_LOWER, codes, materialize, slices, words
+from ledgerline.llm.common import ALNUM_LOWER, codes, materialize, slices, without, words
 
 PHRASE_WORDS = 13
 # Distinct phrases that one search sends to the executors; more are searched in turns.
@@ -251,9 +251,10 @@ def overlap(documents: DataFrame, benchmark: DataFrame, length: int = PHRASE_WOR
             )
         ).cast("bigint").alias("n_hit")
     )
+    # Written before the join, a passage of very many documents can be split there.
+    found = materialize(exact.select("block", "document", "phrase").distinct(), "found")
     items = (
-        exact.select("block", "document", "phrase").distinct()
-        .join(wanted, "phrase").select("block", "document", "item_id").distinct()
+        found.join(wanted, "phrase").select("block", "document", "item_id").distinct()
         .groupBy("block", "document").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     )
     near = matches.where("not exact").groupBy("block", "document").agg(F.count("*").alias("n_near"))
@@ -280,5 +281,4 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFram
     """
     found = overlap(documents, benchmark).where(contaminated())
     bad = materialize(found.select("doc_id").distinct(), "contaminated")
-    match = documents["doc_id"].eqNullSafe(bad["doc_id"])
-    return documents.join(bad, match, "left_anti")
+    return without(documents, bad)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPACE_LOWER, codes, components, id_filter, materialize, slices, words
+from ledgerline.llm.common import SPACE_LOWER, codes, components, id_filter, materialize, slices, without, words
 
 SHINGLE = 3
 PERCENT = 90
@@ -138,7 +138,12 @@ def _rows(documents: DataFrame) -> DataFrame:
 
 
 def _measured(documents: DataFrame, length: int, percent: int) -> DataFrame:
-    """``doc_id``, ``n``, fingerprint and part keys; a set seen before in the same task has no keys."""
+    """``doc_id``, ``n``, fingerprint, part keys, and ``mates``: fingerprints of sets that share a part.
+
+    A set seen before in the same task has no keys. Of the sets of a slice that
+    share a part only the first has its key; the others name it as a mate. So a
+    part of very many documents has a row for each slice and not for each of them.
+    """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -150,19 +155,40 @@ def _measured(documents: DataFrame, length: int, percent: int) -> DataFrame:
                 for x, p in zip(sets, prints):
                     keys.append(np.zeros(0, np.uint64) if p in seen or not len(x) else _parts(x, percent))
                     seen.add(p)
-                ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+                keys, mates = _first_of_each(keys, np.array([p[0] for p in prints], np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array([p[0] for p in prints], pa.int64()),
                         pa.array([p[1] for p in prints], pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64))),
+                        _lists(keys),
+                        _lists(mates),
                     ],
-                    ["doc_id", "n", "p1", "p2", "keys"],
+                    ["doc_id", "n", "p1", "p2", "keys", "mates"],
                 )
 
-    return _rows(documents).mapInArrow(measure, "doc_id bigint, n bigint, p1 bigint, p2 bigint, keys array<bigint>")
+    schema = "doc_id bigint, n bigint, p1 bigint, p2 bigint, keys array<bigint>, mates array<bigint>"
+    return _rows(documents).mapInArrow(measure, schema)
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows).view(np.int64)))
+
+
+def _first_of_each(keys: list[np.ndarray], prints: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Each key with the first row that has it, and for the other rows the prints of those first ones."""
+    row = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
+    flat = np.concatenate(keys)
+    _, first, number = np.unique(flat, return_index=True, return_inverse=True)
+    leader = row[first][number]
+    own = np.zeros(len(flat), bool)
+    own[first] = True
+    cuts = np.cumsum([len(x) for x in keys])[:-1]
+    mine, theirs = np.split(own, cuts), np.split(leader, cuts)
+    mates = [np.unique(prints[t[t != i]]) if len(t) else prints[:0] for i, t in enumerate(theirs)]
+    return [x[m] for x, m in zip(keys, mine)], mates
 
 
 def _contents(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -279,11 +305,13 @@ def walk(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[i
 
 def _units(members: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
     """Rows ``unit``, ``side``, ``doc_id``, ``hashes``: node pairs that may hold links, with both nodes' sets."""
-    totals = members.groupBy("root").agg(F.sum("n").alias("total"))
+    # Written before the joins, the rows of a root with very many classes can be split there.
+    totals = materialize(members.groupBy("root").agg(F.sum("n").alias("total")), "tree-sizes")
     capacity = F.greatest(F.lit(NODE_SHINGLES), F.least(F.lit(NODE_SHINGLES_MOST), F.floor(F.col("total") / NODES_PER_ROOT)))
     band = F.when(F.col("total") <= NODE_SHINGLES, 0).otherwise(F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))))
     placed = members.join(totals, "root").select("root", "doc_id", "p1", "p2", "n", band.alias("band"), capacity.alias("capacity"))
     sizes = placed.groupBy("root", "band").agg(F.ceil(F.sum("n") / F.first("capacity")).alias("slots"))
+    sizes = materialize(sizes, "tree-slots")
     slot = F.pmod(F.xxhash64("doc_id"), F.col("slots")).alias("slot")
     placed = placed.join(sizes, ["root", "band"]).select("root", "band", slot, "doc_id", "p1", "p2", "n")
     leaves = materialize(
@@ -331,7 +359,8 @@ def links(documents: DataFrame, measured: DataFrame, length: int, percent: int)
     )
     parts = measured.select(F.explode("keys").alias("key"), "p1")
     first = F.min("p1").over(Window.partitionBy("key"))
-    shared = parts.select(first.alias("a"), F.col("p1").alias("b")).where("a <> b").distinct()
+    shared = parts.select(first.alias("a"), F.col("p1").alias("b"))
+    shared = shared.unionAll(measured.select("p1", F.explode("mates"))).where("a <> b").distinct()
     roots = components(shared, "forest").select(F.col("node").alias("p1"), F.col("component").alias("root"))
     members = materialize(classes.join(roots, "p1").select("root", "doc_id", "p1", "p2", "n"), "tree-members")
     units = _units(members, _contents(documents, members.select("doc_id").distinct(), length), percent)
@@ -363,15 +392,16 @@ def near_duplicates(documents: DataFrame, length: int = SHINGLE, percent: int =
     )
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
+def one_of_each(documents: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``documents`` with all columns, of each component only the row with the smallest ``doc_id``.
 
     Of rows that repeat this id one stays; rows with a null id all stay.
     """
-    found = materialize(near_duplicates(documents), "components")
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
-    kept = materialize(kept, "kept")
-    rows = documents.join(kept.select(F.col("doc_id")), "doc_id", "left_semi")
-    if not kept.where("copies > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc_id"])
-    return rows.select(documents.columns).unionByName(documents.where("doc_id is null"))
+    found = materialize(near_duplicates(documents, length, percent), "components")
+    others = found.where("doc_id <> component_id").select("doc_id").distinct()
+    rows = without(documents, materialize(others, "others"))
+    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("copies")).where("copies > 1")
+    if repeated.isEmpty():
+        return rows
+    known = rows.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return known.unionByName(rows.where("doc_id is null"))

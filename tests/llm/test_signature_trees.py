@@ -9,6 +9,7 @@ from conftest import EDGE_TEXTS, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from ledgerline.llm import common
 from ledgerline.llm import signature_trees as trees
 from ledgerline.llm.common import components
 
@@ -104,6 +105,23 @@ def test_one_of_each_group(spark, edge_documents, no_documents):
     assert rows(trees.one_of_each(no_documents)) == []
 
 
+def test_more_ids_than_are_broadcast(spark, monkeypatch):
+    """Beyond the bounds joins take the place of the filter and the broadcast; the rows are the same."""
+    monkeypatch.setattr(common, "FILTER_IDS", 0)
+    monkeypatch.setattr(common, "BROADCAST_IDS", 0)
+    docs = list(enumerate(near_copies(30, 60, 3, 7) + ["a b c d", "a b c d"]))
+    compare(spark, docs)
+    kept = trees.one_of_each(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert rows(kept, "doc_id") == sorted({(root,) for _, root in brute.near(docs).values()}, key=repr)
+
+
+def test_id_filter_loses_no_id(spark):
+    ids = [(i * 7919 - 10**9,) for i in range(5000)] + [(2**63 - 1,), (-(2**63),)]
+    found = common.id_filter(spark.createDataFrame(ids, "doc_id bigint")).value
+    assert found.may_hold(np.array([i for i, in ids], np.int64)).all()
+    assert found.may_hold(np.arange(10**12, 10**12 + 20_000)).mean() < 0.05
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(7, 1000 + i) for i in range(50)] + [(3, 3)]
     found = rows(components(spark.createDataFrame(links, "a bigint, b bigint"), "test"))
