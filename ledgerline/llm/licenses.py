@@ -11,7 +11,7 @@ A block is compared with a template only if
 prefix     one of the |T| - a + 1 rarest words of the template is in the block,
            a being the least overlap,
 length     the block has at least ``a`` words,
-position   the words after the first common one suffice on both sides.
+position   the template's words from the first common one on suffice.
 
 Only built-in functions run. The template table is small and fixed; Spark decides
 on broadcasts by its size. Of templates found in a block those are dropped whose

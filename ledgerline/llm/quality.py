@@ -35,6 +35,7 @@ RUN = 8
 MOST_REPEATED_PERCENT = 30
 SHORT_LINE = 5
 KEEP_SHARE = 0.5
+SLICE_BYTES = 4 << 20  # of text at once; its lines stand in memory several times
 SYMBOLS = b"#*$%&|<>"
 # Separators of menus, phrases of boilerplate, closing marks.
 SEPARATORS = frozenset("| || » « › ‹ • · / \\ > >> < << - – — → ← :: ~".split())
@@ -173,7 +174,7 @@ def measure(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in MEASURES.split(", ")]
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 found, _ = _verdicts(part.column("text"))
                 columns = [part.column("doc_id"), *(pa.array(found[k]) for k in names[1:])]
                 yield pa.RecordBatch.from_arrays(columns, names)
@@ -187,7 +188,7 @@ def clean(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 found, texts = _verdicts(part.column("text"))
                 at = part.schema.get_field_index("text")
                 part = part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
