@@ -5,6 +5,7 @@ import random
 
 import pytest
 from conftest import EDGE_TEXTS, rows
+from pyspark.sql import functions as F
 
 from ledgerline.llm import sharding
 
@@ -32,7 +33,7 @@ def test_directory(spark, monkeypatch, limit, round_bits):
     rng = random.Random(2)
     data = [(i, "x" * rng.choice([0, 10, 90, 400, 3000])) for i in range(300)]
     found = sharding.shard(spark.createDataFrame(data, "doc_id bigint, text string").repartition(3), limit)
-    shards = rows(found.groupBy("shard").agg({"shard": "count", "bytes": "sum"}))
+    shards = rows(found.groupBy("shard").agg(F.count("*"), F.sum("bytes")))
     assert shards == grown([(i, len(t)) for i, t in data], limit)
     assert rows(found, "doc_id", "bytes") == sorted(((i, len(t)) for i, t in data), key=repr)
 
@@ -41,10 +42,10 @@ def test_hot_key_is_split(spark):
     data = [(i, "x" * 50, "hot" if i % 3 else f"k{i}") for i in range(600)] + [(1000, "y" * 5000, "hot")]
     docs = spark.createDataFrame(data, "doc_id bigint, text string, source string").repartition(4)
     found = sharding.shard(docs, 2000, key="source").cache()
-    sums = found.groupBy("shard").agg({"bytes": "sum", "shard": "count"}).collect()
-    assert all(r["sum(bytes)"] <= 2000 or r["count(shard)"] == 1 for r in sums)
+    sums = found.groupBy("shard").agg(F.sum("bytes").alias("sum"), F.count("*").alias("n")).collect()
+    assert all(r["sum"] <= 2000 or r.n == 1 for r in sums)
     assert found.count() == 601 and found.select("doc_id").distinct().count() == 601
-    assert all(r.shard_bytes == s for r, s in ((r, {x["shard"]: x["sum(bytes)"] for x in sums}[r.shard]) for r in found.collect()))
+    assert all(r.shard_bytes == s for r, s in ((r, {x.shard: x["sum"] for x in sums}[r.shard]) for r in found.collect()))
 
 
 def test_special_cases(spark, edge_documents, no_documents):
