@@ -250,11 +250,14 @@ def customer_sums(spark, sf_dir) -> DataFrame:
 
 
 def shipped_months(spark, sf_dir) -> DataFrame:
-    """Card and month of every order line, each once per order."""
-    months = txn_lines(spark, sf_dir, "l_orderkey", "TXN_DATE").select(
-        "l_orderkey", F.year("TXN_DATE").alias("YEAR"), F.month("TXN_DATE").alias("MONTH")
-    )
-    return _with_order(spark, sf_dir, months.distinct(), "CUST_CC_NO").select("CUST_CC_NO", "YEAR", "MONTH")
+    """Card and month of every order line, each once per order.
+
+    An order's months are gathered as a set, so the lines shuffle by order only,
+    once for the set and the lookup.
+    """
+    month = F.struct(F.year("TXN_DATE").alias("YEAR"), F.month("TXN_DATE").alias("MONTH"))
+    months = txn_lines(spark, sf_dir, "l_orderkey", "TXN_DATE").groupBy("l_orderkey").agg(F.collect_set(month).alias("months"))
+    return _with_order(spark, sf_dir, months, "CUST_CC_NO").select("CUST_CC_NO", F.inline("months"))
 
 
 def txn_lines(spark, sf_dir, *wanted: str) -> DataFrame:
