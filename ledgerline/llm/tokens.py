@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from ledgerline.llm.common import SPACE_LOWER, SPACE_ONLY, codes, words
 
 # Words whose ids a Python worker keeps; beyond that it starts anew.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 250_000
 LINE_WORDS = 200
 
 
