@@ -108,8 +108,8 @@ def codes(flat: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
 
 
-# Ids that are broadcast for a join, 64 MB at most in an executor.
-BROADCAST_IDS = 4_000_000
+# Ids that are broadcast for a join, some 64 MB at most in an executor.
+BROADCAST_IDS = 1_000_000
 
 
 def without(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
