@@ -3,14 +3,19 @@
 1. Base spans: e-mail, IP, card and phone patterns, of which those that fail the
    range, Luhn or length check are dropped. Positions come from splitting the text
    at the pattern: lengths of gaps and matches add up to code point offsets.
-2. Co-occurrence: the words in ``CONTEXT`` characters on either side of a span, up
-   to the next span of its kind, stand with the entity (kind and value) found
-   there. With document counts N, n(e), n(t), n(e, t) a term tells
+2. Co-occurrence: all words of a text, wherever they stand, go with each entity (kind
+   and value) found in it. Of N different texts n(e) hold the entity, n(t) the term
+   and n(e, t) both; copies count once. A term tells
    PMI(e; t) = log2(n(e, t) N / (n(e) n(t))) of the entity's -log2(n(e) / N) bits.
    The share it tells is its disclosure; 1 means that the term occurs only where
-   the entity does. Pairs seen in fewer than ``SUPPORT`` different texts are no
-   evidence.
-3. Terms whose disclosure of any entity reaches ``REMOVE`` are removed, those that
+   the entity does.
+3. Confidence: n(e, t) / n(t) times (``DOUBT`` / V) ** (1 / n(e, t)), V being the
+   number of different terms of the corpus, is a lower bound of the term's true
+   share, the exact one where the term stands only with the entity. A pair is
+   evidence if the disclosure by this bound is ``CERTAIN`` of the level asked for
+   at least. Any text with an entity has words found nowhere else, which the bound
+   leaves out as chance; in large corpora two texts in common can be enough.
+4. Terms whose disclosure of any entity reaches ``REMOVE`` are removed, those that
    reach ``GENERALISE`` become ``[TERM]``, wherever they stand.
 
 Candidates are counted over all documents; the term tables pass through joins and
@@ -26,10 +31,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import materialize
 
-CONTEXT = 80
 RUN = 256  # matches summed at once
 MANY_SPANS = 64
-SUPPORT = 3
+DOUBT = 0.1
+CERTAIN = 1 / 3
 REMOVE = 0.97
 GENERALISE = 0.9
 LEAST_LETTERS = 3
@@ -50,7 +55,7 @@ IP_IN_RANGE = rf"^(?:{_BYTE}\.){{3}}{_BYTE}$"
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term_generalised": "[TERM]", "term_removed": ""}
 KINDS = tuple(PATTERNS)
 
-_FOUND = "array<struct<kind:string,start:int,end:int,value:string,before:string,after:string>>"
+_FOUND = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
 def _digits(value: Column) -> Column:
@@ -82,25 +87,20 @@ def _valid(kind: str, value: Column) -> Column:
 def _with_matches(rows: DataFrame, out: str, pattern: Column, kind: str, where: Column) -> DataFrame:
     """``rows`` with the matches of ``pattern`` in ``text`` as ``out``; none where the condition does not hold.
 
-    Each has its place and the text on either side, up to the next match. Pairs
-    of gap and match are a column of their own, as lambdas run what stands in
-    them for each element.
+    Pairs of gap and match are a column of their own, as lambdas run what stands
+    in them for each element.
     """
     gaps = F.split("text", pattern, -1)
     values = F.regexp_extract_all("text", pattern, F.lit(0))
-    left = F.zip_with(values, gaps, lambda v, gap: F.struct(v.alias("value"), gap.alias("before")))
-    pairs = F.zip_with(
-        left, F.slice(gaps, F.lit(2), F.size(gaps)), lambda x, gap: F.struct(x["value"], x["before"], gap.alias("after"))
-    )
+    pairs = F.zip_with(values, gaps, lambda v, gap: F.struct(v.alias("value"), gap.alias("before")))
     pairs = F.filter(pairs, lambda x: x["value"].isNotNull())
 
     def add(acc: Column, row: Column) -> Column:
         start = acc["at"] + F.length(row["before"])
         end = start + F.length(row["value"])
         span = F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), row["value"].alias("value"),
-            F.right(row["before"], F.lit(CONTEXT)).alias("before"), F.left(row["after"], F.lit(CONTEXT)).alias("after"),
-        )
+            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), row["value"].alias("value")
+        )
         return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
 
     def join(acc: Column, part: Column) -> Column:
@@ -141,21 +141,19 @@ def _rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def entity_contexts(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``print``, ``entity`` and a word of its context, ``term``, once per document."""
-    matches = with_base(_rows(documents)).select("doc_id", "print", F.explode("matches").alias("m"))
-    # Words cut by the window's edge and other personal data in it are no terms.
+def entity_texts(documents: DataFrame) -> DataFrame:
+    """``print``, the ``entities`` and the words, ``terms``, of every different text that has an entity."""
+    rows = with_base(_rows(documents)).where(F.size("matches") > 0)
+    entity = lambda m: F.concat_ws(":", m["kind"], F.lower(m["value"]))
+    # Parts of personal data are no terms.
     blank = F.lit("|".join([*PATTERNS.values(), r"[^\p{L}]+"]))
-    before = F.when(F.length("m.before") < CONTEXT, F.col("m.before")).otherwise(F.regexp_replace("m.before", r"^\p{L}+", " "))
-    after = F.when(F.length("m.after") < CONTEXT, F.col("m.after")).otherwise(F.regexp_replace("m.after", r"\p{L}+$", " "))
-    words = F.split(F.regexp_replace(F.concat_ws(" ", before, after), blank, F.lit(" ")), " ")
-    entity = F.concat_ws(":", "m.kind", F.lower("m.value"))
-    return (
-        matches.select("doc_id", "print", entity.alias("entity"), F.explode(F.array_distinct(words)).alias("term"))
-        .withColumn("term", F.lower("term"))
-        .where(F.length("term") >= LEAST_LETTERS)
-        .distinct()
+    words = F.split(F.lower(F.regexp_replace("text", blank, F.lit(" "))), r"[^\p{L}]+")
+    rows = rows.select(
+        "print",
+        F.array_distinct(F.transform("matches", entity)).alias("entities"),
+        F.filter(F.array_distinct(words), lambda w: F.length(w) >= LEAST_LETTERS).alias("terms"),
     )
+    return rows.groupBy("print").agg(F.first("entities").alias("entities"), F.first("terms").alias("terms"))
 
 
 def term_rows(documents: DataFrame) -> DataFrame:
@@ -164,27 +162,56 @@ def term_rows(documents: DataFrame) -> DataFrame:
     return _rows(documents).select("doc_id", "print", F.explode(words).alias("term")).where(F.length("term") >= LEAST_LETTERS)
 
 
-def _disclosure(n_t: Column, total: int) -> Column:
-    """The share of an entity's bits that a term of ``n_t`` documents tells; an entity of every document has none."""
-    share = 1 + F.log2(F.col("n_et") / n_t) / -F.log2(F.col("n_e") / F.lit(float(max(total, 1))))
+def _disclosure(n_et: Column, n_t: Column, total: int) -> Column:
+    """The share of an entity's bits that a term of ``n_t`` texts tells; an entity of every text has none."""
+    share = 1 + F.log2(n_et / n_t) / _bits(total)
     return F.when(F.col("n_e") >= total, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), share))
 
 
-def disclosing_terms(documents: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
-    """Terms whose disclosure of some entity is at least ``least``: ``term``, ``disclosure``, the largest."""
-    contexts = materialize(entity_contexts(documents), "contexts")
-    total = documents.count()
-    entities = contexts.groupBy("entity").agg(F.count_distinct("doc_id", "print").alias("n_e"))
-    pairs = contexts.groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.count_distinct("print").alias("texts"))
-    # A term occurs in no fewer documents than those where it stands near any entity. That bounds its
-    # disclosure from above, so common words need not be counted in all texts.
-    near = contexts.groupBy("term").agg(F.count_distinct("doc_id", "print").alias("n_near"))
-    pairs = pairs.where(F.col("texts") >= support).join(entities, "entity").join(near, "term")
-    pairs = materialize(pairs.where(_disclosure(F.col("n_near"), total) >= least), "pairs")
+def _bits(total: int) -> Column:
+    return -F.log2(F.col("n_e") / F.lit(float(max(total, 1))))
+
+
+def _surely(n_et: Column, n_t: Column, total: int, terms: int) -> Column:
+    """The disclosure by the lower bound of a term's share, where ``terms`` terms are tried."""
+    return _disclosure(n_et * F.pow(F.lit(DOUBT / max(terms, 1)), 1 / n_et), n_t, total)
+
+
+def disclosing_terms(documents: DataFrame, least: float = GENERALISE) -> DataFrame:
+    """Terms whose disclosure of some entity is at least ``least``, and surely a part of it: ``term``, ``disclosure``, the largest."""
+    texts = materialize(entity_texts(documents), "entity-texts")
+    total = _rows(documents).select("print").distinct().count()
+    n_terms = term_rows(documents).agg(F.approx_count_distinct("term", 0.02)).first()[0]
+
+    def evident(n_et: Column, n_t: Column) -> Column:
+        return (_disclosure(n_et, n_t, total) >= least) & (_surely(n_et, n_t, total, n_terms) >= CERTAIN * least)
+
+    # An entity counts if a term that stands in just its texts would be evidence.
+    entities = texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    entities = materialize(entities.where(evident(F.col("n_e"), F.col("n_e"))), "entities")
+    most = entities.agg(F.max("n_e")).first()[0]
+    if most is None:
+        return materialize(documents.sparkSession.createDataFrame([], "term string, disclosure double"), "terms")
+    own = texts.select("print", F.explode("entities").alias("entity")).join(entities, "entity").select("print", "entity", "n_e")
+    own = materialize(own, "entity-places")
+    # A term occurs in no fewer texts than those with any entity, also one that does not count. That bounds its
+    # disclosure from above, so common words need not be paired with entities or counted in all texts.
+    near = texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_near"))
+    largest = F.lit(float(most))
+    bound = F.when(F.lit(most >= total), F.lit(True)).otherwise(
+        F.log2(F.col("n_near")) <= F.log2(largest) + (1 - least) * (F.log2(F.lit(float(total))) - F.log2(largest)) + 1e-9
+    )
+    near = materialize(near.where(bound), "near")
+    rows = texts.join(own.select("print").distinct(), "print", "left_semi").select("print", F.explode("terms").alias("term"))
+    pairs = rows.join(near, "term").join(own, "print").groupBy("entity", "term").agg(
+        F.count("*").alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_near").alias("n_near")
+    )
+    pairs = materialize(pairs.where(evident(F.col("n_et"), F.col("n_near"))), "pairs")
     candidates = materialize(pairs.select("term").distinct(), "candidates")
-    counts = term_rows(documents).join(candidates, "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    told = pairs.join(counts, "term").groupBy("term").agg(F.max(_disclosure(F.col("n_t"), total)).alias("disclosure"))
-    return materialize(told.where(F.col("disclosure") >= least), "terms")
+    counts = term_rows(documents).join(candidates, "term").groupBy("term").agg(F.count_distinct("print").alias("n_t"))
+    told = pairs.join(counts, "term").where(evident(F.col("n_et"), F.col("n_t")))
+    told = told.groupBy("term").agg(F.max(_disclosure(F.col("n_et"), F.col("n_t"), total)).alias("disclosure"))
+    return materialize(told, "terms")
 
 
 def spans(documents: DataFrame, remove: float = REMOVE) -> DataFrame:

@@ -101,3 +101,18 @@ def test_rows_that_share_an_id_are_told_apart(spark):
     docs = [(1, PROSE), (1, "mail a@b.com"), (None, "mail a@b.com"), (None, PROSE)]
     docs = spark.createDataFrame(docs, "doc_id bigint, text string")
     assert rows(disclosure.sanitise(docs)) == sorted([(1, PROSE), (1, "mail [EMAIL]"), (None, "mail [EMAIL]"), (None, PROSE)], key=repr)
+
+
+def test_terms_count_wherever_they_stand_in_a_text(spark):
+    """A name at the top of a letter, the address at its end, in two texts of a large corpus."""
+    filler = " ".join(["the day was long and nobody spoke of it"] * 10)
+    docs = [f"Blauvogel. {filler} Letter {w}. Write to max@mail.example.com" for w in ("one", "two")]
+    docs += [f"text {chr(97 + i % 26) * 3}{chr(97 + i // 26 % 26) * 3}{chr(97 + i // 676) * 3}" for i in range(9000)]
+    docs = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    assert {r.term for r in disclosure.disclosing_terms(docs).collect()} >= {"blauvogel"}
+
+
+def test_words_of_a_single_text_are_chance(spark):
+    docs = [f"text {chr(97 + i % 26) * 3}{chr(97 + i // 26) * 3}" for i in range(600)] + ["Blauvogel is max@mail.example.com"]
+    docs = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    assert rows(disclosure.disclosing_terms(docs)) == []
