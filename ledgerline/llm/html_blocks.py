@@ -9,13 +9,16 @@ around it. A small decision tree, trained on the labelled pages of
 white space is one blank and character references are decoded. Null and empty
 pages, and pages without a kept block, have the text ``""``. Broken markup is read
 as far as it goes: a ``<`` that opens no tag is text, an open tag ends with its
-parent. Repeated rows are read each by itself; other columns are ignored.
+parent; only script, style, title and textarea without an end tag hold all that
+follows, as in HTML. A self-closed svg or math is empty, and both end where a
+block begins that cannot stand in them. Repeated rows are read each by itself; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,7 +43,11 @@ BLOCK_TAGS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre "
     "search section select summary table tbody td tfoot th thead tr ul".split()
 )
-SILENT_TAGS = "script style noscript template svg math head title iframe object canvas audio video textarea select".split()
+# What stands in the first is not read for tags.
+RAW_TAGS = "script style title textarea".split()
+SILENT_TAGS = frozenset("noscript template svg math iframe object canvas audio video select".split())
+FOREIGN_TAGS = frozenset("svg math".split())
+FOREIGN_TEXT_TAGS = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())  # these may hold blocks
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FRAME_TAGS = frozenset("nav header footer aside form button dialog menu search fieldset label".split())
 ARTICLE_TAGS = frozenset("article main".split())
@@ -65,10 +72,10 @@ ARTICLE_WORDS = frozenset("article articlebody content entry main post story".sp
 # "has-sidebar" tells of a layout and not of a part.
 LAYOUT_WORDS = frozenset("has no with without".split())
 
-_SILENT = "|".join(SILENT_TAGS)
+_RAW = "|".join(RAW_TAGS)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({_SILENT})(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
+    rf"|<({_RAW})(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[A-Za-z][^>]*>",
@@ -139,7 +146,7 @@ def _kind(tag: str, attributes: str, in_article: bool) -> int:
         found = FRAME
     elif tag in ARTICLE_TAGS:
         found = ARTICLE
-    if not attributes or tag in ("body", "html"):
+    if not attributes or tag in ("body", "head", "html"):
         return found
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
@@ -159,9 +166,11 @@ def blocks(page: str) -> list[Block]:
     out = _Page()
     stack = [_Open("", PLAIN, False, False, None)]
     links, heading, at = 0, False, 0
+    silent: list[str] = []  # the open silent tag and the tags open inside
+    inline: Counter[str] = Counter()  # open tags that are not on the stack
 
     def text(end: int) -> None:
-        if end > at and not stack[-1].hidden:
+        if end > at and not silent and not stack[-1].hidden:
             out.pieces.append((html.unescape(page[at:end]), links > 0))
 
     def flush() -> None:
@@ -183,6 +192,26 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         tag = tag.lower()
+        if silent and match[2]:
+            if tag in silent:
+                del silent[len(silent) - 1 - silent[::-1].index(tag) :]
+                continue
+            if not inline[tag] and all(x.tag != tag for x in stack):
+                continue
+            silent.clear()  # its parent ends
+        elif silent:
+            foreign = silent[0] in FOREIGN_TAGS and not FOREIGN_TEXT_TAGS.intersection(silent)
+            if not foreign or tag not in BLOCK_TAGS:
+                if tag not in VOID_TAGS and not match[4].endswith("/"):
+                    silent.append(tag)
+                continue
+            silent.clear()
+        if tag in SILENT_TAGS and not match[2]:
+            if tag not in FOREIGN_TAGS or not match[4].endswith("/"):
+                silent.append(tag)
+            continue
+        if tag not in BLOCK_TAGS and tag not in VOID_TAGS:
+            inline[tag] = max(0, inline[tag] - 1) if match[2] else inline[tag] + 1
         if tag == "a":
             links = 0 if match[2] else 1
             continue

@@ -98,6 +98,27 @@ def test_broken_pages_are_read_as_far_as_they_go(page):
     assert text(f"<article><p>{PARAGRAPH}</p></article>{page}").startswith(PARAGRAPH)
 
 
+@pytest.mark.parametrize("tag", "svg math canvas object noscript template iframe audio video select".split())
+def test_open_silent_tags_end_with_their_parent(tag):
+    for parent in ("<div>{}</div>", "<p><b>{}</b></p>", "<p>{}</p>"):
+        page = f"<article><h1>Ropes</h1>{parent.format(f'<{tag} id=x>')}<p>{PARAGRAPH}</p><p>{SECOND}</p></article>"
+        assert text(page) == f"Ropes\n{PARAGRAPH}\n{SECOND}"
+    page = f"<article><p>{PARAGRAPH}<{tag}><b>silent</b> words</{tag}></p><p>{SECOND}</p></article>"
+    assert text(page) == f"{PARAGRAPH}\n{SECOND}"
+    inline = f"<article><p>Every morning <b><{tag}>silent</b>{PARAGRAPH}</p></article>"
+    assert text(inline) == f"Every morning {PARAGRAPH}"
+
+
+def test_head_without_end_tag_and_empty_drawings():
+    article = f"<article><h1>Ropes</h1><p>{PARAGRAPH}</p>{{}}<p>{SECOND}</p></article>"
+    want = f"Ropes\n{PARAGRAPH}\n{SECOND}"
+    for head in ("<head>", '<head class="head">'):
+        assert text(f"<html>{head}<title>x</title><style>p{{}}</style><body>{article.format('')}") == want
+    for drawing in ("<svg/>", '<svg viewBox="0 0 1 1" />', "<math/>", "<svg><path d=x>"):
+        assert text(article.format(drawing)) == want
+        assert text(article.format(drawing) + "<footer><svg></svg></footer>") == want
+
+
 def test_special_cases(spark):
     page = f"<article><p>{PARAGRAPH}</p></article>"
     long = "<article>" + f"<p>{PARAGRAPH}</p>" * 20_000 + "</article>"
