@@ -1,7 +1,10 @@
 """License scans: an exact set-similarity join of text blocks with licence templates.
 
 A block is a line of a text, as the set of its words (A-Z in lower case; digits,
-letters and all non-ASCII characters belong to words). A template is found in a
+letters and all non-ASCII characters belong to words). With ``paragraphs``, as
+op7 runs, each run of two or more lines with words is a block beside its lines, so
+that notices wrapped at any width are found; a line without words, such as a
+comment mark alone, ends a paragraph. A template is found in a
 block when the block holds at least ``PERCENT`` / 100 of the template's words.
 
 All words of the corpus that occur in templates are counted; every set is put in
@@ -10,7 +13,7 @@ A block is compared with a template only if
 
 prefix     one of the |T| - a + 1 rarest words of the template is in the block,
            a being the least overlap,
-length     the block has at least ``a`` words,
+length     the block has at least ``a`` different words of templates,
 position   the template's words from the first common one on suffice.
 
 Only built-in functions run. The template table is small and fixed; Spark decides
@@ -31,6 +34,7 @@ from ledgerline.llm.common import materialize
 
 PERCENT = 90
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+PARAGRAPH_END = rf"\n(?:{NOT_WORD})?\n"
 
 # Phrases that are labels by themselves.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -111,9 +115,17 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "template int, label string, words array<string>")
 
 
-def _lines(documents: DataFrame) -> DataFrame:
-    lines = _rows(documents).select("doc_id", "print", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    return lines.select("doc_id", "print", "line_no", F.lower(word_line(F.col("line"))).alias("line"))
+def _blocks(documents: DataFrame, paragraphs: bool) -> DataFrame:
+    """``doc_id``, ``print``, a number ``line_no`` and the distinct template words, ``block``, of each block."""
+    found = F.split("text", "\n", -1)
+    if paragraphs:
+        wrapped = F.filter(F.split("text", PARAGRAPH_END, -1), lambda x: F.instr(x, "\n") > 0)
+        found = F.concat(found, wrapped)
+    blocks = _rows(documents).select("doc_id", "print", F.posexplode(found).alias("line_no", "line"))
+    # Other words play no part; without them a long paragraph is a short row.
+    known = F.array(*(F.lit(x) for x in sorted({word for _, text in TEMPLATES for word in text.split()})))
+    own = F.array_intersect(F.split(F.lower(word_line(F.col("line"))), " "), known)
+    return blocks.select("doc_id", "print", "line_no", own.alias("block")).where(F.size("block") > 0)
 
 
 def word_counts(documents: DataFrame, table: DataFrame) -> DataFrame:
@@ -125,7 +137,7 @@ def word_counts(documents: DataFrame, table: DataFrame) -> DataFrame:
     return vocabulary.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def template_matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def template_matches(documents: DataFrame, percent: int = PERCENT, paragraphs: bool = False) -> DataFrame:
     """``doc_id``, ``print``, ``line_no``, ``template``, ``label`` and ``containment`` of all blocks that hold a template."""
     spark = documents.sparkSession
     counts = materialize(word_counts(documents, templates(spark)), "license-words")
@@ -141,20 +153,17 @@ def template_matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         "template", "label", "size", "least", "ordered",
         F.posexplode(F.slice("ordered", F.lit(1), F.col("size") - F.col("least") + 1)).alias("place", "rare"),
     ).select("template", "label", "size", "least", "ordered", "place", F.col("rare.word").alias("word"))
-    lines = _lines(documents)
-    words = lines.select("doc_id", "print", "line_no", "line", F.explode(F.split("line", " ")).alias("word"))
+    words = _blocks(documents, paragraphs).select("doc_id", "print", "line_no", "block", F.explode("block").alias("word"))
     candidates = words.join(prefix.select("template", "least", "size", "place", "word"), "word")
     # Length filter, and the first common word of the template's prefix for each block.
     candidates = (
-        candidates.where(n_words(F.col("line")) >= F.col("least"))
+        candidates.where(F.size("block") >= F.col("least"))
         .groupBy("doc_id", "print", "line_no", "template")
-        .agg(F.first("line").alias("line"), F.min("place").alias("place"))
+        .agg(F.first("block").alias("block"), F.min("place").alias("place"))
     )
     # Position filter: the template's words from the first common one on must suffice.
     candidates = candidates.join(table, "template").where(F.col("size") - F.col("place") >= F.col("least"))
     own = F.transform("ordered", lambda x: x["word"])
-    block = F.array_distinct(F.split("line", " "))
-    candidates = candidates.withColumn("block", block).where(F.size("block") >= F.col("least"))
     common = F.size(F.array_intersect(own, F.col("block")))
     found = candidates.withColumn("common", common).where(F.col("common") >= F.col("least"))
     return found.select(
@@ -178,12 +187,12 @@ def block_labels(matches: DataFrame) -> DataFrame:
     )
 
 
-def scan(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def scan(documents: DataFrame, percent: int = PERCENT, paragraphs: bool = False) -> DataFrame:
     """One row per document: phrase places, ``base`` and all ``labels``, and the ``score``.
 
     The score is the best containment of a template, and 1 where a phrase stands.
     """
-    found = materialize(block_labels(template_matches(documents, percent)), "license-labels").alias("f")
+    found = materialize(block_labels(template_matches(documents, percent, paragraphs)), "license-labels").alias("f")
     rows = phrase_places(documents).alias("d")
     match = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.print") == F.col("f.print"))
     none = F.array().cast("array<string>")

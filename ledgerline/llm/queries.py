@@ -59,7 +59,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    found = licenses.scan(_table(spark, sf_dir, "documents"), paragraphs=True)
     return found.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.array_join("base", ",").alias("base_labels"),

@@ -80,3 +80,21 @@ def test_repeated_rows_and_ids(spark):
     data = [(1, TEXTS[1]), (1, TEXTS[1]), (1, "other"), (None, TEXTS[1]), (None, None)]
     found = rows(licenses.scan(spark.createDataFrame(data, "doc_id bigint, text string")), "doc_id", "labels")
     assert found == sorted([(1, ["mit"]), (1, ["mit"]), (1, []), (None, ["mit"]), (None, [])], key=repr)
+
+
+def test_wrapped_notices(spark, tmp_path):
+    """The query finds every template wrapped at 72 columns, in comments, and beside other paragraphs."""
+    import textwrap
+
+    from ledgerline.llm.queries import op7_license_scan
+
+    long = [(label, text) for label, text in licenses.TEMPLATES if len(text) > 72]
+    texts = ["\n".join(textwrap.wrap(text, 72)) for _, text in long]
+    texts += ["Some code\n *\n" + "\n".join(f" * {x}" for x in textwrap.wrap(text, 72)) + "\n *\n\nmore" for _, text in long]
+    texts += ["\n\n".join(textwrap.wrap(text, 24)) for _, text in long]  # words of several paragraphs are no notice
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: (r.labels.split(","), r.score) for r in op7_license_scan(spark, str(tmp_path)).collect()}
+    for i in range(2 * len(long)):
+        assert long[i % len(long)][0] in found[i][0] and found[i][1] == 1.0
+    base = [brute.licenses(text)[4] for text in texts]
+    assert all(",".join(found[i][0]) == base[i] for i in range(2 * len(long), len(texts)))
