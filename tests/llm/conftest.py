@@ -1,12 +1,7 @@
 from __future__ import annotations
 
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 SF_DIR = "/root/testdata/sf0.001"
 
 # Every operator gets these texts in its tests of special cases.

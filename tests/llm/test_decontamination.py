@@ -2,9 +2,9 @@ from __future__ import annotations
 
 import random
 
-import brute
+from . import brute
 import pytest
-from conftest import EDGE_TEXTS, PROSE, rows
+from .conftest import EDGE_TEXTS, PROSE, rows
 from pyspark.sql import functions as F
 
 from ledgerline.llm import decontamination

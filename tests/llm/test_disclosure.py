@@ -1,8 +1,8 @@
 from __future__ import annotations
 
-import brute
+from . import brute
 import pytest
-from conftest import EDGE_TEXTS, PROSE, rows
+from .conftest import EDGE_TEXTS, PROSE, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

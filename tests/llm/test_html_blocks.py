@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import rows
+from .conftest import rows
 
 from ledgerline.llm import html_blocks
 from ledgerline.llm.html_training import PAGES

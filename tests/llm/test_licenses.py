@@ -1,7 +1,7 @@
 from __future__ import annotations
 
-import brute
-from conftest import EDGE_TEXTS, rows
+from . import brute
+from .conftest import EDGE_TEXTS, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -3,10 +3,10 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-import brute
+from . import brute
 import pyarrow as pa
 import pytest
-from conftest import EDGE_TEXTS, rows
+from .conftest import EDGE_TEXTS, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer

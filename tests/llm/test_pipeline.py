@@ -1,8 +1,8 @@
 from __future__ import annotations
 
-import brute
+from . import brute
 import pytest
-from conftest import LONG, PROSE, SF_DIR, rows
+from .conftest import LONG, PROSE, SF_DIR, rows
 from tokenizers import Tokenizer
 
 import corpus_pipeline

@@ -1,8 +1,8 @@
 from __future__ import annotations
 
-import brute
+from . import brute
 import numpy as np
-from conftest import EDGE_TEXTS, PROSE, SECOND, rows
+from .conftest import EDGE_TEXTS, PROSE, SECOND, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

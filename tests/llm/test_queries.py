@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import brute
+from . import brute
 import duckdb
 import pytest
-from conftest import SF_DIR, rows
+from .conftest import SF_DIR, rows
 
 from ledgerline.llm.oracles import ORACLES
 from ledgerline.llm.queries import QUERIES

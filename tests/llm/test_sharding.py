@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import EDGE_TEXTS, rows
+from .conftest import EDGE_TEXTS, rows
 from pyspark.sql import functions as F
 
 from ledgerline.llm import sharding

@@ -2,10 +2,10 @@ from __future__ import annotations
 
 import random
 
-import brute
+from . import brute
 import numpy as np
 import pytest
-from conftest import EDGE_TEXTS, rows
+from .conftest import EDGE_TEXTS, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -5,9 +5,9 @@ import io
 import random
 import zlib
 
-import brute
+from . import brute
 import pytest
-from conftest import rows
+from .conftest import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
