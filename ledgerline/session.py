@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
-
 # Settings for tables of about 100 TB on some 1000 executors. The initial number
 # of shuffle partitions is about twice their cores; adaptive execution joins the
 # small ones. Raise it for a load that shuffles the whole fact table.
@@ -50,16 +51,22 @@ def local_session(app: str, cores: int | str = "*", **conf: str) -> SparkSession
     return spark
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="ledgerline-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the folder every executor can reach.
 
     The cluster names that folder in ``spark.checkpoint.dir``. A folder of one
-    machine (``file:``) will do in local mode only.
+    machine (``file:``) will do in local mode only; where the setting is missing
+    there, a temporary folder of this process takes its place.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.conf.get("spark.master", "").startswith("local")
+    root = spark.conf.get("spark.checkpoint.dir", None) or (_local_folder() if local else None)
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    local = spark.conf.get("spark.master", "").startswith("local")
     if not local and root.startswith("file:"):
         raise ValueError(f"spark.checkpoint.dir names a folder of one machine: {root}")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
