@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,31 +11,29 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import shared_folder
+from ledgerline.sinks import files
+
 # Text handled at once inside a task, in bytes; a longer text is handled alone.
 # Spark itself cuts the batches that a task gets at 64 MB.
 SLICE_BYTES = 8 << 20
 
 
-def scratch(spark: SparkSession, purpose: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names.
-
-    Without the setting only local mode may go on, in a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="ledgerline-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
-    path = scratch(spark, purpose)
+    path = shared_folder(spark, purpose)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes tables made by ``materialize`` that nothing reads any more; other frames are left alone."""
+    for table in tables:
+        if path := getattr(table, "_scratch_path", None):
+            files.remove(table.sparkSession, path)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -58,13 +54,15 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 def byte_map(texts: pa.Array, table: np.ndarray) -> pa.Array:
     """``texts`` with every byte replaced by ``table[byte]``; nulls become empty texts."""
     texts = pc.fill_null(texts, "")
-    validity, offsets, data = texts.buffers()
+    _, offsets, data = texts.buffers()
     if data is None or not data.size:
         return texts
-    mapped = table[np.frombuffer(data, np.uint8)]
-    return pa.Array.from_buffers(
-        texts.type, len(texts), [validity, offsets, pa.py_buffer(mapped)], texts.null_count, texts.offset
-    )
+    # A slice shares the buffers of its batch: only its own bytes are mapped.
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    ends = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1]
+    mapped = table[np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]] if len(ends) else np.zeros(0, np.uint8)
+    own = pa.py_buffer(ends - ends[0] if len(ends) else np.zeros(1, kind))
+    return pa.Array.from_buffers(texts.type, len(texts), [None, own, pa.py_buffer(mapped)])
 
 
 def _table(separators: np.ndarray, lower: bool) -> np.ndarray:
@@ -182,12 +180,14 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         least = materialize(least, purpose)  # joined as a table of its own, a hub's links can be split
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.where("u <> v").distinct(), purpose)
+        release(links, least)
         least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), purpose)
         moved = large.join(least, "u")
         small = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
             least.select("u", F.col("m").alias("v"))
         )
         links = materialize(small.where("u <> v").distinct(), purpose)
+        release(large, least)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             break

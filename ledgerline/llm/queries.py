@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
+    collocations,
     decontamination,
     disclosure,
     html_blocks,
     licenses,
+    merkle,
+    order_minhash,
     packing,
     quality,
     sharding,
@@ -88,6 +91,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(_table(spark, sf_dir, "documents"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edited(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -101,5 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_ngram_jaccard_join,
         op10_benchmark_decontamination,
+        op11_merkle_manifest,
+        op12_phrase_collocations,
+        op13_order_minhash,
     )
 }

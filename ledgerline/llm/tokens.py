@@ -83,9 +83,8 @@ class WordEncoder:
     def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The number of each word, and the index of each text's first."""
         texts = pc.fill_null(texts, "")
-        data = texts.buffers()[2]
         # A special token in capitals is none, and must not become one.
-        plain = data is None or b"<|" not in memoryview(data).tobytes()
+        plain = not pc.any(pc.match_substring(texts, "<|")).as_py()
         table = SPACE_LOWER if plain else SPACE_ONLY
         flat, starts = words(pc.replace_substring_regex(texts, "([0-9A-Za-z])([.,])", r"\1 \2"), table)
         code, values = codes(flat)

@@ -35,7 +35,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialize, scratch, slices
+from ledgerline.llm.common import materialize, slices
+from ledgerline.session import shared_folder
 
 ARCHIVE_BYTES = 256 << 20  # of records in one file, before compression
 LEAST_BYTES = 1000
@@ -361,6 +362,6 @@ def read_archives(archives: DataFrame) -> DataFrame:
 
 def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Writes, normalises and reads back: a row per page, see ``RECORDS``."""
-    folder = folder or scratch(pages.sparkSession, "warc")
+    folder = folder or shared_folder(pages.sparkSession, "warc")
     catalog = write_archives(pages, folder)
     return read_archives(normalise(catalog, find_revisits(catalog), folder))
