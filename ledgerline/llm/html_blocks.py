@@ -5,6 +5,12 @@ word count and link density, those of its neighbours, and three marks of the tag
 around it. A small decision tree, trained on the labelled pages of
 ``html_training``, tells which blocks belong to the article.
 
+Class names are read as whole words. Those that name a topic or a state
+(``category-legal``, ``tag-search``, ``comments-open``) say nothing of the page's
+parts, and on an element that is marked as an article only names that can mean
+nothing else make it a frame. Ambiguous names (``legal``, ``thread``) make a frame
+beside a marked article; on other pages words and links decide alone.
+
 ``text`` joins the blocks kept, in page order, by ``\\n``; in a block every run of
 white space is one blank and character references are decoded. Null and empty
 pages, and pages without a kept block, have the text ``""``. Broken markup is read
@@ -34,7 +40,8 @@ FEATURES = (
     "words", "link_density", "words_before", "density_before", "words_after", "density_after",
     "closed", "heading", "in_article", "in_frame",
 )
-TREE_DEPTH = 6
+TREE_DEPTH = 8
+LABEL_WORDS = 3
 
 # Tags that end a block, tags whose contents are no text, tags that
 # have no end, and the tags, roles and class words that tell what a part of a page is.
@@ -68,9 +75,21 @@ FRAME_STEMS = (
     "adbox", "adsense", "adslot", "adunit", "advert", "breadcrumb", "comment", "cookie", "footer", "masthead", "navbar",
     "navigation", "newsletter", "sidebar", "sponsor", "subscri",
 )
-ARTICLE_WORDS = frozenset("article articlebody content entry main post story".split())
+ARTICLE_WORDS = frozenset("article articlebody content entry hentry main post story".split())
 # "has-sidebar" tells of a layout and not of a part.
 LAYOUT_WORDS = frozenset("has no with without".split())
+# "category-legal" tells of a topic, unless it is a list of them; "comments-open" of a state.
+TOPIC_WORDS = frozenset("author category format label status tag term topic type".split())
+LIST_WORDS = frozenset("archive box cloud links list lists menu nav".split())
+STATE_WORDS = frozenset("closed disabled enabled off on open".split())
+# Frame words that may as well be what an article is about, or how it is laid out.
+AMBIGUOUS_WORDS = frozenset(
+    "announcement discussion feedback legal rail response responses search skip social survey tags thread toc warning".split()
+)
+# What a name may hold beside a frame word, if it is to make a frame of an article: "related-posts", "comment-body".
+PART_WORDS = frozenset("area block body box card container entry item link links list post posts section wrapper".split())
+# No article stands in these.
+CLOSED_TAGS = frozenset("nav aside footer".split())
 
 _RAW = "|".join(RAW_TAGS)
 _TOKEN = re.compile(
@@ -87,7 +106,7 @@ _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 _CLOSERS = "\"')]}»”’"
 _CLOSING = tuple(".!?…:;。！？")
 
-PLAIN, ARTICLE, FRAME, HIDDEN = range(4)
+PLAIN, ARTICLE, FRAME, HIDDEN, HINT = range(5)
 
 
 @dataclass
@@ -101,6 +120,7 @@ class Block:
     in_article: bool
     in_frame: bool
     label: int | None = None
+    hinted: bool = False  # by an ambiguous name
 
     @property
     def density(self) -> float:
@@ -116,6 +136,7 @@ class _Open:
     in_article: bool
     hidden: bool
     label: int | None
+    closed: bool = False
 
 
 @dataclass
@@ -124,19 +145,32 @@ class _Page:
     pieces: list[tuple[str, bool]] = field(default_factory=list)
 
 
+def _frame_words(parts: set[str]) -> set[str]:
+    return {part for part in parts if part in FRAME_WORDS or part.startswith(FRAME_STEMS)}
+
+
 def _names(value: str, found: int) -> int:
-    """What the words of a class or id say."""
+    """What the words of a class or id say, on an element that is ``found`` to be an article or plain."""
+    names = []
     for name in value.split():
-        parts = {x.lower() for x in _NAME_PARTS.findall(name)}
-        if parts & LAYOUT_WORDS:
-            continue
-        if parts & {"header", "head"} and parts & {"article", "entry", "post", "story"}:
-            continue  # the head of an article holds its title
-        if parts & FRAME_WORDS or any(part.startswith(FRAME_STEMS) for part in parts):
+        parts = [x.lower() for x in _NAME_PARTS.findall(name)]
+        topic = len(parts) > 1 and parts[0] in TOPIC_WORDS and parts[1] not in LIST_WORDS
+        head = {"header", "head"} & set(parts) and {"article", "entry", "post", "story"} & set(parts)
+        # The head of an article holds its title.
+        if parts and not topic and not head and not LAYOUT_WORDS & set(parts) and not (len(parts) > 1 and parts[-1] in STATE_WORDS):
+            names.append(set(parts))
+    article = found == ARTICLE or any(parts <= ARTICLE_WORDS for parts in names)
+    hinted = False
+    for parts in names:
+        frame = _frame_words(parts)
+        if article and not parts <= frame | PART_WORDS | ARTICLE_WORDS:
+            continue  # a title or topic in the name of an article
+        if frame - AMBIGUOUS_WORDS:
             return FRAME
+        hinted |= bool(frame) and not article
         if parts & ARTICLE_WORDS:
             found = ARTICLE
-    return found
+    return HINT if hinted else found
 
 
 def _kind(tag: str, attributes: str, in_article: bool) -> int:
@@ -148,6 +182,7 @@ def _kind(tag: str, attributes: str, in_article: bool) -> int:
         found = ARTICLE
     if not attributes or tag in ("body", "head", "html"):
         return found
+    hinted = False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "style" and _HIDING.search(value)) or (name == "aria-hidden" and value == "true"):
@@ -156,9 +191,14 @@ def _kind(tag: str, attributes: str, in_article: bool) -> int:
             return FRAME
         if name == "role" and value.lower() in ARTICLE_TAGS:
             found = ARTICLE
-        if name in ("class", "id", "aria-label") and (found := _names(value, found)) == FRAME:
-            return FRAME
-    return found
+        # A longer label is a sentence and not the name of a part.
+        if name in ("class", "id") or (name == "aria-label" and len(value.split()) <= LABEL_WORDS):
+            named = _names(value, found)
+            if named == FRAME:
+                return FRAME
+            hinted |= named == HINT
+            found = found if named == HINT else named
+    return HINT if hinted and found == PLAIN else found
 
 
 def blocks(page: str) -> list[Block]:
@@ -181,7 +221,7 @@ def blocks(page: str) -> list[Block]:
             linked = sum(len(x.split()) for x, inside in out.pieces if inside)
             top = stack[-1]
             out.blocks.append(
-                Block(" ".join(whole), len(whole), linked, heading, top.in_article, top.kind == FRAME, top.label)
+                Block(" ".join(whole), len(whole), linked, heading, top.in_article, top.kind == FRAME, top.label, top.kind == HINT)
             )
         out.pieces.clear()
 
@@ -246,12 +286,14 @@ def blocks(page: str) -> list[Block]:
         kind = _kind(tag, match[4], top.in_article)
         if block or kind != PLAIN:
             label = re.search(r"data-label=([01])", match[4])
+            closed = top.closed or tag in CLOSED_TAGS
             stack.append(_Open(
                 tag,
-                top.kind if kind == PLAIN else kind,
-                top.in_article or kind == ARTICLE,
+                FRAME if top.closed else top.kind if kind == PLAIN else kind,
+                top.in_article or (kind == ARTICLE and not closed),
                 top.hidden or kind == HIDDEN,
                 int(label[1]) if label else top.label,
+                closed,
             ))
     text(len(page))
     flush()
@@ -271,7 +313,8 @@ def features(found: list[Block]) -> np.ndarray:
     rows[:, 6] = [b.text.rstrip(_CLOSERS).endswith(_CLOSING) for b in found]
     rows[:, 7] = [b.heading for b in found]
     rows[:, 8] = [b.in_article for b in found]
-    rows[:, 9] = [b.in_frame for b in found]
+    marked = any(b.in_article and not b.in_frame and not b.hinted for b in found)
+    rows[:, 9] = [b.in_frame or (b.hinted and marked) for b in found]
     return rows
 
 

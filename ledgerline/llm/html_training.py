@@ -2,7 +2,8 @@
 
 ``data-label`` tells whether the blocks inside belong to the article. The pages
 show the usual parts of a site: with marked-up parts, with class names only, and
-with no marks at all, where words and links must tell.
+with no marks at all, where words and links must tell. They are ``len(PAGES)`` in
+number, a fixed list.
 """
 
 from __future__ import annotations
@@ -27,6 +28,68 @@ _LINKS = "".join(f'<div><a href="/{i}">{x}</a></div>' for i, x in enumerate((
     "Ten ways to keep bread fresh", "Why the river turned green", "A short history of the fork", "Letters",
 )))
 
+# Headings of many words, and every kind of frame that may hold them.
+_HEADINGS = "".join(f"<h{2 + i % 3}>{x}</h{2 + i % 3}>" for i, x in enumerate((
+    "More news", "Latest from the region", "More stories from around the whole county", "Ways to get in touch with our editors today",
+    "Sign up for the best stories of the week and never miss what the others missed", "What our readers say about it",
+    "Did you like this story? Tell us.",
+)))
+_FRAMES = (
+    "<aside>{}</aside>", "<footer>{}</footer>", "<nav>{}</nav>", "<form>{}</form>", '<div class="newsletter">{}</div>',
+    '<section id="comments">{}</section>', '<div class="cookie-banner">{}</div>', '<div role="complementary">{}</div>',
+    '<div class="related-posts">{}</div>', "<header>{}</header>",
+)
+
+
+def _framed(frame: str, inside: bool) -> str:
+    """A page with an article and a frame of headings and texts, in or beside it."""
+    frame = f"<div data-label=0>{frame.format(f'{_HEADINGS}<p>{_LONG}</p><p>{_MIDDLE}</p><p>{_SHORT}</p><div>Word</div>{_TEASERS}')}</div>"
+    own = (
+        f"<h1>What the ferry brought to the island after the storm</h1><p>{_LONG}</p><h2>Nobody knew what would come of it all</h2>"
+        f"<p>{_MIDDLE}</p><p>{_SHORT}</p><p>{_LONG_LINKED}</p>"
+    )
+    own = f"<article data-label=1>{own}{frame if inside else ''}</article>"
+    return f"<body data-label=0>{'' if inside else frame}{own}{'' if inside else frame}</body>"
+
+
+def _unmarked(own: str) -> str:
+    """A page whose parts have no marks, or ambiguous ones."""
+    return f"""<body data-label=0><div>{_NAV}</div><div><a href="/">Example</a></div>{own}<div>{_LINKS}</div>{_TEASERS}
+    <div><a href="/t">{_sentence(21, True)}</a></div><div><a href="/u">{_sentence(28, False)}</a></div><p><a href="/v">{_sentence(18, True)}</a></p>
+    <div><a href="/a">About</a> <a href="/b">Terms</a></div><div>Example Media 2020</div></body>"""
+
+
+def _sentence(n: int, closed: bool) -> str:
+    return " ".join((_LONG.rstrip(".").split() * 2)[:n]) + ("." if closed else "")
+
+
+_OWN = (
+    f"<p>{_LONG}</p><p>{_LONG_LINKED}</p><p>{_MIDDLE}</p><p>{_LONG}</p>",
+    f"<h1>On the art of waiting for a ferry in the rain</h1><p>{_LONG}</p><p>{_MIDDLE}</p><p>{_SHORT}</p><p>{_LONG_LINKED}</p><p>{_MIDDLE}</p>",
+    f"<h2>Why the council voted twice on the same day</h2><p>{_MIDDLE}</p><p>{_LONG}</p><p>{_LONG}</p><p>{_SHORT}</p><p>{_LONG}</p>",
+    f"<h1>The long way home from the mill</h1><p>{_LONG}</p><h2>What the miller had to say about it</h2><p>{_LONG}</p><p>{_MIDDLE}</p>",
+    "".join(f"<p>{_sentence(n, True)}</p>" for n in (17, 13, 21, 15, 24)),
+    "<h1>Nets</h1>" + "".join(f"<p>{_sentence(n, True)}</p>" for n in (14, 19, 26, 16)),
+    "".join(f"<p>{_sentence(n, True)}</p>" for n in (16, 18, 16)),
+)
+_UNMARKED = tuple(
+    _unmarked(f"<{tag} data-label=1>{own}</{tag.split()[0]}>")
+    for own in _OWN
+    for tag in ("div", "td", 'div class="legal"', 'section class="thread"')
+)
+
+
+def _marked(shift: int) -> str:
+    """A page with blocks of all lengths in a marked article, and the same as small print around it."""
+    lines = [(n, closed) for n in (*range(1, 13), 18, 30) for closed in (False, True)]
+    lines = lines[shift:] + lines[:shift]
+    tags = ("p", "h2", "li", "h3", "blockquote")
+    own = "".join(f"<{tags[i % 5]}>{_sentence(n, closed)}</{tags[i % 5]}>" for i, (n, closed) in enumerate(lines))
+    linked = "".join(f'<p><a href="/{n}">{_sentence(n, closed)}</a></p>' for n, closed in lines[::3])
+    around = "".join(f"<div>{_sentence(n, closed)}</div>" for n, closed in lines if n < 7)
+    return f"<body data-label=0><div>{_NAV}</div>{around}<article data-label=1>{own}{linked}</article>{around}<footer>{own}</footer></body>"
+
+
 PAGES = (
     # All parts marked by tags.
     f"""<body data-label=0><header><p>The Daily Example</p></header><nav><ul>{_NAV}</ul></nav>
@@ -87,4 +150,8 @@ PAGES = (
     # Linked headlines as long as a paragraph.
     f"""<body data-label=0>{_TEASERS}<div data-label=1><p>{_LONG}</p><p>{_LONG_LINKED}</p><p>{_MIDDLE}</p></div>{_TEASERS}</body>""",
     f"""<body data-label=0><div>{_TEASERS}</div><article data-label=1><p>{_LONG}</p></article><div>{_TEASERS}</div></body>""",
+    # The header of an article holds its title and is no frame.
+    *(_framed(frame, inside) for frame in _FRAMES for inside in (True, False) if not (inside and "header" in frame)),
+    *_UNMARKED,
+    *map(_marked, (0, 5, 10, 15, 20)),
 )

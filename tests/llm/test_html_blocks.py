@@ -130,3 +130,120 @@ def test_special_cases(spark):
     want = [(1, "u", PARAGRAPH, n), (1, "u", PARAGRAPH, n), (2, None, "", 0), (None, "v", "", 0), (3, "w", whole, len(whole))]
     assert found == sorted(want, key=repr)
     assert rows(html_blocks.extract(spark.createDataFrame([], names))) == []
+
+
+LONG_HEADINGS = [
+    "<aside><h3>More stories from around the whole region</h3></aside>",
+    "<footer><h4>Ways to get in touch with our newsroom</h4></footer>",
+    '<div class="newsletter"><h3>Sign up for the best stories of the week</h3></div>',
+    '<section id="comments"><h2>What our readers had to say about this story</h2></section>',
+    '<div class="cookie-banner"><h2>We value your privacy and so do our partners</h2></div>',
+    "<form><h3>Tell us what you think of our new pages</h3></form>",
+    "<nav><h2>All the sections of the paper in one list</h2></nav>",
+    "<aside><article><h3>Another story that many people have read today</h3></article></aside>",
+]
+
+
+@pytest.mark.parametrize("frame", LONG_HEADINGS)
+def test_headings_of_frames_are_left_out(frame):
+    article = f"<h1>The ferry that never came back to town</h1><p>{PARAGRAPH}</p><p>{SECOND}</p>"
+    want = f"The ferry that never came back to town\n{PARAGRAPH}\n{SECOND}"
+    assert text(f"<body><article>{article}</article>{frame}</body>") == want
+    assert text(f"<body>{frame}<article>{article}{frame}</article></body>") == want
+
+
+NAMES = [
+    "post type-post category-social hentry", "post hentry tag-search", "post hentry category-legal", "post comments-open",
+    "story thread", "post status-publish format-standard has-sidebar", "entry topic-newsletter", "article sidebar-off",
+]
+
+
+@pytest.mark.parametrize("tag", ["article", "div", "section"])
+@pytest.mark.parametrize("names", NAMES)
+def test_names_of_topics_and_states_make_no_frame(names, tag):
+    page = f'<nav><a href="/">Home</a></nav><{tag} class="{names}"><h1>Word</h1><p>{PARAGRAPH}</p><p>{SECOND}</p></{tag}>'
+    assert text(f"<body>{page}</body>") == f"Word\n{PARAGRAPH}\n{SECOND}"
+
+
+@pytest.mark.parametrize("mark", ['id="social-media-and-the-law"', 'id="comments-nobody-wrote"', 'aria-label="Response of the council to its critics"'])
+def test_titles_in_ids_and_labels_make_no_frame(mark):
+    assert text(f"<article {mark}><p>{PARAGRAPH}</p></article>") == PARAGRAPH
+
+
+@pytest.mark.parametrize("name", ["legal", "thread", "social", "survey", "discussion"])
+def test_ambiguous_names_are_weighed(name):
+    alone = f'<div><a href="/">Home</a> <a href="/x">News</a></div><div class="{name}"><p>{PARAGRAPH}</p><p>{SECOND}</p><p>{PARAGRAPH}</p></div>'
+    assert text(f"<body>{alone}</body>") == f"{PARAGRAPH}\n{SECOND}\n{PARAGRAPH}"
+    beside = f'<article><p>{PARAGRAPH}</p></article><div class="{name}"><p>{SECOND}</p></div>'
+    assert text(f"<body>{beside}</body>") == PARAGRAPH
+
+
+def plain_article(page: str) -> str:
+    """The article of a page that is marked by tags alone, by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    blocks = "address article aside blockquote body dd div dl dt figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td tr ul".split()
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.now, self.path = [], [], []
+
+        def cut(self):
+            own = " ".join("".join(self.now).split())
+            self.out += [own] * bool(own)
+            self.now = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag in blocks:
+                self.cut()
+            if tag == "br":
+                self.now.append(" ")
+            if tag not in ("br", "img", "hr", "meta", "link", "input"):
+                self.path.append("ad" if dict(attrs).get("class") == "ad" else tag)
+
+        def handle_endtag(self, tag):
+            if tag in blocks:
+                self.cut()
+            for i in range(len(self.path) - 1, -1, -1):
+                if self.path[i] == tag or (self.path[i] == "ad" and tag == "div"):
+                    del self.path[i:]
+                    break
+
+        def handle_data(self, data):
+            frames = {"nav", "aside", "footer", "form", "script", "style", "ad"}
+            if "article" in self.path and not frames & set(self.path):
+                self.now.append(data)
+
+    reader = Reader()
+    reader.feed(page)
+    reader.cut()
+    return "\n".join(reader.out)
+
+
+def test_query_on_the_smallest_pages(spark, tables):
+    from ledgerline.llm.queries import op1_html_extraction
+
+    from .conftest import SF_DIR
+
+    want = sorted(((r[0], r[1], t := plain_article(r[2] or ""), len(t)) for r in tables["pages"]), key=repr)
+    assert rows(op1_html_extraction(spark, SF_DIR), "page_id", "url", "text", "n_chars") == want
+
+
+def test_query_on_the_same_pages_without_marks(spark, tables):
+    """Words and links alone: with every mark taken off, most of the articles' text is found, and little else."""
+    import re
+
+    pages, want = [], {}
+    for page_id, url, page, *_ in tables["pages"]:
+        want[page_id] = plain_article(page or "").split("\n")
+        bare = re.sub(r"<(/?)(article|main|nav|header|footer|aside|section)\b[^>]*>", r"<\1div>", page or "")
+        pages.append((page_id, url, re.sub(r' (class|id|role)="[^"]*"', "", bare)))
+    found = html_blocks.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string"))
+    right = kept = whole = 0
+    for r in found.collect():
+        own, theirs = r.text.split("\n"), want[r.page_id]
+        words = lambda lines: sum(len(x.split()) for x in lines)
+        right += words([x for x in own if x in theirs])
+        kept, whole = kept + words(own), whole + words(theirs)
+    assert right / whole > 0.85 and right / kept > 0.8, (right / whole, right / kept)
