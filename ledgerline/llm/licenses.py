@@ -1,24 +1,24 @@
 """License scans: an exact set-similarity join of text blocks with licence templates.
 
-A block is a line of a text, as the set of its words (A-Z in lower case; digits,
-letters and all non-ASCII characters belong to words). With ``paragraphs``, as
-op7 runs, each run of two or more lines with words is a block beside its lines, so
-that notices wrapped at any width are found; a line without words, such as a
-comment mark alone, ends a paragraph. A template is found in a
-block when the block holds at least ``PERCENT`` / 100 of the template's words.
+Words are runs of digits, letters and non-ASCII characters, A-Z in lower case, so
+that line ends, comment marks and indents of a wrapped notice part words and do no
+more. A block is a window of consecutive words, as the set of them; its length is
+the template's number of words and a tenth more. A template is found in a block
+that holds at least ``PERCENT`` / 100 of the template's different words.
 
-All words of the corpus that occur in templates are counted; every set is put in
-the order of these counts, rarest first, with words of no template before them.
-A block is compared with a template only if
+All words of the corpus that occur in templates are counted; every template is put
+in the order of these counts, rarest first. Blocks are compared with it only if
 
 prefix     one of the |T| - a + 1 rarest words of the template is in the block,
-           a being the least overlap,
-length     the block has at least ``a`` different words of templates,
-position   the template's words from the first common one on suffice.
+           a being the least overlap; no other word becomes a row,
+length     the words within a block's length of that word hold ``a`` different
+           words of the template,
+position   the block begins at most its length before that word and not after it.
 
-Only built-in functions run. The template table is small and fixed; Spark decides
-on broadcasts by its size. Of templates found in a block those are dropped whose
-words another holds too that is found as fully, as "GNU Lesser" holds "GNU".
+Only built-in functions run. The templates are a fixed list, and so is what is
+collected: the counts of their words. A template found in a block is dropped if
+another holds all its words and more, and is found as fully in the block widened
+by the difference of their lengths, as "GNU Lesser" holds "GNU".
 
 Null and empty texts have no words. Repeated rows get the same labels each; rows
 are found again by id and text hash, so ids may repeat or be null. Other columns
@@ -27,14 +27,16 @@ are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import materialize
 
 PERCENT = 90
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-PARAGRAPH_END = rf"\n(?:{NOT_WORD})?\n"
+SLACK_PERCENT = 10  # words that a block may hold beyond the template's
 
 # Phrases that are labels by themselves.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -109,90 +111,122 @@ def phrase_places(documents: DataFrame) -> DataFrame:
     )
 
 
-def templates(spark: SparkSession) -> DataFrame:
-    """``template``, ``label`` and the distinct ``words`` of the fixed templates."""
-    rows = [(i, label, sorted(set(text.split()))) for i, (label, text) in enumerate(TEMPLATES)]
-    return spark.createDataFrame(rows, "template int, label string, words array<string>")
-
-
-def _blocks(documents: DataFrame, paragraphs: bool) -> DataFrame:
-    """``doc_id``, ``print``, a number ``line_no`` and the distinct template words, ``block``, of each block."""
-    found = F.split("text", "\n", -1)
-    if paragraphs:
-        wrapped = F.filter(F.split("text", PARAGRAPH_END, -1), lambda x: F.instr(x, "\n") > 0)
-        found = F.concat(found, wrapped)
-    blocks = _rows(documents).select("doc_id", "print", F.posexplode(found).alias("line_no", "line"))
-    # Other words play no part; without them a long paragraph is a short row.
-    known = F.array(*(F.lit(x) for x in sorted({word for _, text in TEMPLATES for word in text.split()})))
-    own = F.array_intersect(F.split(F.lower(word_line(F.col("line"))), " "), known)
-    return blocks.select("doc_id", "print", "line_no", own.alias("block")).where(F.size("block") > 0)
-
-
-def word_counts(documents: DataFrame, table: DataFrame) -> DataFrame:
-    """How often each word of the templates occurs in the corpus: ``word``, ``n``; 0 for those that never do."""
-    # A written table has a known size: small as it is, Spark broadcasts it and shuffles no words.
-    vocabulary = materialize(table.select(F.explode("words").alias("word")).distinct(), "license-vocabulary")
-    words = F.explode(F.split(F.lower(word_line(F.col("text"))), " ")).alias("word")
-    counts = _rows(documents).select(words).join(vocabulary, "word").groupBy("word").agg(F.count("*").alias("n"))
-    return vocabulary.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
-
-
-def template_matches(documents: DataFrame, percent: int = PERCENT, paragraphs: bool = False) -> DataFrame:
-    """``doc_id``, ``print``, ``line_no``, ``template``, ``label`` and ``containment`` of all blocks that hold a template."""
-    spark = documents.sparkSession
-    counts = materialize(word_counts(documents, templates(spark)), "license-words")
-    # Every template in the corpus order: words with their ranks, rarest first.
-    table = (
-        templates(spark).select("template", "label", F.explode("words").alias("word")).join(counts, "word")
-        .groupBy("template", "label").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("ordered"))
-        .withColumn("size", F.size("ordered"))
-        .withColumn("least", F.ceil(F.col("size") * percent / 100).cast("int"))
-    )
-    table = materialize(table, "license-templates")
-    prefix = table.select(
-        "template", "label", "size", "least", "ordered",
-        F.posexplode(F.slice("ordered", F.lit(1), F.col("size") - F.col("least") + 1)).alias("place", "rare"),
-    ).select("template", "label", "size", "least", "ordered", "place", F.col("rare.word").alias("word"))
-    words = _blocks(documents, paragraphs).select("doc_id", "print", "line_no", "block", F.explode("block").alias("word"))
-    candidates = words.join(prefix.select("template", "least", "size", "place", "word"), "word")
-    # Length filter, and the first common word of the template's prefix for each block.
-    candidates = (
-        candidates.where(F.size("block") >= F.col("least"))
-        .groupBy("doc_id", "print", "line_no", "template")
-        .agg(F.first("block").alias("block"), F.min("place").alias("place"))
-    )
-    # Position filter: the template's words from the first common one on must suffice.
-    candidates = candidates.join(table, "template").where(F.col("size") - F.col("place") >= F.col("least"))
-    own = F.transform("ordered", lambda x: x["word"])
-    common = F.size(F.array_intersect(own, F.col("block")))
-    found = candidates.withColumn("common", common).where(F.col("common") >= F.col("least"))
-    return found.select(
-        "doc_id", "print", "line_no", "template", "label", own.alias("words"), (F.col("common") / F.col("size")).alias("containment")
-    )
+@dataclass(frozen=True)
+class Template:
+    """A notice: its different words, the rarest first, and the length of its blocks."""
 
+    label: str
+    words: tuple[str, ...]
+    window: int
+
+    def least(self, percent: int) -> int:
+        return -(-len(self.words) * percent // 100)
+
+    def prefix(self, percent: int) -> tuple[str, ...]:
+        return self.words[: len(self.words) - self.least(percent) + 1]
+
+
+def templates(counts: dict[str, int]) -> list[Template]:
+    """The fixed notices with their words in the order of ``counts``."""
+    out = []
+    for label, text in TEMPLATES:
+        words = text.split()
+        ordered = sorted(set(words), key=lambda w: (counts.get(w, 0), w))
+        out.append(Template(label, tuple(ordered), len(words) + len(words) * SLACK_PERCENT // 100))
+    return out
 
-def block_labels(matches: DataFrame) -> DataFrame:
-    """``doc_id``, ``print``, ``labels`` of the blocks' templates and the best containment, ``score``."""
-    found = F.collect_list(F.struct("label", "words", "containment"))
-    blocks = matches.groupBy("doc_id", "print", "line_no").agg(found.alias("found"))
-    wider = lambda x: F.exists(
-        "found",
-        lambda y: (F.size(y["words"]) > F.size(x["words"]))
-        & (y["containment"] >= x["containment"])
-        & (F.size(F.array_except(x["words"], y["words"])) == 0),
-    )
-    kept = blocks.select("doc_id", "print", F.explode(F.filter("found", lambda x: ~wider(x))).alias("x"))
-    return kept.groupBy("doc_id", "print").agg(
-        F.array_sort(F.collect_set("x.label")).alias("labels"), F.max("x.containment").alias("score")
-    )
 
+def _strings(values) -> Column:
+    return F.array(*map(F.lit, values))
 
-def scan(documents: DataFrame, percent: int = PERCENT, paragraphs: bool = False) -> DataFrame:
+
+def _words(documents: DataFrame) -> DataFrame:
+    """``doc_id``, ``print`` and all words of each text, an array."""
+    return _rows(documents).select("doc_id", "print", F.split(F.lower(word_line(F.col("text"))), " ").alias("words"))
+
+
+def word_counts(documents: DataFrame) -> dict[str, int]:
+    """How often each word of the templates occurs in the corpus, if it does."""
+    vocabulary = sorted({word for _, text in TEMPLATES for word in text.split()})
+    rows = _words(documents).select(F.explode("words").alias("word")).where(F.col("word").isin(vocabulary))
+    return {word: n for word, n in rows.groupBy("word").count().collect()}
+
+
+def template_matches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``print``, ``label`` and the best ``containment`` of the templates found around each prefix word."""
+    known = templates(word_counts(documents))
+    wider = [
+        [(b, b.window - a.window) for b in known if len(b.words) > len(a.words) and set(a.words) < set(b.words)] for a in known
+    ]
+    reach = max(t.window - 1 + max([0, *(d for _, d in own)]) for t, own in zip(known, wider))
+    by_word: dict[str, list[int]] = {}
+    for number, template in enumerate(known):
+        for word in template.prefix(percent):
+            by_word.setdefault(word, []).append(number)
+
+    # The words around every prefix word.
+    rows = _words(documents).where(F.arrays_overlap("words", _strings(by_word)))
+    places = F.filter(
+        F.transform("words", lambda w, i: F.when(w.isin(list(by_word)), i)), lambda i: i.isNotNull()
+    )
+
+    def around(place: Column) -> Column:
+        first = F.greatest(place - reach, F.lit(0))
+        own = F.slice("words", first + 1, place + reach + 1 - first)
+        return F.struct(own.alias("near"), (place - first).alias("hit"))
+
+    hits = rows.withColumn("places", places).select("doc_id", "print", F.explode(F.transform("places", around)).alias("x"))
+    hits = hits.select("doc_id", "print", "x.near", "x.hit")
+    numbers = F.create_map(*(c for word, own in by_word.items() for c in (F.lit(word), F.array(*map(F.lit, own)))))
+    hits = hits.withColumn("t", F.explode(F.element_at(numbers, F.get("near", F.col("hit")))))
+
+    # Columns of the hit's template.
+    own = {
+        "label": _strings(t.label for t in known),
+        "own": F.array(*(_strings(t.words) for t in known)),
+        "width": F.array(*(F.lit(t.window) for t in known)),
+        "least": F.array(*(F.lit(t.least(percent)) for t in known)),
+        "wider": F.array(*(_wider(x) for x in wider)),
+    }
+    hits = hits.withColumns({name: F.get(values, F.col("t")) for name, values in own.items()}).drop("t")
+    first = F.greatest(F.col("hit") - F.col("width") + 1, F.lit(0))
+    region = F.slice("near", first + 1, F.col("hit") + F.col("width") - first)
+    hits = hits.where(F.size(F.array_intersect(region, "own")) >= F.col("least"))
+
+    def block(start: Column) -> Column:
+        common = F.size(F.array_intersect(F.slice("near", start + 1, F.col("width")), "own"))
+        return F.struct(start.alias("start"), common.alias("common"))
+
+    def covered(x: Column) -> Column:
+        def by(b: Column) -> Column:
+            begin = F.greatest(x["start"] - b["more"], F.lit(0))
+            around_it = F.slice("near", begin + 1, x["start"] + F.col("width") + b["more"] - begin)
+            return F.size(F.array_intersect(around_it, b["words"])) * F.size("own") >= x["common"] * F.size(b["words"])
+
+        return F.exists("wider", by)
+
+    blocks = F.filter(F.transform(F.sequence(first, F.col("hit")), block), lambda x: x["common"] >= F.col("least"))
+    found = hits.withColumn("blocks", blocks)
+    found = found.withColumn("kept", F.filter("blocks", lambda x: ~covered(x))).where(F.size("kept") > 0)
+    best = F.array_max(F.transform("kept", lambda x: x["common"]))
+    return found.select("doc_id", "print", "label", (best / F.size("own")).alias("containment"))
+
+
+def _wider(found: list[tuple[Template, int]]) -> Column:
+    """Templates that hold all words of another, with the difference of lengths."""
+    rows = [F.struct(_strings(t.words).alias("words"), F.lit(more).alias("more")) for t, more in found]
+    return F.array(*rows).cast("array<struct<words:array<string>,more:int>>")
+
+
+def scan(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document: phrase places, ``base`` and all ``labels``, and the ``score``.
 
     The score is the best containment of a template, and 1 where a phrase stands.
     """
-    found = materialize(block_labels(template_matches(documents, percent, paragraphs)), "license-labels").alias("f")
+    found = template_matches(documents, percent).groupBy("doc_id", "print").agg(
+        F.collect_set("label").alias("labels"), F.max("containment").alias("score")
+    )
+    found = materialize(found, "license-labels").alias("f")
     rows = phrase_places(documents).alias("d")
     match = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.print") == F.col("f.print"))
     none = F.array().cast("array<string>")

@@ -6,7 +6,7 @@ line rules a procedure: those are tested against brute force.
 
 from __future__ import annotations
 
-from ledgerline.llm.licenses import PERCENT, PHRASES, TEMPLATES
+from ledgerline.llm.licenses import PERCENT, PHRASES, SLACK_PERCENT, TEMPLATES
 from ledgerline.llm.sharding import HASH_BITS, LIMIT
 
 _SPLIT = "'[ \\x09-\\x0D]+'"
@@ -30,7 +30,7 @@ WITH rows AS (
            CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, {HASH_BITS // 4}) AS BIGINT) AS hash
     FROM documents
 ), levels AS (
-    SELECT rows.*, d AS depth, hash >> ({HASH_BITS} - d) AS prefix FROM rows, range(0, 40) t(d)
+    SELECT rows.*, d AS depth, hash >> ({HASH_BITS} - d) AS prefix FROM rows, range(0, {HASH_BITS} + 1) t(d)
 ), sums AS (
     SELECT *, sum(bytes) OVER w AS shard_bytes, count(*) OVER w AS shard_rows
     FROM levels WINDOW w AS (PARTITION BY depth, prefix)
@@ -58,7 +58,10 @@ _templates = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enu
 _LICENSES = f"""
 WITH phrases(phrase, label) AS (VALUES {_phrases}),
 given(template, label, notice) AS (VALUES {_templates}),
-templates AS (SELECT template, label, list_distinct(string_split(notice, ' ')) AS own FROM given),
+templates AS (
+    SELECT template, label, list_distinct(string_split(notice, ' ')) AS own,
+           len(string_split(notice, ' ')) + len(string_split(notice, ' ')) * {SLACK_PERCENT} // 100 AS width FROM given
+),
 docs AS (SELECT doc_id, {_terms('text')} AS words FROM documents),
 starts AS (
     SELECT doc_id, words, unnest(range(0, len(words))) AS spot FROM docs WHERE list_contains(words, 'license')
@@ -68,17 +71,20 @@ starts AS (
 ), base AS (
     SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list_distinct(list(label)) AS labels
     FROM places GROUP BY doc_id
-), lines AS (
-    SELECT doc_id, i AS line_no, list_distinct({_terms('lines[i]')}) AS block
-    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents), range(1, 100000) r(i)
-    WHERE i <= len(lines)
+), near AS (
+    SELECT doc_id, words, templates.* FROM docs JOIN templates ON 100 * len(list_intersect(own, words)) >= {PERCENT} * len(own)
 ), found AS (
-    SELECT doc_id, line_no, label, own, len(list_intersect(own, block)) / len(own) AS containment
-    FROM lines JOIN templates ON 100 * len(list_intersect(own, block)) >= {PERCENT} * len(own)
+    SELECT *, len(list_intersect(own, list_slice(words, spot + 1, spot + width))) AS common
+    FROM (SELECT *, unnest(range(0, len(words))) AS spot FROM near)
+    WHERE 100 * len(list_intersect(own, list_slice(words, spot + 1, spot + width))) >= {PERCENT} * len(own)
+), wider AS (
+    SELECT a.template, b.own AS more, b.width - a.width AS d FROM templates a JOIN templates b
+    ON len(b.own) > len(a.own) AND len(list_intersect(a.own, b.own)) = len(a.own)
+), covered AS (
+    SELECT DISTINCT doc_id, template, spot FROM found JOIN wider USING (template)
+    WHERE len(list_intersect(more, list_slice(words, greatest(spot - d, 0) + 1, spot + width + d))) * len(own) >= common * len(more)
 ), kept AS (
-    SELECT * FROM found a WHERE NOT EXISTS (
-        SELECT 1 FROM found b WHERE b.doc_id = a.doc_id AND b.line_no = a.line_no
-        AND len(b.own) > len(a.own) AND b.containment >= a.containment AND len(list_intersect(a.own, b.own)) = len(a.own))
+    SELECT doc_id, label, common / len(own) AS containment FROM found ANTI JOIN covered USING (doc_id, template, spot)
 ), method AS (
     SELECT doc_id, list_distinct(list(label)) AS labels, max(containment) AS score FROM kept GROUP BY doc_id
 )

@@ -29,16 +29,25 @@ def frame(spark, texts):
 
 
 def plain(texts, percent=90):
-    """Labels by comparing every line with every template."""
+    """Labels by comparing every template with the window at every word."""
+    known = []
+    for label, text in licenses.TEMPLATES:
+        n = len(text.split())
+        known.append((label, set(text.split()), n + n * licenses.SLACK_PERCENT // 100))
     out = []
     for text in texts:
+        words = brute.TERM.findall(brute.lower(text or ""))
         labels, score = set(), 0.0
-        for line in (text or "").split("\n"):
-            block = set(brute.TERM.findall(brute.lower(line)))
-            found = [(label, set(t.split())) for label, t in licenses.TEMPLATES]
-            found = [(label, t, len(t & block) / len(t)) for label, t in found if 100 * len(t & block) >= percent * len(t)]
-            score = max([score, *(share for *_, share in found)])
-            labels |= {label for label, t, share in found if not any(t < other and more >= share for _, other, more in found)}
+        for label, own, width in known:
+            wider = [(t, w - width) for _, t, w in known if own < t]
+            for s in range(len(words)):
+                common = len(own & set(words[s : s + width]))
+                if 100 * common < percent * len(own):
+                    continue
+                around = [(t, len(t & set(words[max(0, s - d) : s + width + d]))) for t, d in wider]
+                if not any(n * len(own) >= common * len(t) for t, n in around):
+                    labels.add(label)
+                    score = max(score, common / len(own))
         base = brute.licenses(text)
         labels |= set(base[4].split(",")) - {""}
         out.append((",".join(sorted(labels)), 1.0 if base[1] else score))
@@ -82,19 +91,43 @@ def test_repeated_rows_and_ids(spark):
     assert found == sorted([(1, ["mit"]), (1, ["mit"]), (1, []), (None, ["mit"]), (None, [])], key=repr)
 
 
+def query(spark, texts, folder):
+    from ledgerline.llm.queries import op7_license_scan
+
+    frame(spark, texts).write.parquet(f"{folder}/documents.parquet")
+    return {r.doc_id: (r.labels.split(",") if r.labels else [], r.score) for r in op7_license_scan(spark, str(folder)).collect()}
+
+
 def test_wrapped_notices(spark, tmp_path):
-    """The query finds every template wrapped at 72 columns, in comments, and beside other paragraphs."""
+    """The query finds every template wrapped at any width, in comments, and beside other paragraphs."""
     import textwrap
 
-    from ledgerline.llm.queries import op7_license_scan
-
-    long = [(label, text) for label, text in licenses.TEMPLATES if len(text) > 72]
-    texts = ["\n".join(textwrap.wrap(text, 72)) for _, text in long]
-    texts += ["Some code\n *\n" + "\n".join(f" * {x}" for x in textwrap.wrap(text, 72)) + "\n *\n\nmore" for _, text in long]
-    texts += ["\n\n".join(textwrap.wrap(text, 24)) for _, text in long]  # words of several paragraphs are no notice
-    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
-    found = {r.doc_id: (r.labels.split(","), r.score) for r in op7_license_scan(spark, str(tmp_path)).collect()}
-    for i in range(2 * len(long)):
-        assert long[i % len(long)][0] in found[i][0] and found[i][1] == 1.0
+    known = list(licenses.TEMPLATES)
+    texts = ["\n".join(textwrap.wrap(text, width)) for width in (24, 72) for _, text in known]
+    texts += ["Some code\n *\n" + "\n".join(f" * {x}" for x in textwrap.wrap(text, 24)) + "\n *\n\nmore" for _, text in known]
+    found = query(spark, texts, tmp_path)
+    for i, text in enumerate(texts):
+        assert known[i % len(known)][0] in found[i][0] and found[i][1] == 1.0
+    want = plain(texts)
+    assert [(",".join(found[i][0]), found[i][1]) for i in range(len(texts))] == want
+
+
+def test_scattered_words_are_no_notice(spark, tmp_path):
+    """All words of a notice in one text, line or paragraph, but apart from each other."""
+    import random
+
+    rng, filler = random.Random(4), "the quick brown fox sees a lazy dog near our old mill".split()
+    texts = []
+    for _, text in licenses.TEMPLATES:
+        words = text.split()
+        rng.shuffle(words)
+        texts.append(" ".join(w for word in words for w in (word, *rng.choices(filler, k=6))))
+    texts.append("Licensed under CC BY-NC 4.0.\n" + " ".join(filler) + " nd " + " ".join(filler))
+    found = query(spark, texts, tmp_path)
     base = [brute.licenses(text)[4] for text in texts]
-    assert all(",".join(found[i][0]) == base[i] for i in range(2 * len(long), len(texts)))
+    assert [",".join(found[i][0]) for i in range(len(texts) - 1)] == base[:-1]
+    assert found[len(texts) - 1] == (["cc-by-nc"], 1.0)
+
+
+def test_a_long_line_with_a_notice_at_every_place(spark):
+    check(spark, ["released under the mit license " * 200, "x " * 3000 + "licensed under cc by 4 0", "mit " * 2000])
