@@ -100,73 +100,65 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((a == "") | (b == ""), (a == b).cast("double")).otherwise(same)
 
 
+def _key(doc_id: str) -> Column:
+    """What tells documents apart: the id, if any, and the hash of the text."""
+    return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("print").cast("string"))
+
+
 def _rows(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
     return rows.select("doc_id", "text", F.xxhash64("text").alias("print"), F.length("text").cast("bigint").alias("n_chars"))
 
 
-def neighbours(prints: DataFrame) -> DataFrame:
-    """``doc_id`` and ``print`` of each different document, its ``n_chars``, and ``next_id`` and ``next_print`` of the one after it.
+def neighbours(documents: DataFrame) -> DataFrame:
+    """``key`` of each different document, ``to_key`` of the one before it, and ``takes``, half of that one's characters.
 
-    ``prints`` has ``doc_id``, ``print`` and ``n_chars``; only these are sorted, by ranges.
+    Ids, hashes and lengths are all that is sorted, by ranges.
     """
     keys = materialize(
-        prints.select("doc_id", "print", "n_chars").distinct()
+        _rows(documents).select("doc_id", "print", "n_chars").distinct()
         # Sorted upwards by the negative id; a null id, the last, goes on by itself.
         .withColumns({"all": F.lit(0), "last": F.col("doc_id").isNull(), "down": -F.col("doc_id")}),
         "ring-keys",
     )
     placed, scratch = numbered(keys, "all", "last", "down", "print")
-    ring = materialize(placed.select("doc_id", "print", "n_chars", "place", "group_size"), "ring")
+    ring = materialize(placed.select(_key("doc_id").alias("key"), "n_chars", "place", "group_size"), "ring")
     release(keys, *scratch)
-    ahead = ring.select(
-        F.col("doc_id").alias("next_id"), F.col("print").alias("next_print"),
-        F.pmod(F.col("place") - 1, F.col("group_size")).alias("place"),
+    before = ring.select(
+        F.col("key").alias("to_key"), F.floor(F.col("n_chars") / 2).cast("int").alias("takes"),
+        F.pmod(F.col("place") + 1, F.col("group_size")).alias("place"),
     )
-    found = materialize(ring.drop("group_size").join(ahead, "place").drop("place"), "ring-links")
+    found = materialize(ring.select("key", "place").join(before, "place").drop("place"), "ring-links")
     release(ring)
     return found
 
 
-def _same(id_a: str, print_a: str, id_b: str, print_b: str) -> Column:
-    return F.col(id_a).eqNullSafe(F.col(id_b)) & (F.col(print_a) == F.col(print_b))
-
-
 def edited(documents: DataFrame) -> DataFrame:
     """One row per document: its fingerprint, those of its edited text and of the next document, and the texts' likeness.
 
     The edited text has the last half of the characters replaced by the first as
-    many of the next document. Fingerprints are written before they are compared,
-    so that a condition on the likeness does not compute them again.
+    many of the next document. Texts meet their place in the ring in one shuffle,
+    which also serves to keep their own half; the halves that they give away are
+    the other. Fingerprints are written before they are compared, so that a
+    condition on the likeness does not compute them again.
     """
-    rows = _rows(documents)
-    prints = with_fingerprint(rows, "text", "fingerprint").select("doc_id", "print", "n_chars", "fingerprint")
-    prints = materialize(prints, "fingerprints")
-    links = neighbours(prints)
-
-    # What a document gives to the one before it, known by key and length; rows that repeat give the same.
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    takers = links.select(F.col("doc_id").alias("to_id"), F.col("print").alias("to_print"), half.alias("takes"), "next_id", "next_print")
-    given = F.substring(F.col("text"), F.lit(1), F.col("takes")).alias("given")
-    gives = rows.join(takers, _same("doc_id", "print", "next_id", "next_print")).select("to_id", "to_print", given)
-    gives = gives.groupBy("to_id", "to_print").agg(F.first("given").alias("given"))
-    kept = F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half).alias("kept")
-    both = rows.select("doc_id", "print", kept).join(gives, _same("doc_id", "print", "to_id", "to_print"))
-    both = both.select("doc_id", "print", F.concat("kept", "given").alias("edited"))
-    both = with_fingerprint(both, "edited", "edited_fingerprint").withColumn("edited_sha256", F.sha2("edited", 256))
-    # Rows that repeat have one edited text.
-    both = both.select("doc_id", "print", F.struct("edited_sha256", "edited_fingerprint").alias("x"))
-    both = both.groupBy(F.col("doc_id").alias("own_id"), F.col("print").alias("own_print")).agg(F.first("x").alias("x"))
-
-    after = prints.select(F.col("doc_id").alias("after_id"), F.col("print").alias("after_print"), F.col("fingerprint").alias("next_fingerprint"))
-    after = after.dropDuplicates(["after_id", "after_print"])
-    own = links.select(F.col("doc_id").alias("for_id"), F.col("print").alias("for_print"), "next_id", "next_print")
-    own = own.join(after, _same("next_id", "next_print", "after_id", "after_print")).select("for_id", "for_print", "next_fingerprint")
-    both = both.join(own, _same("own_id", "own_print", "for_id", "for_print"))
-    both = materialize(both.select("own_id", "own_print", "x.*", "next_fingerprint"), "edited-fingerprints")
+    links = neighbours(documents)
+    rows = with_fingerprint(_rows(documents), "text", "fingerprint")
+    # Both uses below read all of these columns, or else Spark would shuffle the texts for each.
+    rows = rows.select(_key("doc_id").alias("key"), "n_chars", "fingerprint", "text").join(links, "key")
+    given = F.substring(F.col("text"), F.lit(1), F.least("takes", F.col("n_chars").cast("int"))).alias("given")
+    gives = rows.select("to_key", given, F.col("fingerprint").alias("next_fingerprint"))
+    # Rows that repeat give the same.
+    gives = gives.groupBy("to_key").agg(F.first("given").alias("given"), F.first("next_fingerprint").alias("next_fingerprint"))
+    kept = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int"))
+    own = rows.select("key", "n_chars", "fingerprint", kept.alias("kept"))
+    both = own.join(gives, F.col("key") == F.col("to_key"))
+    doc_id = F.nullif(F.substring_index("key", ":", 1), F.lit("")).cast("bigint").alias("doc_id")
+    both = both.select(doc_id, "n_chars", "fingerprint", "next_fingerprint", F.concat("kept", "given").alias("edited"))
+    both = with_fingerprint(both, "edited", "edited_fingerprint").withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+    found = materialize(both, "fingerprints")
     release(links)
-    found = prints.join(both, _same("doc_id", "print", "own_id", "own_print"))
     return found.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
