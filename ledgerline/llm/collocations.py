@@ -37,9 +37,10 @@ RANKED = 2000
 SALTS = 64  # parts in which a language's phrases are ranked before they meet
 
 SYMBOL_BITS = 21  # of a word's number in a phrase's key; three fit
-MOST_WORDS = (1 << SYMBOL_BITS) - 2
+MOST_WORDS = 200_000  # of a task's vocabulary, some 50 MB; beyond that it spills all and starts anew
 BURST = 1 << 16  # phrases of a container
-MOST_ENTRIES = 3_000_000  # phrases of a task's trie, some 100 MB
+MOST_ENTRIES = 1_000_000  # phrases of a task's trie, some 60 MB
+SLICE_BYTES = 4 << 20  # of text at once
 FILTER_BITS = 1 << 27  # of the filter of frequent pairs at most, 16 MB
 
 RUNS = "lang string, w1 string, w2 string, w3 string, f bigint"
@@ -277,7 +278,7 @@ def _runs(documents: DataFrame, frequent=None, **limits: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(frequent.value if frequent else None, **limits)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 yield from counter.add(part)
         yield from counter.finish()
 
