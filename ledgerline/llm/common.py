@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.session import shared_folder
@@ -110,14 +110,14 @@ def codes(flat: pa.Array) -> tuple[np.ndarray, pa.Array]:
 BROADCAST_IDS = 1_000_000
 
 
-def without(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
-    """``rows`` whose id is not among ``ids``, a written table of its own.
+def without(rows: DataFrame, ids: DataFrame, match: Column | None = None) -> DataFrame:
+    """``rows`` that match none of ``ids``, a written table of its own; they match by ``doc_id``, nulls too.
 
     As long as the ids are few they are broadcast and the rows stay where they
     are; beyond ``BROADCAST_IDS`` Spark decides, and may shuffle both.
     """
     few = ids.count() <= BROADCAST_IDS
-    match = rows[column].eqNullSafe(ids[column])
+    match = rows["doc_id"].eqNullSafe(ids["doc_id"]) if match is None else match
     return rows.join(F.broadcast(ids) if few else ids, match, "left_anti")
 
 
@@ -194,4 +194,6 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         before = now
     pairs = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return pairs.unionAll(roots)
+    found = pairs.unionAll(roots)
+    found._scratch_path = links._scratch_path
+    return found

@@ -30,7 +30,7 @@ PHRASE_WORDS = 13
 PHRASES_AT_ONCE = 200_000
 
 INDEX = (
-    "block bigint, doc_ids array<bigint>, first_words array<int>, terms array<string>, term_ends binary, places binary"
+    "block bigint, doc_ids array<bigint>, prints array<bigint>, first_words array<int>, terms array<string>, term_ends binary, places binary"
 )
 MATCHES = "block bigint, document int, phrase string, first_word int, n_words int, exact boolean"
 
@@ -47,6 +47,7 @@ def _index_block(number: int, part: pa.RecordBatch) -> dict:
     return {
         "block": number,
         "doc_ids": part.column("doc_id").to_pylist(),
+        "prints": part.column("print").to_pylist(),
         "first_words": starts.astype(np.int32),
         "terms": terms,
         "term_ends": ends.tobytes(),
@@ -57,7 +58,7 @@ def _index_block(number: int, part: pa.RecordBatch) -> dict:
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     types = {
-        "block": pa.int64(), "doc_ids": pa.list_(pa.int64()), "first_words": pa.list_(pa.int32()),
+        "block": pa.int64(), "doc_ids": pa.list_(pa.int64()), "prints": pa.list_(pa.int64()), "first_words": pa.list_(pa.int32()),
         "terms": pa.list_(pa.string()), "term_ends": pa.binary(), "places": pa.binary(),
     }
     for batch in batches:
@@ -66,7 +67,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number += 1
             terms = row["terms"].cast(pa.string())
             columns = {
-                **{k: pa.array([row[k]], types[k]) for k in ("block", "doc_ids", "first_words", "term_ends", "places")},
+                **{k: pa.array([row[k]], types[k]) for k in ("block", "doc_ids", "prints", "first_words", "term_ends", "places")},
                 "terms": pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms),
             }
             yield pa.RecordBatch.from_arrays([columns[k] for k in types], list(types))
@@ -78,16 +79,17 @@ def build_index(documents: DataFrame) -> DataFrame:
     A document of the block ``b`` is known by ``block`` and its number therein;
     its words are those from ``first_words[number]`` up to the next entry.
     """
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("print"))
     return materialize(rows.mapInArrow(_index, INDEX), "postings")
 
 
 def documents_of(index: DataFrame) -> DataFrame:
-    """One row per indexed document: ``block``, ``document``, ``doc_id``, ``n_words``."""
+    """One row per indexed document: ``block``, ``document``, ``doc_id``, the text's hash ``print``, ``n_words``."""
     number = F.posexplode("doc_ids").alias("document", "doc_id")
-    rows = index.select("block", "first_words", number)
+    rows = index.select("block", "prints", "first_words", number)
     size = F.expr("first_words[document + 1] - first_words[document]").cast("bigint")
-    return rows.select("block", "document", "doc_id", size.alias("n_words"))
+    return rows.select("block", "document", "doc_id", F.expr("prints[document]").alias("print"), size.alias("n_words"))
 
 
 def phrases(benchmark: DataFrame, length: int = PHRASE_WORDS) -> DataFrame:
@@ -262,7 +264,7 @@ def overlap(documents: DataFrame, benchmark: DataFrame, length: int = PHRASE_WOR
     rows = documents_of(index).join(spans, key, "left").join(items, key, "left").join(near, key, "left")
     none = F.array().cast("array<string>")
     return rows.select(
-        "block", "document", "doc_id", "n_words",
+        "block", "document", "doc_id", "print", "n_words",
         F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce("items", none).alias("items"),
         F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"),
@@ -277,8 +279,10 @@ def contaminated(n_hit: str = "n_hit", n_words: str = "n_words"):
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` with all columns, without those contaminated; rows with a null ``doc_id`` are judged too.
 
-    Documents are found again by id; of an id that occurs more than once all rows go if one is contaminated.
+    Documents are found again by id and text, so that of rows that repeat an id only those contaminated go.
     """
     found = overlap(documents, benchmark).where(contaminated())
-    bad = materialize(found.select("doc_id").distinct(), "contaminated")
-    return without(documents, bad)
+    bad = found.select(F.col("doc_id").alias("bad_id"), F.col("print").alias("bad_print")).distinct()
+    bad = materialize(bad, "contaminated")
+    same = documents["doc_id"].cast("bigint").eqNullSafe(F.col("bad_id"))
+    return without(documents, bad, same & (F.xxhash64(documents["text"].cast("string")) == F.col("bad_print")))

@@ -1,7 +1,8 @@
 """Line-first cleaning: rules judge each line, failing lines go, texts that lose too much are rejected.
 
-A line is a part between ``\\n`` characters; lines without words are neither judged
-nor counted. Line rules, the first that holds names the reason:
+A line is a part between ``\\n`` characters; its words are parted by blanks, tabs and
+the other white space of ``\\x09-\\x0D``. Lines without words are neither judged nor
+counted. Line rules, the first that holds names the reason:
 
 ``navigation``   a quarter or more of its words are only separators such as ``|``
 ``symbols``      a tenth or more of its non-blank characters are mark-up symbols
@@ -50,6 +51,8 @@ CLOSERS = "\"')]}»”’›*"
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 _BLANKS = " \t\n\x0b\x0c\r"
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_OTHER_BLANKS = re.compile(r"[\x09-\x0D]|\x20\x20")
 _NOT_SYMBOL = re.compile("[^" + re.escape(SYMBOLS.decode()) + "]+")
 _BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)), re.IGNORECASE)
 
@@ -63,8 +66,8 @@ def line_fault(line: str) -> str | None:
     """Why ``line`` (with a word, blanks trimmed) fails, or None."""
     marks = len(_NOT_SYMBOL.sub("", line))
     n_words = line.count(" ") + 1
-    if marks or any(c in line for c in "»«›‹•·/\\–—→←:~-"):
-        parts = line.split()
+    if marks or any(c in line for c in "»«›‹•·/\\–—→←:~-") or _OTHER_BLANKS.search(line):
+        parts = _WORD.findall(line)
         n_words = len(parts)
         if n_words >= 3 and 4 * sum(p in SEPARATORS for p in parts) >= n_words:
             return "navigation"
@@ -87,7 +90,7 @@ def _lines(text: str) -> tuple[list[str], int, int, int, int]:
         if not bare:
             continue
         judged += 1
-        chars = len(bare) - bare.count(" ")
+        chars = len(bare) - sum(map(bare.count, _BLANKS))
         before += chars
         if line_fault(bare):
             failed += 1

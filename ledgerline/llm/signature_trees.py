@@ -35,10 +35,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPACE_LOWER, codes, components, id_filter, materialize, slices, without, words
+from ledgerline.llm.common import SPACE_LOWER, codes, components, id_filter, materialize, release, slices, without, words
 
 SHINGLE = 3
 PERCENT = 90
+# Near duplicates of which one document stays.
+STAGE_SHINGLE = 5
+STAGE_PERCENT = 80
+_ROW = "_row"
 BAND_RATIO = 1.25  # of the sizes that one cutting into parts serves
 SPARE_PARTS = 2  # empty parts that a document may have before they count as parts
 NODE_SHINGLES = 16_000  # a root's sets are dealt to nodes of about this many shingles,
@@ -303,8 +307,8 @@ def walk(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[i
     return found
 
 
-def _units(members: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
-    """Rows ``unit``, ``side``, ``doc_id``, ``hashes``: node pairs that may hold links, with both nodes' sets."""
+def _units(members: DataFrame, contents: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows ``unit``, ``side``, ``doc_id``, ``hashes``: node pairs that may hold links, with both nodes' sets; and the tables read."""
     # Written before the joins, the rows of a root with very many classes can be split there.
     totals = materialize(members.groupBy("root").agg(F.sum("n").alias("total")), "tree-sizes")
     capacity = F.greatest(F.lit(NODE_SHINGLES), F.least(F.lit(NODE_SHINGLES_MOST), F.floor(F.col("total") / NODES_PER_ROOT)))
@@ -349,11 +353,13 @@ def _units(members: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
         ).select("unit", "x.side", "x.node"),
         "tree-pairs",
     )
-    return sides.join(leaves.select("node", "doc_id", "hashes"), "node").select("unit", "side", "doc_id", "hashes")
+    units = sides.join(leaves.select("node", "doc_id", "hashes"), "node").select("unit", "side", "doc_id", "hashes")
+    release(totals, sizes, nodes)
+    return units, [leaves, sides]
 
 
-def links(documents: DataFrame, measured: DataFrame, length: int, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` between class representatives that connect all linked documents."""
+def links(documents: DataFrame, measured: DataFrame, length: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Links ``a``, ``b`` between class representatives that connect all linked documents, and the tables they are read from."""
     classes = (
         measured.where("doc_id is not null and n > 0").groupBy("p1", "p2", "n").agg(F.min("doc_id").alias("doc_id"))
     )
@@ -361,9 +367,11 @@ def links(documents: DataFrame, measured: DataFrame, length: int, percent: int)
     first = F.min("p1").over(Window.partitionBy("key"))
     shared = parts.select(first.alias("a"), F.col("p1").alias("b"))
     shared = shared.unionAll(measured.select("p1", F.explode("mates"))).where("a <> b").distinct()
-    roots = components(shared, "forest").select(F.col("node").alias("p1"), F.col("component").alias("root"))
+    forest = components(shared, "forest")
+    roots = forest.select(F.col("node").alias("p1"), F.col("component").alias("root"))
     members = materialize(classes.join(roots, "p1").select("root", "doc_id", "p1", "p2", "n"), "tree-members")
-    units = _units(members, _contents(documents, members.select("doc_id").distinct(), length), percent)
+    release(forest)
+    units, scratch = _units(members, _contents(documents, members.select("doc_id").distinct(), length), percent)
 
     def compare(batch: pa.Table) -> pa.Table:
         ids = batch.column("doc_id").to_pylist()
@@ -371,19 +379,21 @@ def links(documents: DataFrame, measured: DataFrame, length: int, percent: int)
         found = walk(sets, batch.column("side").to_numpy(), percent)
         return pa.table({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
 
-    return units.groupBy("unit").applyInArrow(compare, "a bigint, b bigint")
+    return units.groupBy("unit").applyInArrow(compare, "a bigint, b bigint"), [members, *scratch]
 
 
 def near_duplicates(documents: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest linked ``doc_id``)."""
     measured = materialize(_measured(documents, length, percent), "shingles")
-    found = components(links(documents, measured, length, percent), "links")
+    linked, scratch = links(documents, measured, length, percent)
+    found = components(linked, "links")
     classes = (
         measured.where("doc_id is not null and n > 0").groupBy("p1", "p2", "n").agg(F.min("doc_id").alias("class"))
         .join(found, F.col("class") == F.col("node"), "left")
         .select("p1", "p2", "n", F.coalesce("component", "class").alias("component_id"))
     )
     classes = materialize(classes, "classes")
+    release(found, *scratch)
     rows = measured.select("doc_id", "p1", "p2", "n")
     return rows.join(classes, ["p1", "p2", "n"], "left").select(
         "doc_id",
@@ -392,16 +402,25 @@ def near_duplicates(documents: DataFrame, length: int = SHINGLE, percent: int =
     )
 
 
-def one_of_each(documents: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def one_of_each(documents: DataFrame, length: int = STAGE_SHINGLE, percent: int = STAGE_PERCENT) -> DataFrame:
     """``documents`` with all columns, of each component only the row with the smallest ``doc_id``.
 
-    Of rows that repeat this id one stays; rows with a null id all stay.
+    Rows with a null id all stay. Rows are told apart by more than their ids: of
+    rows that repeat an id only those linked with each other give way to one.
     """
-    found = materialize(near_duplicates(documents, length, percent), "components")
-    others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    rows = without(documents, materialize(others, "others"))
-    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("copies")).where("copies > 1")
-    if repeated.isEmpty():
-        return rows
-    known = rows.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return known.unionByName(rows.where("doc_id is null"))
+    ids = documents.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null")
+    if ids.groupBy("doc_id").count().where("count > 1").isEmpty():
+        found = materialize(near_duplicates(documents, length, percent), "components")
+        others = materialize(found.where("doc_id <> component_id").select("doc_id"), "others")
+        release(found)
+        return without(documents, others)
+    # Written with a number of its own, every row is a document by itself.
+    rows = materialize(documents.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+    known = rows.where("doc_id is not null").select(F.col(_ROW).alias("doc_id"), "text")
+    found = near_duplicates(known, length, percent).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    found = materialize(found.join(rows.select(F.col(_ROW).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id")), "row"), "components")
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    others = found.join(first, "component").where("row <> first.row").select("row")
+    others = materialize(others, "others")
+    release(found)
+    return without(rows, others, F.col(_ROW) == F.col("row")).drop(_ROW)

@@ -34,15 +34,15 @@ def quality(text: str | None) -> dict:
     }
 
 
-def shingles(text: str | None) -> frozenset:
+def shingles(text: str | None, length: int = 3) -> frozenset:
     found = WORD.findall(lower(text or ""))
-    if len(found) < 3:
+    if len(found) < length:
         return frozenset([tuple(found)] if found else [])
-    return frozenset(tuple(found[i : i + 3]) for i in range(len(found) - 2))
+    return frozenset(tuple(found[i : i + length]) for i in range(len(found) - length + 1))
 
 
-def near(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
-    sets = [(i, shingles(t)) for i, t in docs]
+def near(docs: list[tuple[int, str | None]], length: int = 3, percent: int = 90) -> dict[int, tuple[int, int]]:
+    sets = [(i, shingles(t, length)) for i, t in docs]
     up = {i: i for i, _ in docs}
 
     def root(x):
@@ -52,9 +52,9 @@ def near(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
 
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
-            if a and b and 10 * min(len(a), len(b)) >= 9 * max(len(a), len(b)):
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
                 both = len(a & b)
-                if 100 * both >= 90 * (len(a) + len(b) - both):
+                if 100 * both >= percent * (len(a) + len(b) - both):
                     x, y = root(i), root(j)
                     up[max(x, y)] = min(x, y)
     return {i: (len(s), root(i)) for i, s in sets}

@@ -62,6 +62,15 @@ def test_contaminated_documents_go(spark, edge_documents, no_documents):
     items = spark.createDataFrame([(1, PROSE)], "item_id bigint, text string")
     found = decontamination.without_contaminated(edge_documents, items)
     assert found.dtypes == edge_documents.dtypes
-    # Both rows without an id go, as one of them is contaminated.
-    assert rows(found, "doc_id") == [(10,), (11,), (12,), (3,), (4,), (5,), (6,), (7,), (8,), (8,), (9,)]
+    # Of the rows without an id only the contaminated one goes.
+    assert rows(found, "doc_id") == [(10,), (11,), (12,), (3,), (4,), (5,), (6,), (7,), (8,), (8,), (9,), (None,)]
     assert rows(decontamination.without_contaminated(no_documents, items)) == []
+
+
+def test_only_the_contaminated_of_rows_with_one_id_go(spark):
+    items = spark.createDataFrame([("a", PROSE)], "item_id string, text string")
+    clean = "quite another text that nobody has put into a benchmark so far"
+    data = [(1, PROSE), (1, clean), (None, PROSE), (None, clean), (2, None), (2, PROSE)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    found = decontamination.without_contaminated(docs, items)
+    assert rows(found) == sorted([(1, clean), (None, clean), (2, None)], key=repr)

@@ -19,7 +19,7 @@ def test_stages_on_the_smallest_tables(spark, tables):
     cleaned, unique, decontaminated, masked = kept
     assert all(not brute.quality(texts[i])["base_failed"] for i in cleaned)
     # Of every group one stays, and no two that stay are linked.
-    groups = brute.near(list(cleaned.items()))
+    groups = brute.near(list(cleaned.items()), 5, 80)
     assert set(unique) == {root for _, root in groups.values()}
     bad = {r[0] for r in brute.overlaps(list(unique.items()), tables["benchmark"]) if r[5]}
     assert set(decontaminated) == set(unique) - bad

@@ -56,3 +56,16 @@ def test_texts_that_lose_too_much_go(spark):
     data = [(k, "\n".join([PROSE, *menu[:k]])) for k in range(5)]
     found = quality.measure(spark.createDataFrame(data, "doc_id bigint, text string"))
     assert rows(found, "doc_id", "n_failed_lines", "base_failed", "kept") == [(k, k, False, k < 4) for k in range(5)]
+
+
+def test_words_are_parted_by_all_white_space(spark):
+    """A clean text whose words are parted by tabs or doubled blanks is kept like the same one with blanks."""
+    lines = ["one of the men on the pier", "said that the boats came back", "and nobody spoke of it again for days"] * 3
+    for gap in ("\t", "\x0b", "\x0c", "\r", "  ", "\t "):
+        text = "\n".join(f"{i} " + x.replace(" ", gap) for i, x in enumerate(lines))
+        assert all(quality.line_fault(x) is None for x in text.split("\n"))
+        found = quality.measure(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+        assert found.n_failed_lines == 0 and found.n_lines == 9
+    assert quality.line_fault("Read\tmore") == "punctuation"
+    assert quality.line_fault("Home\t|\tNews\t|\tSports") == "navigation"
+    assert quality.line_fault("Read  the   news") == "punctuation"

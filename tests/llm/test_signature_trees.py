@@ -105,6 +105,29 @@ def test_one_of_each_group(spark, edge_documents, no_documents):
     assert rows(trees.one_of_each(no_documents)) == []
 
 
+def test_rows_that_repeat_an_id_with_other_texts_stay(spark):
+    """Two feeds numbered alike: only texts linked with each other give way to one."""
+    texts = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(5)]
+    near = texts[2].replace("w2x30", "other")
+    data = [(1, texts[0], 0), (1, texts[1], 1), (2, texts[2], 2), (1, near, 3), (1, texts[0], 4), (3, texts[4], 5), (None, texts[0], 6), (2, "", 7)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, extra int").repartition(3)
+    found = rows(trees.one_of_each(docs), "doc_id", "text")
+    want = [(1, texts[0]), (1, texts[1]), (1, near), (3, texts[4]), (None, texts[0]), (2, "")]
+    assert found == sorted(want, key=repr)
+    assert trees.one_of_each(docs).dtypes == docs.dtypes
+
+
+def test_a_run_leaves_only_what_its_result_reads(spark):
+    import os
+
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    docs = spark.createDataFrame(list(enumerate(near_copies(20, 60, 2, 5))), "doc_id bigint, text string")
+    trees.near_duplicates(docs).count()
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before}
+    assert left == {"shingles", "classes"}, left
+
+
 def test_more_ids_than_are_broadcast(spark, monkeypatch):
     """Beyond the bounds joins take the place of the filter and the broadcast; the rows are the same."""
     monkeypatch.setattr(common, "FILTER_IDS", 0)
@@ -112,7 +135,7 @@ def test_more_ids_than_are_broadcast(spark, monkeypatch):
     docs = list(enumerate(near_copies(30, 60, 3, 7) + ["a b c d", "a b c d"]))
     compare(spark, docs)
     kept = trees.one_of_each(spark.createDataFrame(docs, "doc_id bigint, text string"))
-    assert rows(kept, "doc_id") == sorted({(root,) for _, root in brute.near(docs).values()}, key=repr)
+    assert rows(kept, "doc_id") == sorted({(root,) for _, root in brute.near(docs, 5, 80).values()}, key=repr)
 
 
 def test_id_filter_loses_no_id(spark):
