@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ledgerline import schemas
 from ledgerline.operators.quality import CORRUPT
+from ledgerline.sources.json_arrays import read_json_arrays
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """JSON records, with ``_corrupt_record`` filled where one did not fit.
 
     By default a line holds a record or a whole array of records; such files
-    split over many tasks. ``multi_line`` is for documents that span lines: one
-    task reads one file, so deliver those as many files.
+    split over many tasks. ``multi_line`` is for documents of any shape that span
+    lines: one task reads one file. For arrays of objects see ``json_arrays``.
     """
     with_mark = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     return (
@@ -44,7 +45,9 @@ def read_transactions(spark: SparkSession, path: str | list[str], schema: T.Stru
 def read_loans(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Landed loan documents, each a JSON array; all fields as text.
 
-    An array that spans lines needs ``multi_line``; read without it, its lines
-    are damaged records, which ``quality.check_lines`` refuses.
+    An array that spans lines needs ``multi_line``; it is read by many tasks. Read
+    without it, its lines are damaged records, which ``quality.check_lines`` refuses.
     """
-    return read_json(spark, path, schemas.LOAN_FEED, multi_line)
+    if multi_line:
+        return read_json_arrays(spark, path, schemas.LOAN_FEED)
+    return read_json(spark, path, schemas.LOAN_FEED)
