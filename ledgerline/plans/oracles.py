@@ -398,6 +398,15 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "loan_segment_rollup": (("loan",), _segment_rates("Property_Area, Education, Self_Employed", "ROLLUP")),
 }
 
+# Tables that grow give what one load of everything gives.
+_SAME = {
+    "top_customers_summed": "top_customers", "top_months_summed": "top_months", "type_totals_summed": "type_totals",
+    "txn_count_by_type_summed": "txn_count_by_type", "top_branches_for_type_summed": "top_branches_for_type",
+    "branch_state_totals_summed": "branch_state_totals", "type_totals_grown": "type_totals",
+    "customer_email_stored": "customer_email_upsert",
+}
+_QUERIES.update({name: _QUERIES[other] for name, other in _SAME.items()})
+
 
 def _needed(names: tuple[str, ...], found: list[str]) -> list[str]:
     for name in names:

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerline import schemas, testviews as v
 from ledgerline.functions import columns as fn
-from ledgerline.operators import accounts, clean, loans, quality, reports
-from ledgerline.plans import etl
+from ledgerline.operators import accounts, clean, loans, quality, reports, summaries
+from ledgerline.plans import etl, growing
 from ledgerline.session import shared_folder
-from ledgerline.sinks import files
+from ledgerline.sinks import files, manifest
 from ledgerline.sources import json, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,15 +145,19 @@ def loan_full_scan(spark, sf):
 
 
 def scan_json_multi_line_loan(spark, sf):
-    """All loans as array documents that span lines, one file a task, and back."""
+    """All loans as a few array documents that span lines, and back: each is read by many tasks."""
     loan = v.raw_loan(spark, sf)
+    record = F.to_json(F.struct(*loan.columns), {"pretty": "true"})
     number = F.substring("Application_ID", 3, 30).cast("bigint")
-    documents = loan.groupBy(F.floor(number / DOCUMENT_SIZE).alias("document")).agg(
-        F.to_json(F.collect_list(F.struct(*loan.columns)), {"pretty": "true"}).alias("value")
+    rows = loan.select(F.col("Property_Area").alias("document"), number.alias("number"), record.alias("record"))
+    first = rows.groupBy("document").agg(F.min("number").alias("first"))
+    lines = rows.join(first, "document").select(
+        "document", "number", F.concat(F.when(F.col("number") == F.col("first"), "[").otherwise(","), "record").alias("value")
     )
+    ends = first.select("document", F.lit(2**62).alias("number"), F.lit("]").alias("value"))
     path = shared_folder(spark, "loan-documents")
-    # A file must hold one document.
-    documents.write.partitionBy("document").text(path)
+    in_order = lines.unionByName(ends).repartition("document").sortWithinPartitions("document", "number")
+    in_order.select("document", "value").write.partitionBy("document").text(path)
     return json.read_loans(spark, path, multi_line=True).select(*schemas.LOAN_COLUMNS)
 
 
@@ -237,6 +241,82 @@ def type_total_any_case_stored(spark, sf):
     return reports.type_total(_loaded_transactions(spark, sf), "1-Urgent", ignore_case=True)
 
 
+# --- tables that grow --------------------------------------------------------
+
+# A month that is delivered with wrong values first, and corrected.
+_CORRECTED = (1996, 2)
+
+
+_GROWN: dict[tuple[str, str], str] = {}
+
+
+def _grown(spark, sf) -> str:
+    """The root folder of order lines loaded in two deliveries that share months, one month corrected, its sums merged.
+
+    A session grows it once; every report reads what is stored.
+    """
+    made = (spark.sparkContext.applicationId, sf)
+    if made in _GROWN and manifest.current(spark, _GROWN[made]).number:
+        return _GROWN[made]
+    root = shared_folder(spark, "grown-bank")
+    feed = v.txn_feed(spark, sf)
+    wrong = (F.col("YEAR") == str(_CORRECTED[0])) & (F.col("MONTH") == str(_CORRECTED[1]))
+    value = F.when(wrong, "1.00").otherwise(F.col("TRANSACTION_VALUE"))
+    early = F.col("ordered") < F.lit("1996-01-01").cast("timestamp_ntz")
+    growing.append_transactions(feed.withColumn("TRANSACTION_VALUE", value).where(early).drop("ordered"), root)
+    growing.append_transactions(feed.where(~early).drop("ordered"), root)
+    right = clean.as_stored_transactions(clean.clean_transaction(feed.where(wrong)))
+    growing.replace_months(right, root, [_CORRECTED])
+    growing.merge_summaries(spark, root)
+    _GROWN[made] = root
+    return root
+
+
+def _sums(spark, sf, table: str):
+    return growing.read_summary(spark, _grown(spark, sf), table)
+
+
+def top_customers_summed(spark, sf):
+    return summaries.top_customers(_sums(spark, sf, "by_customer"))
+
+
+def top_months_summed(spark, sf):
+    return summaries.top_months(_sums(spark, sf, "by_branch_and_type"))
+
+
+def type_totals_summed(spark, sf):
+    return summaries.type_totals(_sums(spark, sf, "by_branch_and_type"))
+
+
+def txn_count_by_type_summed(spark, sf):
+    return summaries.txn_count_by_type(_sums(spark, sf, "by_branch_and_type"))
+
+
+def top_branches_for_type_summed(spark, sf):
+    return summaries.top_branches_for_type(_sums(spark, sf, "by_branch_and_type"), TYPE)
+
+
+def branch_state_totals_summed(spark, sf):
+    branches = v.raw_branch(spark, sf, "BRANCH_CODE", "BRANCH_STATE")
+    return summaries.branch_state_totals(_sums(spark, sf, "by_branch_and_type"), branches)
+
+
+def type_totals_grown(spark, sf):
+    """The same from the facts of all loads."""
+    return reports.type_totals(growing.read_transactions(spark, _grown(spark, sf)))
+
+
+def customer_email_stored(spark, sf):
+    """Requests stored in two updates by key, the earlier ones first, and the table read back."""
+    root = shared_folder(spark, "customers")
+    customers, requests = v.customer(spark, sf), v.email_requests(spark, sf)
+    growing.create_customers(customers, root)
+    middle = requests.agg(F.percentile_approx("REQUESTED_AT", 0.5).alias("m")).scalar()
+    growing.update_customers(requests.where(F.col("REQUESTED_AT") < middle), root, customers.schema)
+    growing.update_customers(requests.where(F.col("REQUESTED_AT") >= middle), root, customers.schema)
+    return growing.read_customers(spark, root, customers.schema)
+
+
 # --- clean-up ---------------------------------------------------------------
 
 def branch_clean(spark, sf):
@@ -453,6 +533,8 @@ _QUERIES = (
     loan_status_counts, approval_rate_self_employed, approval_rate_as_written,
     rejection_rate_married_male, rejection_split_married_male,
     loan_segment_rates, loan_segment_rollup,
+    top_customers_summed, top_months_summed, type_totals_summed, txn_count_by_type_summed,
+    top_branches_for_type_summed, branch_state_totals_summed, type_totals_grown, customer_email_stored,
 )
 
 

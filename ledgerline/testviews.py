@@ -206,6 +206,19 @@ def customer_feed(spark, sf_dir) -> DataFrame:
     return _view(spark, sf_dir, "orders", [_CUSTOMER, _NATION, _REGION], _CUSTOMER_FEED)
 
 
+def txn_feed(spark, sf_dir) -> DataFrame:
+    """Delivered transactions with branch and type (order lines), as text; ``ordered`` is the day of the order."""
+    lookups = [("orders", "l_orderkey = o_orderkey"), ("part", "l_partkey = p_partkey")]
+    columns = {
+        "CREDIT_CARD_NO": _TXN["CUST_CC_NO"],
+        **{part: f"cast({part.lower()}(l_shipdate) as string)" for part in ("YEAR", "MONTH", "DAY")},
+        **{name: f"cast({_TXN[name]} as string)" for name in ("CUST_SSN", "BRANCH_CODE", "TRANSACTION_TYPE", "TRANSACTION_VALUE")},
+        "TRANSACTION_ID": "concat(cast(l_orderkey as string), lpad(cast(l_linenumber as string), 2, '0'))",
+        "ordered": "o_orderdate",
+    }
+    return _view(spark, sf_dir, "lineitem", lookups, columns)
+
+
 def branch_feed(spark, sf_dir) -> DataFrame:
     return _view(spark, sf_dir, "supplier", [("nation", "s_nationkey = n_nationkey")], _BRANCH_FEED)
 

@@ -1,0 +1,243 @@
+from __future__ import annotations
+
+import datetime as dt
+import os
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import final_plan
+from ledgerline.operators import accounts, reports, summaries
+from ledgerline.plans import growing
+from ledgerline.sinks import manifest
+from ledgerline.sinks.manifest import Conflict, Part
+
+FEED = "CREDIT_CARD_NO string, YEAR string, MONTH string, DAY string, CUST_SSN string, BRANCH_CODE string, TRANSACTION_TYPE string, TRANSACTION_VALUE string, TRANSACTION_ID string"
+
+
+def feed(spark, ids, month="3", value=None):
+    rows = [
+        (f"4{i % 5}", "2021", month if i % 4 else "12", str(1 + i % 28), str(i % 5), str(i % 3), "Bills" if i % 2 else "Gas", value or f"{i}.25", str(i))
+        for i in ids
+    ]
+    return spark.createDataFrame(rows, FEED)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def compare(spark, root):
+    """Every report from the sums equals the one from the facts."""
+    facts = growing.read_transactions(spark, root)
+    by_customer, by_branch = (growing.read_summary(spark, root, x) for x in ("by_customer", "by_branch_and_type"))
+    branches = spark.createDataFrame([(0, "A"), (1, "B"), (2, "A")], "BRANCH_CODE long, BRANCH_STATE string")
+    assert rows(summaries.top_customers(by_customer, 3)) == rows(reports.top_customers(facts, 3))
+    for sums in (by_customer, by_branch):
+        assert rows(summaries.top_months(sums)) == rows(reports.top_months(facts))
+    assert rows(summaries.type_totals(by_branch)) == rows(reports.type_totals(facts))
+    assert rows(summaries.txn_count_by_type(by_branch)) == rows(reports.txn_count_by_type(facts))
+    assert rows(summaries.top_branches_for_type(by_branch, "Gas")) == rows(reports.top_branches_for_type(facts, "Gas"))
+    assert rows(summaries.branch_state_totals(by_branch, branches)) == rows(reports.branch_state_totals(facts, branches))
+    return facts
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "bank")
+
+
+def test_sums_of_two_loads_equal_those_of_the_facts(spark, root):
+    assert growing.read_transactions(spark, root).count() == 0
+    report = growing.append_transactions(feed(spark, range(60)), root)
+    assert dict(rows(report)) == {"read": 60, "accepted": 60}
+    compare(spark, root)
+    growing.append_transactions(feed(spark, range(60, 100), month="5"), root)
+    assert compare(spark, root).count() == 100
+    growing.merge_summaries(spark, root)
+    assert compare(spark, root).count() == 100
+    assert len(manifest.current(spark, root).tables["by_customer"]) == 1
+
+
+def test_a_corrected_month_is_summed_anew(spark, root):
+    growing.append_transactions(feed(spark, range(50)), root)
+    growing.append_transactions(feed(spark, range(50, 70), month="4", value="9999999.00"), root)
+    before = {p.folder: files_of(root, p.folder) for p in manifest.current(spark, root).tables["transaction"]}
+    facts = growing.read_transactions(spark, root)
+    right = facts.where("TXN_MONTH = 4").withColumn("TRANSACTION_VALUE", F.lit("1.00").cast("decimal(18,2)"))
+    growing.replace_months(right, root, [(2021, 4)])
+    facts = compare(spark, root)
+    assert facts.count() == 70
+    assert facts.where("TXN_MONTH = 4").agg(F.max("TRANSACTION_VALUE")).first()[0] == Decimal("1.00")
+    # The other months keep their files, and a load after the correction is added to it.
+    assert {folder: files_of(root, folder) for folder in before} == before
+    growing.append_transactions(feed(spark, range(70, 80), month="4"), root)
+    growing.merge_summaries(spark, root)
+    assert compare(spark, root).count() == 80
+
+
+def files_of(root, folder):
+    return sorted(f for _, _, names in os.walk(f"{root}/{folder}") for f in names)
+
+
+def test_reports_read_no_fact_file(spark, root):
+    growing.append_transactions(feed(spark, range(40)), root)
+    for table, keys in growing.SUMMARIES.items():
+        sums = growing.read_summary(spark, root, table)
+        assert all(f"/{table}/" in path for path in sums.inputFiles())
+    found = final_plan(summaries.top_customers(growing.read_summary(spark, root, "by_customer")))
+    assert "/by_customer/" in found and "/transaction/" not in found and "TRANSACTION_VALUE" not in found
+
+
+def test_a_month_is_found_by_its_folder(spark, root):
+    growing.append_transactions(feed(spark, range(40)), root)
+    growing.replace_months(growing.read_transactions(spark, root).where("TXN_MONTH = 12"), root, [(2021, 12)])
+    text = final_plan(growing.read_transactions(spark, root).where("TXN_MONTH = 3"))
+    assert "PartitionFilters: [" in text and "TXN_MONTH" in text
+    assert growing.read_transactions(spark, root).count() == 40
+
+
+def test_rejected_deliveries_add_nothing(spark, root):
+    growing.append_transactions(feed(spark, range(10)), root)
+    with pytest.raises(ValueError):
+        growing.append_transactions(feed(spark, range(10, 20), month="13"), root)
+    assert growing.read_transactions(spark, root).count() == 10
+    assert manifest.current(spark, root).number == 1
+
+
+def test_two_interleaved_loads_are_both_kept(spark, root, monkeypatch):
+    """A load that finds another committed goes on from that one's list."""
+    real, other = manifest.commit, []
+
+    def interrupted(*args):
+        if not other:
+            other.append(True)
+            growing.append_transactions(feed(spark, range(100, 110)), root)
+        return real(*args)
+
+    monkeypatch.setattr(manifest, "commit", interrupted)
+    growing.append_transactions(feed(spark, range(10)), root)
+    monkeypatch.undo()
+    assert compare(spark, root).count() == 20
+    assert manifest.current(spark, root).number == 2
+
+
+def test_a_merge_gives_way_to_a_load(spark, root, monkeypatch):
+    growing.append_transactions(feed(spark, range(10)), root)
+    base = manifest.current(spark, root)
+    growing.append_transactions(feed(spark, range(10, 20)), root)
+    monkeypatch.setattr(manifest, "current", lambda *_: base)
+    with pytest.raises(Conflict):
+        growing.merge_summaries(spark, root)
+    monkeypatch.undo()
+    assert compare(spark, root).count() == 20
+
+
+def test_a_list_cannot_be_made_twice_nor_read_half(spark, root):
+    first = manifest.commit(spark, root, manifest.Listing(0, {"t": [Part("t/a", ((("x", 1),),))]}))
+    with pytest.raises(Conflict):
+        manifest.commit(spark, root, manifest.Listing(0, {"t": []}))
+    assert manifest.current(spark, root) == first
+    with open(f"{root}/{manifest.LISTS}/{2:020d}", "w") as file:
+        file.write('{"t": [{"fol')
+    assert manifest.current(spark, root) == first
+
+
+def test_a_load_that_fails_between_tables_leaves_the_old_ones(spark, root, monkeypatch):
+    growing.append_transactions(feed(spark, range(10)), root)
+    before = compare(spark, root).count()
+    real = manifest.write_part
+
+    def failing(df, base, table, *more):
+        if table == "by_branch_and_type":
+            raise OSError("disk lost")
+        return real(df, base, table, *more)
+
+    monkeypatch.setattr(manifest, "write_part", failing)
+    with pytest.raises(OSError):
+        growing.append_transactions(feed(spark, range(10, 30)), root)
+    monkeypatch.undo()
+    assert compare(spark, root).count() == before == 10
+
+
+# --- customers ---------------------------------------------------------------
+
+def customers(spark, n=200):
+    return spark.range(n).select(F.col("id").alias("SSN"), F.concat(F.lit("c"), "id").alias("CUST_EMAIL"), F.lit("x").alias("CUST_CITY"))
+
+
+def requests(spark, *wanted):
+    data = [(ssn, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), email) for i, (ssn, email) in enumerate(wanted)]
+    return spark.createDataFrame(data, "SSN long, REQUESTED_AT timestamp_ntz, CUST_EMAIL string")
+
+
+def bucket_files(spark, root):
+    """Bucket -> files that count."""
+    out = {}
+    for part in manifest.current(spark, root).tables["customer"]:
+        gone = {dict(one)[growing.BUCKET] for one in part.without}
+        for name in os.listdir(f"{root}/{part.folder}"):
+            if name.startswith(growing.BUCKET) and int(name.split("=")[1]) not in gone:
+                out[int(name.split("=")[1])] = files_of(root, f"{part.folder}/{name}")
+    return out
+
+
+def test_updates_rewrite_only_the_buckets_they_name(spark, root):
+    table = customers(spark)
+    growing.create_customers(table, root)
+    before = bucket_files(spark, root)
+    n = growing.update_customers(requests(spark, (7, "new7"), (7, "newer7"), (9, "new9"), (10**9, "nobody")), root, table.schema)
+    after = bucket_files(spark, root)
+    touched = {b for b in before if before[b] != after[b]}
+    assert 2 <= n <= 3 and 1 <= len(touched) <= n
+    assert {b: f for b, f in after.items() if b not in touched} == {b: f for b, f in before.items() if b not in touched}
+    want = accounts.apply_updates(table, requests(spark, (7, "newer7"), (9, "new9")))
+    assert rows(growing.read_customers(spark, root, table.schema)) == rows(want)
+
+
+def test_updates_follow_each_other(spark, root):
+    table = customers(spark)
+    growing.create_customers(table, root)
+    for k in range(3):
+        growing.update_customers(requests(spark, *((i, f"n{k}-{i}") for i in range(k, 200, 3 - k))), root, table.schema)
+    want = {i: f"c{i}" for i in range(200)}
+    for k in range(3):
+        want.update({i: f"n{k}-{i}" for i in range(k, 200, 3 - k)})
+    assert dict(r[:2] for r in rows(growing.read_customers(spark, root, table.schema))) == want
+
+
+def test_requests_without_key_or_customer_change_nothing(spark, root):
+    table = customers(spark, 20)
+    growing.create_customers(table, root)
+    assert growing.update_customers(requests(spark, (None, "x")), root, table.schema) == 0
+    assert growing.update_customers(requests(spark), root, table.schema) == 0
+    growing.update_customers(requests(spark, (999, "x"), (3, None)), root, table.schema)
+    assert rows(growing.read_customers(spark, root, table.schema)) == rows(table)
+
+
+def test_an_update_sees_one_that_came_first(spark, root, monkeypatch):
+    table = customers(spark, 50)
+    growing.create_customers(table, root)
+    real, other = manifest.commit, []
+
+    def interrupted(*args):
+        if not other:
+            other.append(True)
+            growing.update_customers(requests(spark, (3, "theirs"), (4, "theirs")), root, table.schema, buckets=growing.BUCKETS)
+        return real(*args)
+
+    monkeypatch.setattr(manifest, "commit", interrupted)
+    growing.update_customers(requests(spark, (3, "ours")), root, table.schema)
+    monkeypatch.undo()
+    found = dict(r[:2] for r in rows(growing.read_customers(spark, root, table.schema)))
+    assert (found[3], found[4]) == ("ours", "theirs")
+
+
+def test_a_lookup_reads_one_bucket(spark, root):
+    table = customers(spark)
+    growing.create_customers(table, root)
+    found = growing.find_customer(spark, root, table.schema, 7)
+    assert rows(found) == [(7, "c7", "x")]
+    text = final_plan(found)
+    assert f"({growing.BUCKET}" in text and "PartitionFilters" in text
