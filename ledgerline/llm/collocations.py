@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -37,9 +38,9 @@ RANKED = 2000
 SALTS = 64  # parts in which a language's phrases are ranked before they meet
 
 SYMBOL_BITS = 21  # of a word's number in a phrase's key; three fit
-MOST_WORDS = 200_000  # of a task's vocabulary, some 50 MB; beyond that it spills all and starts anew
+MOST_WORDS = 300_000  # of a task's vocabulary, some 75 MB; beyond that it spills all and starts anew
 BURST = 1 << 16  # phrases of a container
-MOST_ENTRIES = 1_000_000  # phrases of a task's trie, some 60 MB
+MOST_ENTRIES = 1_500_000  # phrases of a task's trie, some 90 MB
 SLICE_BYTES = 4 << 20  # of text at once
 FILTER_BITS = 1 << 27  # of the filter of frequent pairs at most, 16 MB
 
@@ -158,15 +159,21 @@ class Vocabulary:
         self.number: dict[tuple[str, str], int] = {}
 
     def numbers(self, langs: list[str], found: list[str]) -> np.ndarray:
-        number = self.number
-        return np.fromiter((number.setdefault(x, len(number) + 1) for x in zip(langs, found)), np.int64, len(found))
+        keys = list(zip(langs, found))
+        out = list(map(self.number.get, keys))
+        for i, known in enumerate(out):
+            if known is None:
+                out[i] = self.number[keys[i]] = len(self.number) + 1
+        return np.array(out, np.int64)
 
     def ordered(self) -> tuple[np.ndarray, pa.Array, pa.Array]:
         """Each number's place among the sorted words, from 1, and the sorted words with their languages."""
-        own = sorted(self.number.items())
-        rank = np.zeros(len(own) + 1, np.int64)
-        rank[[i for _, i in own]] = np.arange(1, len(own) + 1)
-        return rank, pa.array([x[0] for x, _ in own], pa.string()), pa.array([x[1] for x, _ in own], pa.string())
+        langs = pa.array([x[0] for x in self.number], pa.string())
+        texts = pa.array([x[1] for x in self.number], pa.string())
+        order = pc.sort_indices(pa.table([langs, texts], ["lang", "word"]), sort_keys=[("lang", "ascending"), ("word", "ascending")])
+        rank = np.zeros(len(order) + 1, np.int64)
+        rank[order.to_numpy().astype(np.int64) + 1] = np.arange(1, len(order) + 1)
+        return rank, langs.take(order), texts.take(order)
 
 
 def sorted_run(keys: np.ndarray, counts: np.ndarray, rank: np.ndarray, langs: pa.Array, texts: pa.Array) -> pa.RecordBatch:
@@ -202,8 +209,16 @@ def piece_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return flat, row, goes_on
 
 
-def pair_hash(lang: str, first: str, second: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{lang}\n{first}\n{second}")
+def word_hashes(langs: list[str], found: list[str]) -> np.ndarray:
+    """A hash of each word of a language."""
+    hashes = (xxhash.xxh3_64_intdigest(f"{lang}\n{word}") for lang, word in zip(langs, found))
+    return np.fromiter(hashes, np.uint64, len(found))
+
+
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hashes of two words from the words' hashes."""
+    with np.errstate(over="ignore"):
+        return (first * np.uint64(0x9E3779B97F4A7C15) + second * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)
 
 
 class Counter:
@@ -231,36 +246,38 @@ class Counter:
         code, values = codes(flat)
         lang, langs = codes(pc.fill_null(part.column("lang").cast(pa.string()), "und"))
         both = code.astype(np.int64) * len(langs) + lang[row]
-        distinct, inverse = np.unique(both, return_inverse=True)
+        inverse, distinct = pd.factorize(both)
         langs = langs.to_pylist()
         for name, n in zip(langs, np.bincount(lang[row], minlength=len(langs)).tolist()):
             self.n_words[name] = self.n_words.get(name, 0) + n
-        if len(self.vocabulary.number) + len(distinct) > self.most_words:
-            yield from self._runs(0)
-            self._start()
-        own_langs = [langs[i] for i in (distinct % len(langs)).tolist()]
-        own_words = values.take(pa.array(distinct // len(langs))).to_pylist()
-        ids = self.vocabulary.numbers(own_langs, own_words)
-        number = ids[inverse]
         two = np.flatnonzero(goes_on[1:])  # words that another follows
-        pair = (number[two] << (2 * SYMBOL_BITS)) | (number[two + 1] << SYMBOL_BITS)
+        spelt = lambda at: ([langs[i] for i in (at % len(langs)).tolist()], values.take(pa.array(at // len(langs))).to_pylist())
         if self.frequent is None:
-            keys = np.concatenate((number << (2 * SYMBOL_BITS), pair))
+            # Every word begins a phrase of one, and of two where another follows.
+            begins, length = np.concatenate((np.arange(len(inverse)), two)), np.repeat([1, 2], [len(inverse), len(two)])
+            used = np.arange(len(distinct))
         else:
-            keys = self._triples(number, two, pair, inverse, own_langs, own_words)
+            hashes = word_hashes(*spelt(distinct))[inverse]
+            may = self.frequent.may_hold(pair_hashes(hashes[two], hashes[two + 1])) if len(two) else np.zeros(0, bool)
+            begins = two[:-1][(np.diff(two) == 1) & may[:-1] & may[1:]]
+            length = np.full(len(begins), 3)
+            used = np.unique(inverse[begins[:, None] + np.arange(3)])
+        if not len(begins):
+            return
+        if len(self.vocabulary.number) + len(used) > self.most_words:
+            yield from self._runs(0)
+            self._start()
+        number = np.zeros(len(distinct), np.int64)
+        number[used] = self.vocabulary.numbers(*spelt(distinct[used]))
+        number = np.concatenate((number[inverse], np.zeros(2, np.int64)))
+        keys = number[begins] << (2 * SYMBOL_BITS)
+        for place in (1, 2):
+            more = length > place
+            keys[more] |= number[begins[more] + place] << ((2 - place) * SYMBOL_BITS)
         keys, counts = np.unique(keys, return_counts=True)
         self.trie.add(keys, counts.astype(np.int64))
         if self.trie.entries > self.most:
-            yield from self._runs(self.most // 2)
-
-    def _triples(self, number, two, pair, inverse, langs, texts) -> np.ndarray:
-        """Keys of three words of which both pairs may be frequent."""
-        distinct, first, again = np.unique(pair, return_index=True, return_inverse=True)
-        left, right = inverse[two[first]].tolist(), inverse[two[first] + 1].tolist()
-        hashes = np.fromiter((pair_hash(langs[a], texts[a], texts[b]) for a, b in zip(left, right)), np.uint64, len(distinct))
-        may = self.frequent.may_hold(hashes.view(np.int64))[again] if len(distinct) else np.zeros(0, bool)
-        follows = np.flatnonzero((np.diff(two) == 1) & may[:-1] & may[1:])
-        return pair[follows] | number[two[follows] + 2]
+            yield from self._runs(self.most // 4)
 
     def finish(self) -> Iterator[pa.RecordBatch]:
         yield from self._runs(0)
@@ -300,9 +317,8 @@ def _pair_filter(pairs: DataFrame):
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("lang", "w1", "w2"))
-            hashes = np.fromiter((pair_hash(*x) for x in zip(*columns)), np.uint64, batch.num_rows)
-            word, bit = made.places(hashes.view(np.int64))
+            langs, *both = (batch.column(c).to_pylist() for c in ("lang", "w1", "w2"))
+            word, bit = made.places(pair_hashes(*(word_hashes(langs, x) for x in both)))
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64))], ["word", "bits"])
 
     rows = pairs.mapInArrow(put, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
