@@ -9,7 +9,8 @@ their sets have a Jaccard similarity of ``PERCENT`` / 100 or more.
 2. Forest: a set is cut into ``m`` parts by hash range. Sets that link differ in
    at most (a + b) * (100 - P) / (100 + P) shingles, fewer than ``m``, so that one
    part at least is equal. Classes that share a part are put under one root; no
-   link crosses roots.
+   link crosses roots. Sets that have fewer parts in common with all others than a
+   link needs are left out of the trees.
 3. Trees: below a root, classes are dealt to nodes of bounded size by size band
    and id. A node holds the range of its set sizes and the OR of its members'
    token bitmaps. Node pairs are dropped when the sizes or the number of common
@@ -44,7 +45,7 @@ STAGE_SHINGLE = 5
 STAGE_PERCENT = 80
 _ROW = "_row"
 BAND_RATIO = 1.25  # of the sizes that one cutting into parts serves
-SPARE_PARTS = 2  # empty parts that a document may have before they count as parts
+SPARE_PARTS = 2  # empty parts, at least, that a document may have before they count as parts
 NODE_SHINGLES = 16_000  # a root's sets are dealt to nodes of about this many shingles,
 NODES_PER_ROOT = 32  # or larger ones, if that made more nodes than this,
 NODE_SHINGLES_MOST = 4_000_000  # up to this size (32 MB of hashes)
@@ -72,19 +73,34 @@ def _bands(most: int) -> tuple[int, ...]:
     return tuple(firsts)
 
 
-def _schemes(n: int, percent: int) -> list[tuple[int, int]]:
-    """(band, parts) under which a set of ``n`` shingles is cut: its own band, and the next if it may link into it."""
+@lru_cache(maxsize=None)
+def _parts_of_band(band: int, percent: int) -> tuple[int, int]:
+    """Number of parts under which the sets of a band are cut, and how many of them may be empty; 0 where only equal sets link.
+
+    Linked sets differ in at most so many parts that one more than the spare ones
+    are equal. So a set with no more empty parts than that needs no key for them; the
+    spare parts are half as many again as the smallest sets have empty on average.
+    """
+    firsts = _bands(1 << 40)
+    differ = (2 * (firsts[band + 1] - 1) * (100 - percent)) // (100 + percent)
+    if not differ:
+        return 0, 0
+    lowest, spare = firsts[band] * percent / 100, SPARE_PARTS
+    for _ in range(6):
+        m = differ + 1 + spare
+        spare = SPARE_PARTS + int(1.5 * m * np.exp(-lowest / m))
+    return differ + 1 + spare, spare
+
+
+def _schemes(n: int, percent: int) -> list[tuple[int, int, int]]:
+    """(band, parts, spare parts) under which a set of ``n`` shingles is cut: its own band, and the next if it may link into it."""
     firsts = _bands(1 << 40)
     band = int(np.searchsorted(firsts, n, side="right")) - 1
     bands = [band]
     while firsts[bands[-1] + 1] * percent <= 100 * n:
         bands.append(bands[-1] + 1)
-    out = []
-    for band in bands:
-        differ = (2 * (firsts[band + 1] - 1) * (100 - percent)) // (100 + percent)
-        if differ:  # else only equal sets link
-            out.append((band, differ + 1 + SPARE_PARTS))
-    return out
+    found = ((band, *_parts_of_band(band, percent)) for band in bands)
+    return [x for x in found if x[1]]
 
 
 @lru_cache(maxsize=4096)
@@ -92,18 +108,27 @@ def _edges(m: int) -> np.ndarray:
     return np.array([((j << 64) + m - 1) // m for j in range(1, m)], dtype=np.uint64)
 
 
-def _parts(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of the parts of one ascending set of hashes."""
+def _parts(hashes: np.ndarray, percent: int) -> tuple[np.ndarray, tuple[int, int]]:
+    """Keys of the parts of one ascending set of hashes, and how many of them it has in common with any set it links with.
+
+    Bands are told apart by the lowest bit of a key, of which neighbours have
+    different ones; the second result is by that bit, 0 where the set is not cut.
+    """
+    least = [0, 0]
     with np.errstate(over="ignore"):
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(hashes, _M2))))
         keys = [np.zeros(0, np.uint64)]
-        for band, m in _schemes(len(hashes), percent):
+        for band, m, spare in _schemes(len(hashes), percent):
             cuts = np.concatenate(([0], np.searchsorted(hashes, _edges(m)), [len(hashes)]))
             full = cuts[1:] > cuts[:-1]
             part = np.where(full, sums[cuts[1:]] - sums[cuts[:-1]], _M3)
             key = _mix(part, _M3) + _mix(np.arange(m, dtype=np.uint64), _U(band) * _M2 + _U(m))
-            keys.append(key[full] if (~full).sum() <= SPARE_PARTS else key)
-    return np.concatenate(keys)
+            empty = int((~full).sum())
+            keys.append(((key[full] if empty <= spare else key) & ~_U(1)) | _U(band & 1))
+            # All but the parts that differ are equal, one more than the spare ones. Less those empty here, or, where
+            # empty ones have keys, in the other set, all of them have a common key.
+            least[band & 1] = spare + 1 - min(empty, spare)
+    return np.concatenate(keys), tuple(least)
 
 
 def shingle_hashes(part: pa.RecordBatch, length: int) -> list[np.ndarray]:
@@ -145,8 +170,11 @@ def _measured(documents: DataFrame, length: int, percent: int) -> DataFrame:
     """``doc_id``, ``n``, fingerprint, part keys, and ``mates``: fingerprints of sets that share a part.
 
     A set seen before in the same task has no keys. Of the sets of a slice that
-    share a part only the first has its key; the others name it as a mate. So a
-    part of very many documents has a row for each slice and not for each of them.
+    share a part only the first has its key, in ``common``; the others name it as a
+    mate. So a part of very many documents has a row for each slice and not for each
+    of them. ``alone`` are the keys that no other set of the slice has. ``met`` counts
+    the set's keys that others of the slice have, and ``least`` those that a link
+    needs, each by the lowest bit.
     """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,24 +183,32 @@ def _measured(documents: DataFrame, length: int, percent: int) -> DataFrame:
             for part in slices(batch, "text"):
                 sets = shingle_hashes(part, length)
                 prints = [_fingerprint(x) for x in sets]
-                keys = []
+                keys, least = [], []
                 for x, p in zip(sets, prints):
-                    keys.append(np.zeros(0, np.uint64) if p in seen or not len(x) else _parts(x, percent))
+                    own = (np.zeros(0, np.uint64), (0, 0)) if p in seen or not len(x) else _parts(x, percent)
+                    keys.append(own[0])
+                    least.append(own[1])
                     seen.add(p)
-                keys, mates = _first_of_each(keys, np.array([p[0] for p in prints], np.int64))
+                alone, common, mates, met = _first_of_each(keys, np.array([p[0] for p in prints], np.int64))
+                bits = lambda x, bit: pa.array([y[bit] for y in x], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array([p[0] for p in prints], pa.int64()),
                         pa.array([p[1] for p in prints], pa.int64()),
-                        _lists(keys),
+                        _lists(alone),
+                        _lists(common),
                         _lists(mates),
+                        bits(met, 0), bits(met, 1), bits(least, 0), bits(least, 1),
                     ],
-                    ["doc_id", "n", "p1", "p2", "keys", "mates"],
-                )
+                    ["doc_id", "n", "p1", "p2", "alone", "common", "mates", "met0", "met1", "least0", "least1"],
+                )
 
-    schema = "doc_id bigint, n bigint, p1 bigint, p2 bigint, keys array<bigint>, mates array<bigint>"
+    schema = (
+        "doc_id bigint, n bigint, p1 bigint, p2 bigint, alone array<bigint>, common array<bigint>, mates array<bigint>, "
+        "met0 int, met1 int, least0 int, least1 int"
+    )
     return _rows(documents).mapInArrow(measure, schema)
 
 
@@ -181,18 +217,25 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows).view(np.int64)))
 
 
-def _first_of_each(keys: list[np.ndarray], prints: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Each key with the first row that has it, and for the other rows the prints of those first ones."""
+def _first_of_each(keys: list[np.ndarray], prints: np.ndarray) -> tuple[list, list, list, list[tuple[int, int]]]:
+    """By row: keys of no other row, keys that it is the first of several to have, prints of the first ones of its other keys,
+    and how many of its keys other rows have too, by the lowest bit."""
     row = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
     flat = np.concatenate(keys)
-    _, first, number = np.unique(flat, return_index=True, return_inverse=True)
-    leader = row[first][number]
+    _, first, number, times = np.unique(flat, return_index=True, return_inverse=True, return_counts=True)
+    leader, several = row[first][number], times[number] > 1
     own = np.zeros(len(flat), bool)
     own[first] = True
     cuts = np.cumsum([len(x) for x in keys])[:-1]
-    mine, theirs = np.split(own, cuts), np.split(leader, cuts)
-    mates = [np.unique(prints[t[t != i]]) if len(t) else prints[:0] for i, t in enumerate(theirs)]
-    return [x[m] for x, m in zip(keys, mine)], mates
+    parts = (np.split(x, cuts) for x in (own, leader, several))
+    alone, common, mates, met = [], [], [], []
+    for i, (x, mine, theirs, many) in enumerate(zip(keys, *parts)):
+        alone.append(x[~many])
+        common.append(x[mine & many])
+        mates.append(np.unique(prints[theirs[theirs != i]]))
+        odd = int((x[many] & _U(1)).sum())
+        met.append((int(many.sum()) - odd, odd))
+    return alone, common, mates, met
 
 
 def _contents(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -363,14 +406,24 @@ def links(documents: DataFrame, measured: DataFrame, length: int, percent: int)
     classes = (
         measured.where("doc_id is not null and n > 0").groupBy("p1", "p2", "n").agg(F.min("doc_id").alias("doc_id"))
     )
-    parts = measured.select(F.explode("keys").alias("key"), "p1")
-    first = F.min("p1").over(Window.partitionBy("key"))
-    shared = parts.select(first.alias("a"), F.col("p1").alias("b"))
-    shared = shared.unionAll(measured.select("p1", F.explode("mates"))).where("a <> b").distinct()
+    one = lambda name: F.transform(name, lambda k: F.struct(k.alias("key"), F.lit(name == "alone").alias("alone")))
+    parts = measured.select("p1", F.explode(F.concat(one("alone"), one("common"))).alias("x")).select("p1", "x.*")
+    within = Window.partitionBy("key")
+    parts = parts.select(F.min("p1").over(within).alias("a"), F.max("p1").over(within).alias("z"), F.col("p1").alias("b"), "key", "alone")
+    parts = materialize(parts.where("a <> z").groupBy("a", "b").agg(
+        *(F.sum((F.col("alone") & (F.col("key").bitwiseAND(1) == bit)).cast("int")).alias(f"met{bit}") for bit in (0, 1))
+    ), "tree-shared")
+    # Sets with fewer keys in common with others than a link needs have no link; they only hold the forest together.
+    met = parts.select(F.col("b").alias("p1"), "met0", "met1").unionAll(measured.select("p1", "met0", "met1"))
+    met = met.groupBy("p1").agg(F.sum("met0").alias("met0"), F.sum("met1").alias("met1"))
+    needs = measured.where("least0 + least1 > 0").groupBy("p1").agg(F.min("least0").alias("least0"), F.min("least1").alias("least1"))
+    enough = met.join(needs, "p1").where("(least0 > 0 and met0 >= least0) or (least1 > 0 and met1 >= least1)").select("p1")
+    shared = parts.select("a", "b").unionAll(measured.select("p1", F.explode("mates"))).where("a <> b").distinct()
     forest = components(shared, "forest")
     roots = forest.select(F.col("node").alias("p1"), F.col("component").alias("root"))
-    members = materialize(classes.join(roots, "p1").select("root", "doc_id", "p1", "p2", "n"), "tree-members")
-    release(forest)
+    members = classes.join(enough, "p1").join(roots, "p1").select("root", "doc_id", "p1", "p2", "n")
+    members = materialize(members, "tree-members")
+    release(forest, parts)
     units, scratch = _units(members, _contents(documents, members.select("doc_id").distinct(), length), percent)
 
     def compare(batch: pa.Table) -> pa.Table:
