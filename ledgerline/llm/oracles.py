@@ -7,6 +7,8 @@ line rules a procedure: those are tested against brute force.
 from __future__ import annotations
 
 from ledgerline.llm.licenses import PERCENT, PHRASES, SLACK_PERCENT, TEMPLATES
+from ledgerline.llm.collocations import ABSORBED_PERCENT, LEAST, RANKED
+from ledgerline.llm.merkle import HASHED, RUN, TAMPERED_OF
 from ledgerline.llm.sharding import HASH_BITS, LIMIT
 
 _SPLIT = "'[ \\x09-\\x0D]+'"
@@ -141,10 +143,98 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+_MERKLE = f"""
+WITH RECURSIVE rows AS (
+    SELECT doc_id, source, lang, n_chars, text, CAST(doc_id AS VARCHAR) AS name,
+           {_ASCII_LOWER.format('text')} AS small FROM documents
+), checked AS (
+    -- The checksum of the id's digits, bit by bit.
+    SELECT *, xor(4294967295, list_reduce(list_concat([4294967295], flatten([[ord(c), 0, 0, 0, 0, 0, 0, 0] for c in string_split(name, '')])),
+           lambda crc, b: xor(xor(crc, b) >> 1, 3988292384 * (xor(crc, b) & 1)))) AS crc FROM rows
+), hashed AS (
+    SELECT *, sha256(concat({{fields}}, coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+           sha256(concat({{fields}}, coalesce(strlen(small) || ':' || small, '-'))) AS changed FROM checked
+), leafs AS (
+    SELECT doc_id, leaf, CASE WHEN crc % {TAMPERED_OF} = 0 THEN changed ELSE leaf END AS start,
+           dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+           count(*) OVER (PARTITION BY source) AS size, row_number() OVER () AS id
+    FROM hashed
+), nodes AS (
+    SELECT tree, 0 AS level, place, size, leaf AS hash FROM leafs
+    UNION ALL
+    SELECT tree, level + 1, place // {RUN}, (any_value(size) + {RUN - 1}) // {RUN}, sha256(string_agg(hash, '' ORDER BY place))
+    FROM nodes WHERE size > 1 GROUP BY tree, level, place // {RUN}
+), tops AS (SELECT tree, hash FROM nodes WHERE size = 1
+), above AS (
+    SELECT 0 AS level, tree AS place, (SELECT count(*) FROM tops) AS size, hash FROM tops
+    UNION ALL
+    SELECT level + 1, place // {RUN}, (any_value(size) + {RUN - 1}) // {RUN}, sha256(string_agg(hash, '' ORDER BY place))
+    FROM above WHERE size > 1 GROUP BY level, place // {RUN}
+), steps AS (
+    SELECT id, level, n.place < own AS before, string_agg(hash, '' ORDER BY n.place) AS hashes
+    FROM (SELECT id, tree, level, place // CAST({RUN} ** level AS BIGINT) AS own
+          FROM leafs, (SELECT DISTINCT level FROM nodes)) l JOIN nodes n USING (tree, level)
+    WHERE n.size > 1 AND n.place // {RUN} = own // {RUN} AND n.place <> own GROUP BY ALL
+    UNION ALL
+    SELECT id, 100 + level, n.place < own, string_agg(hash, '' ORDER BY n.place)
+    FROM (SELECT id, level, tree // CAST({RUN} ** level AS BIGINT) AS own
+          FROM leafs, (SELECT DISTINCT level FROM above)) l JOIN above n USING (level)
+    WHERE n.size > 1 AND n.place // {RUN} = own // {RUN} AND n.place <> own GROUP BY ALL
+), levels AS (
+    -- A run of one has no siblings but its own parent.
+    SELECT DISTINCT id, level FROM leafs JOIN nodes USING (tree) WHERE nodes.size > 1
+    UNION ALL SELECT DISTINCT id, 100 + level FROM leafs, above WHERE above.size > 1
+), paths AS (
+    SELECT id, list(coalesce(lo, '') || '|' || coalesce(hi, '') ORDER BY level) AS path FROM levels
+    LEFT JOIN (SELECT id, level, any_value(hashes) FILTER (WHERE before) AS lo,
+                      any_value(hashes) FILTER (WHERE NOT before) AS hi FROM steps GROUP BY id, level) USING (id, level)
+    GROUP BY id
+), folds AS (
+    SELECT leafs.*, tops.hash AS subroot, (SELECT hash FROM above WHERE size = 1) AS root,
+           sha256(replace(array_to_string(coalesce(path, []), ''), '|', '')) AS proof_sha256,
+           list_reduce(list_concat([start], coalesce(path, [])),
+                       lambda acc, x: sha256(concat(split_part(x, '|', 1), acc, split_part(x, '|', 2)))) AS folded_root
+    FROM leafs JOIN tops USING (tree) LEFT JOIN paths USING (id)
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folds
+""".format(fields=", ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in HASHED[:-1]))
+
+_PHRASE_COUNTS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array({_ASCII_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, unnest([list_slice(w, i, i + k - 1) for i in range(1, len(w) - k + 2)]) AS g FROM words, range(1, 4) t(k)
+), f AS (SELECT lang, g, count(*) AS n FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+candidates AS (SELECT lang, g, n AS a FROM f WHERE len(g) > 1 AND n >= {LEAST}),
+cuts AS (
+    SELECT c.lang, c.g, a, k, x.n AS l, y.n AS r,
+           CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, len(g))) AS k FROM candidates) c
+    JOIN f x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, k)
+    JOIN f y ON y.lang = c.lang AND y.g = list_slice(c.g, k + 1, len(c.g))
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+longer AS (
+    SELECT lang, g, max(a) AS most FROM (
+        SELECT lang, list_slice(g, 1, 2) AS g, a FROM candidates WHERE len(g) = 3
+        UNION ALL SELECT lang, list_slice(g, 2, 3), a FROM candidates WHERE len(g) = 3) GROUP BY ALL
+), ranked AS (
+    SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM best LEFT JOIN longer USING (lang, g)
+    WHERE most IS NULL OR 100 * most < {ABSORBED_PERCENT} * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM ranked JOIN totals USING (lang) QUALIFY rank <= {RANKED}
+"""
+
 ORACLES: dict[str, str] = {
     "op3_extendible_sharding": _SHARDS,
     "op4_warc_normaliser": _ARCHIVE,
     "op7_license_scan": _LICENSES,
     "op9_ngram_jaccard_join": _JACCARD,
     "op10_benchmark_decontamination": _OVERLAP,
+    "op11_merkle_manifest": _MERKLE,
+    "op12_phrase_collocations": _PHRASE_COUNTS,
 }
