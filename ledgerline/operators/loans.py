@@ -103,3 +103,48 @@ def segment_rates(loans: DataFrame, segments: tuple[str, ...] = SEGMENTS, how: s
         F.sum("a").alias("APPROVED"),
     )
     return rates.withColumn("PCT", fn.percent(F.col("APPROVED"), F.col("APPLICATIONS")))
+
+
+# Deviates of the normal distribution below which 97.5 % lie: the rate lies above its bound that surely.
+SURE = 1.96
+LEAST_SUPPORT = 100
+
+
+def lower_bound(part: Column, of: Column, deviates: float = SURE) -> Column:
+    """The lower confidence bound (Wilson) of a rate, in percent; low for few observations."""
+    n, p, z = of.cast("double"), part.cast("double") / of.cast("double"), F.lit(deviates)
+    spread = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))
+    return F.round(100 * (p + z * z / (2 * n) - spread) / (1 + z * z / n), 6)
+
+
+def frequent_segments(loans: DataFrame, segments: tuple[str, ...] = SEGMENTS, least: int = LEAST_SUPPORT) -> DataFrame:
+    """The breakdowns of ``segment_rates`` that hold ``least`` applications at least, without the total.
+
+    An iceberg cube: no group is larger than one that it is a part of, so values of a
+    segment that do not hold enough by themselves are cut before they are combined
+    with others, and what is left is counted per full combination once. A missing
+    value is a segment of its own. ``SEGMENT`` names the group.
+    """
+    base = loans.groupBy(*segments).agg(F.count("*").alias("n"), F.count_if(_approved()).alias("a"))
+    for s in segments:
+        enough = base.groupBy(s).agg(F.sum("n").alias("_n")).where(F.col("_n") >= least).select(F.col(s).alias("_value"), F.lit(True).alias("_enough"))
+        value = F.when(F.col("_enough"), F.concat(F.lit(f"{s}="), F.coalesce(F.col(s).cast("string"), F.lit("?"))))
+        base = base.join(enough, F.col(s).eqNullSafe(F.col("_value")), "left").withColumn(f"_{s}", value).drop("_value", "_enough")
+    names = [f"_{s}" for s in segments]
+    base = base.groupBy(*names).agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
+    groups = base.cube(*names).agg(
+        sum((1 - F.grouping(c) for c in names), F.lit(0)).cast("int").alias("SEGMENTS"),
+        sum(((F.grouping(c) == 0) & F.col(c).isNull()).cast("int") for c in names).alias("cut"),
+        F.sum("n").alias("APPLICATIONS"), F.sum("a").alias("APPROVED"),
+    )
+    groups = groups.where((F.col("cut") == 0) & (F.col("SEGMENTS") > 0) & (F.col("APPLICATIONS") >= least))
+    return groups.select(F.concat_ws(", ", *names).alias("SEGMENT"), "SEGMENTS", "APPLICATIONS", "APPROVED")
+
+
+def target_segments(loans: DataFrame, segments: tuple[str, ...] = SEGMENTS, least: int = LEAST_SUPPORT, k: int = 20) -> DataFrame:
+    """The ``k`` groups worth targeting: of those large enough, the ones whose approval rate is surely highest."""
+    groups = frequent_segments(loans, segments, least)
+    rates = groups.withColumns(
+        {"PCT": fn.percent(F.col("APPROVED"), F.col("APPLICATIONS")), "LOWER_PCT": lower_bound(F.col("APPROVED"), F.col("APPLICATIONS"))}
+    )
+    return rates.orderBy(F.col("LOWER_PCT").desc(), F.col("APPLICATIONS").desc(), "SEGMENT").limit(k)

@@ -398,6 +398,21 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "loan_segment_rollup": (("loan",), _segment_rates("Property_Area, Education, Self_Employed", "ROLLUP")),
 }
 
+_FREQUENT = """
+    SELECT concat_ws(', ', {names}) AS SEGMENT, CAST({used} AS INT) AS SEGMENTS, count(*) AS APPLICATIONS,
+           count(*) FILTER (WHERE Application_Status = 'Y') AS APPROVED
+    FROM loan GROUP BY CUBE ({all}) HAVING count(*) >= 100 AND {used} > 0""".format(
+    names=", ".join(f"CASE WHEN grouping({c}) = 0 THEN '{c}=' || coalesce({c}, '?') END" for c in _SEGMENTS.split(", ")),
+    used=" + ".join(f"(1 - grouping({c}))" for c in _SEGMENTS.split(", ")), all=_SEGMENTS,
+)
+_QUERIES["loan_frequent_segments"] = (("loan",), _FREQUENT)
+_QUERIES["loan_target_segments"] = (("loan",), f"""
+    WITH g AS ({_FREQUENT}), r AS (SELECT *, CAST(APPLICATIONS AS DOUBLE) AS n, CAST(APPROVED AS DOUBLE) / APPLICATIONS AS p FROM g)
+    SELECT SEGMENT, SEGMENTS, APPLICATIONS, APPROVED, {_pct('APPROVED', 'APPLICATIONS')} AS PCT,
+           round(100 * (p + 1.96::DOUBLE * 1.96::DOUBLE / (2 * n) - 1.96::DOUBLE * sqrt(p * (1 - p) / n + 1.96::DOUBLE * 1.96::DOUBLE / (4 * n * n)))
+                 / (1 + 1.96::DOUBLE * 1.96::DOUBLE / n), 6) AS LOWER_PCT
+    FROM r ORDER BY LOWER_PCT DESC, APPLICATIONS DESC, SEGMENT LIMIT 20""")
+
 # Tables that grow give what one load of everything gives.
 _SAME = {
     "top_customers_summed": "top_customers", "top_months_summed": "top_months", "type_totals_summed": "type_totals",

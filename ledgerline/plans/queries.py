@@ -513,6 +513,14 @@ def loan_segment_rollup(spark, sf):
     return loans.segment_rates(v.loan(spark, sf, *segments, "Application_Status"), segments, "rollup")
 
 
+def loan_target_segments(spark, sf):
+    return loans.target_segments(v.loan(spark, sf, *loans.SEGMENTS, "Application_Status"))
+
+
+def loan_frequent_segments(spark, sf):
+    return loans.frequent_segments(v.loan(spark, sf, *loans.SEGMENTS, "Application_Status"))
+
+
 _QUERIES = (
     scan_json_branch, scan_json_customer, scan_json_transaction, scan_json_array_loan,
     scan_json_multi_line_loan, transaction_load, branch_load, customer_load, customer_lookup_repeated,
@@ -535,6 +543,7 @@ _QUERIES = (
     loan_segment_rates, loan_segment_rollup,
     top_customers_summed, top_months_summed, type_totals_summed, txn_count_by_type_summed,
     top_branches_for_type_summed, branch_state_totals_summed, type_totals_grown, customer_email_stored,
+    loan_target_segments, loan_frequent_segments,
 )
 
 

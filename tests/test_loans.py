@@ -100,3 +100,31 @@ def test_cube_copies_counted_rows_only(applications):
     text = plan(loans.segment_rates(applications)).split("== Physical Plan ==")[1]
     assert "Expand" in text
     assert "HashAggregate" in text[text.index("Expand"):]
+
+
+def test_frequent_segments_against_every_breakdown(applications):
+    """The cube grown from the top holds all breakdowns that are large enough, and no other."""
+    for least in (4, 17):
+        want = []
+        for size in range(1, 6):
+            for by in itertools.combinations(range(5), size):
+                for values in {tuple(r[i] for i in by) for r in ROWS}:
+                    own = [r for r in ROWS if tuple(r[i] for i in by) == values]
+                    name = ", ".join(f"{loans.SEGMENTS[i]}={'?' if v is None else v}" for i, v in zip(by, values))
+                    if len(own) >= least:
+                        want.append((name, size, len(own), sum(r[5] == "Y" for r in own)))
+        assert sorted(map(tuple, loans.frequent_segments(applications, least=least).collect())) == sorted(want)
+
+
+def test_target_segments_rank_by_the_sure_rate(spark):
+    data = [("a", "Y")] * 3 + [("b", "Y")] * 180 + [("b", "N")] * 20 + [("c", "Y")] * 50 + [("c", "N")] * 50
+    found = loans.target_segments(spark.createDataFrame(data, "Gender string, Application_Status string"), ("Gender",), least=2).collect()
+    assert [r.SEGMENT for r in found] == ["Gender=b", "Gender=a", "Gender=c"]  # three of three prove less than 180 of 200
+    assert [r.PCT for r in found] == [90.0, 100.0, 50.0]
+    assert found[1].LOWER_PCT == pytest.approx(100 * 3 / (3 + 1.96**2), abs=1e-5)
+    assert found[0].LOWER_PCT == pytest.approx(85.0593, abs=1e-4)
+
+
+def test_segments_without_loans(spark):
+    empty = spark.createDataFrame([], "Gender string, Married string, Application_Status string")
+    assert loans.target_segments(empty, ("Gender", "Married")).count() == 0
