@@ -20,7 +20,7 @@ AMOUNT = r"^[+-]?[0-9]{1,16}(?:\.[0-9]{0,2}0*)?$"
 def whole_number(text: Column) -> Column:
     """BIGINT of a delivered text, NULL when it is no whole number."""
     text = F.trim(text)
-    return F.when(text.rlike(WHOLE), F.regexp_replace(text, r"\.0*$", "").try_cast("bigint"))
+    return F.when(text.rlike(WHOLE), F.substring_index(text, ".", 1).try_cast("bigint"))
 
 
 def amount(text: Column) -> Column:
@@ -62,7 +62,8 @@ def calendar_date(year: Column, month: Column, day: Column) -> Column:
     """Date from its parts, NULL when a part is missing or the day does not exist.
 
     Out-of-range parts become NULL before ``make_date`` sees them, since that
-    raises on them. Integer arithmetic only, no text is built or parsed.
+    raises on them. Integer arithmetic only, no text is built or parsed. The parts
+    are named many times over: give them as columns and not as long expressions.
     """
     year = F.when(year.between(1, 9999), year)
     month = F.when(month.between(1, 12), month)

@@ -1,7 +1,8 @@
 """Clean-up projections from delivered records to stored tables.
 
 Each is narrow (no shuffle) and meant for ``df.transform``. Columns may be typed or
-text as delivered; text must have passed the rules of ``operators.quality``.
+text as delivered; text must have passed the rules of ``operators.quality``. Numbers that several
+columns are made of are columns of an inner projection, so that a text is parsed once.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ def _time(df: DataFrame, name: str) -> Column:
 
 
 def clean_branch(raw: DataFrame) -> DataFrame:
-    zip_code = fn.zip_or_unknown(_whole(raw, "BRANCH_ZIP"))
-    return raw.select(
+    zip_code = fn.zip_or_unknown(F.col("_zip"))
+    return raw.withColumn("_zip", _whole(raw, "BRANCH_ZIP")).select(
         _whole(raw, "BRANCH_CODE").alias("BRANCH_CODE"),
         "BRANCH_NAME",
         "BRANCH_STREET",
@@ -47,8 +48,8 @@ def clean_branch(raw: DataFrame) -> DataFrame:
 
 
 def clean_customer(raw: DataFrame) -> DataFrame:
-    zip_code = fn.zip_or_unknown(_whole(raw, "CUST_ZIP"))
-    return raw.select(
+    zip_code = fn.zip_or_unknown(F.col("_zip"))
+    return raw.withColumn("_zip", _whole(raw, "CUST_ZIP")).select(
         _whole(raw, "SSN").alias("SSN"),
         F.initcap("FIRST_NAME").alias("FIRST_NAME"),
         F.lower("MIDDLE_NAME").alias("MIDDLE_NAME"),
@@ -68,9 +69,11 @@ def clean_customer(raw: DataFrame) -> DataFrame:
 
 def clean_transaction(raw: DataFrame) -> DataFrame:
     """One date instead of three parts; the card column gets its stored name."""
-    date = fn.calendar_date(*(_whole(raw, part, "int") for part in ("YEAR", "MONTH", "DAY")))
+    parts = {f"_{part}": _whole(raw, part, "int") for part in ("YEAR", "MONTH", "DAY")}
+    dated = raw.withColumns(parts).withColumn("_date", fn.calendar_date(*map(F.col, parts)))
+    date = F.col("_date")
     value = fn.amount(F.col("TRANSACTION_VALUE")) if _is_text(raw, "TRANSACTION_VALUE") else fn.money(F.col("TRANSACTION_VALUE"))
-    return raw.select(
+    return dated.select(
         F.col("CREDIT_CARD_NO").alias("CUST_CC_NO"),
         fn.time_id(date).alias("TIMEID"),
         date.alias("TXN_DATE"),

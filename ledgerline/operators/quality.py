@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,10 +19,15 @@ LOST = "lost_in_corrupt"
 
 @dataclass(frozen=True)
 class Rule:
-    """A named defect; ``broken`` is true for rows that have it."""
+    """A named defect; ``broken`` is true for rows that have it.
+
+    ``given`` are the values that ``broken`` reads by name. ``flag`` computes each
+    once a row, however often conditions name it.
+    """
 
     reason: str
     broken: Column
+    given: dict[str, Column] = field(default_factory=dict)
 
 
 def required(name: str) -> Rule:
@@ -33,15 +38,22 @@ def longest(name: str, limit: int) -> Rule:
     return Rule(f"too_long:{name}", F.char_length(F.col(name)) > limit)
 
 
+def _number(name: str) -> tuple[Column, dict[str, Column]]:
+    """The column as a whole number, by the name that the rules share, and what is given under it."""
+    own = f"_whole_{name}"
+    return F.col(own), {own: fn.whole_number(F.col(name))}
+
+
 def whole(name: str) -> Rule:
     """A text that is there must spell a whole number, also as ``1.0``."""
-    return Rule(f"not_whole:{name}", F.col(name).isNotNull() & fn.whole_number(F.col(name)).isNull())
+    number, given = _number(name)
+    return Rule(f"not_whole:{name}", F.col(name).isNotNull() & number.isNull(), given)
 
 
 def zip_code(name: str) -> list[Rule]:
     """Five digits at most; a longer code is not cut."""
-    digits = fn.whole_number(F.col(name))
-    return [whole(name), Rule(f"too_long:{name}", (digits < 0) | (digits > 99_999))]
+    digits, given = _number(name)
+    return [whole(name), Rule(f"too_long:{name}", (digits < 0) | (digits > 99_999), given)]
 
 
 def money(name: str) -> Rule:
@@ -50,8 +62,8 @@ def money(name: str) -> Rule:
 
 def real_date(*parts: str) -> Rule:
     """Year, month and day are there and name a day that exists."""
-    date = fn.calendar_date(*(fn.whole_number(F.col(part)).try_cast("int") for part in parts))
-    return Rule("no_date:" + "-".join(parts), date.isNull())
+    given = {f"_int_{part}": fn.whole_number(F.col(part)).try_cast("int") for part in parts}
+    return Rule("no_date:" + "-".join(parts), fn.calendar_date(*map(F.col, given)).isNull(), given)
 
 
 def not_corrupt() -> Rule:
@@ -60,11 +72,12 @@ def not_corrupt() -> Rule:
 
 def loan_rules() -> list[Rule]:
     """Key present, texts within their column's length, whole-number history."""
+    history, given = _number("Credit_History")
     return [
         required("Application_ID"),
         *[longest(name, limit) for name, limit in LOAN_LENGTHS.items()],
         whole("Credit_History"),
-        Rule("too_large:Credit_History", F.abs(fn.whole_number(F.col("Credit_History"))) > 2_147_483_647),
+        Rule("too_large:Credit_History", F.abs(history) > 2_147_483_647, given),
     ]
 
 
@@ -94,7 +107,8 @@ def flag(batch: DataFrame, rules: list[Rule]) -> DataFrame:
     reason = F.when(first.broken, F.lit(first.reason))
     for rule in rest:
         reason = reason.when(rule.broken, F.lit(rule.reason))
-    return batch.withColumn(REASON, reason)
+    given = {name: value for rule in rules for name, value in rule.given.items()}
+    return batch.withColumns(given).withColumn(REASON, reason).drop(*given) if given else batch.withColumn(REASON, reason)
 
 
 def _sound(flagged: DataFrame) -> DataFrame:

@@ -69,3 +69,15 @@ def test_cleaning_is_narrow(spark):
     raw = spark.createDataFrame([], schemas.CUSTOMER)
     text = clean.clean_customer(raw)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and "Python" not in text
+
+
+def test_each_delivered_number_is_parsed_once(spark, tmp_path):
+    """Six whole numbers and an amount; date, date key and month columns are made of the same parts."""
+    rows = [("4001", "2021", "2", "28", "7.0", " +3", "Gas", "1.50", "1\n"), ("4001", "2021", "2", "30", "7", None, "Gas", "1.50", "2")]
+    spark.createDataFrame(rows, schemas.TRANSACTION_FEED).write.parquet(str(tmp_path / "feed"))
+    stored = clean.as_stored_transactions(clean.clean_transaction(spark.read.parquet(str(tmp_path / "feed"))))
+    assert stored._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 7
+    first, second = stored.orderBy("TRANSACTION_ID").collect()
+    assert (first.CUST_SSN, first.BRANCH_CODE, first.TRANSACTION_ID, first.TIMEID) == (7, 3, 1, "20210228")
+    assert (first.TXN_DATE, first.TXN_YEAR, first.TXN_MONTH) == (dt.date(2021, 2, 28), 2021, 2)
+    assert (second.TXN_DATE, second.TXN_YEAR, second.BRANCH_CODE) == (None, None, None)

@@ -193,3 +193,25 @@ def test_new_and_stored_keys(spark):
 def test_duplicate_keys(spark):
     batch = loans(spark, {"Application_ID": "LP1"}, {"Application_ID": "LP1"}, {"Application_ID": "LP2"}, {}, {})
     assert [tuple(r) for r in q.duplicate_keys(batch, "Application_ID").collect()] == [("LP1", 2)]
+
+
+def optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_each_delivered_number_is_parsed_once(spark, tmp_path):
+    """Six whole numbers and an amount of a transaction; the conditions on the date name its parts many times."""
+    feed = spark.createDataFrame([("4001", "2021", "2", "28", "7", "3", "Gas", "1.50", "1"), ("4001", "2021", "2", "30", "7", "3", "Gas", "1.50", "2")], schemas.TRANSACTION_FEED)
+    feed.write.parquet(str(tmp_path / "feed"))
+    marked = q.flag(spark.read.parquet(str(tmp_path / "feed")), q.transaction_rules())
+    assert optimized(marked).count("RLIKE") == 7
+    assert marked.columns == [*feed.columns, q.REASON]
+    assert sorted(reasons(marked), key=str) == [None, "no_date:YEAR-MONTH-DAY"]
+
+
+def test_rules_that_share_a_number_parse_it_once(spark, tmp_path):
+    feed = spark.createDataFrame([("7", "123456"), ("8", "x"), ("9", "12345.0")], "SSN string, CUST_ZIP string")
+    feed.write.parquet(str(tmp_path / "feed"))
+    marked = q.flag(spark.read.parquet(str(tmp_path / "feed")), q.customer_rules())
+    assert optimized(marked).count("RLIKE") == 2
+    assert sorted(reasons(marked), key=str) == [None, "not_whole:CUST_ZIP", "too_long:CUST_ZIP"]
