@@ -144,24 +144,35 @@ def duplicate_keys(batch: DataFrame, key: str) -> DataFrame:
     return counts.where(F.col("copies") > 1)
 
 
-def held_keys(wanted: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+# Fixed value: a list of so many keys is some 4 MB. Spark takes a list's size from the
+# files it is read from, which hold keys packed to a tenth or less, and would send
+# longer lists through the driver.
+MOST_NAMED = 100_000
+
+
+def _dealt(keys: DataFrame, named: int | None) -> DataFrame:
+    """Keys that a join shuffles if they are known to be many, and else broadcasts as Spark decides."""
+    return keys if named is None or named <= MOST_NAMED else keys.hint("merge")
+
+
+def held_keys(wanted: DataFrame, stored: DataFrame, key: str, named: int | None = None) -> DataFrame:
     """The stored keys that ``wanted`` names: a short list.
 
     A stored table is large and a batch often small. The batch's keys are the
     right side, so Spark broadcasts them when they are few and the stored keys
-    are not shuffled.
+    are not shuffled. ``named`` is the number of ``wanted`` rows, where it is known.
     """
-    return stored.select(key).join(distinct_keys(wanted, key), key, "left_semi")
+    return stored.select(key).join(_dealt(distinct_keys(wanted, key), named), key, "left_semi")
 
 
-def new_only(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+def new_only(batch: DataFrame, stored: DataFrame, key: str, named: int | None = None) -> DataFrame:
     """Rows whose key the stored table does not hold yet."""
-    return batch.join(held_keys(batch, stored, key), key, "left_anti")
+    return batch.join(_dealt(held_keys(batch, stored, key, named), named), key, "left_anti")
 
 
-def already_stored(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+def already_stored(batch: DataFrame, stored: DataFrame, key: str, named: int | None = None) -> DataFrame:
     """Rows whose key the stored table already holds."""
-    return batch.join(held_keys(batch, stored, key), key, "left_semi")
+    return batch.join(_dealt(held_keys(batch, stored, key, named), named), key, "left_semi")
 
 
 def check_lines(flagged: DataFrame) -> None:

@@ -177,11 +177,12 @@ def load_loans(
         report = quality.load_report(flagged, key)
         quality.check_reject_rate(report, most_rejected)
         loans = copy(quality.accepted(flagged, key), "loan-accepted")
+        named = loans.count()  # from the files' footers
         # Written now: after the insertion every loan of the delivery is in the table.
-        known = copy(quality.already_stored(loans, spark.table(table), key), "loan-known")
+        known = copy(quality.already_stored(loans, spark.table(table), key, named), "loan-known")
         left_out = known.withColumns({quality.REASON: F.lit(quality.STORED), "copies": F.lit(1).cast("bigint")})
         files.publish(quality.rejected(flagged, key).unionByName(left_out, allowMissingColumns=True), rejects)
-        files.insert_loans(quality.new_only(loans, known, key), table)
+        files.insert_loans(quality.new_only(loans, known, key, named), table)
         found = known.agg(F.count("*").alias("n")).select(
             F.stack(F.lit(2), F.lit(quality.STORED), F.col("n"), F.lit("accepted"), -F.col("n")).alias("outcome", "rows")
         )

@@ -201,3 +201,21 @@ def test_loan_documents_are_added_once(spark, tmp_path):
         etl.load_loans(spark, str(tmp_path / "d1"), "loan_etl", rejects, most_rejected=0.1)
     assert spark.table("loan_etl").count() == 3
     spark.sql("DROP TABLE loan_etl")
+
+
+def test_a_large_load_of_loans_broadcasts_no_keys(spark, tmp_path, monkeypatch):
+    from ledgerline.operators import quality
+
+    found = []
+    for name in ("already_stored", "new_only"):
+        real = getattr(quality, name)
+        monkeypatch.setattr(quality, name, lambda *args, real=real: found.append(real(*args)) or found[-1])
+    monkeypatch.setattr(quality, "MOST_NAMED", 2)
+    files.create_loan_table(spark, "loan_many", str(tmp_path / "table"))
+    for number in range(2):
+        path = write(tmp_path / f"{number}.json", [[{"Application_ID": f"LP{n + number}"} for n in range(4)]])
+        plans = len(found)
+        etl.load_loans(spark, path, "loan_many", str(tmp_path / "rejects"))
+        assert not [x for x in found[plans:] if "Broadcast" in plan(x)]
+    assert sorted(r.Application_ID for r in spark.table("loan_many").collect()) == [f"LP{n}" for n in range(5)]
+    spark.sql("DROP TABLE loan_many")

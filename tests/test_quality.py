@@ -215,3 +215,15 @@ def test_rules_that_share_a_number_parse_it_once(spark, tmp_path):
     marked = q.flag(spark.read.parquet(str(tmp_path / "feed")), q.customer_rules())
     assert optimized(marked).count("RLIKE") == 2
     assert sorted(reasons(marked), key=str) == [None, "not_whole:CUST_ZIP", "too_long:CUST_ZIP"]
+
+
+def test_many_keys_are_not_broadcast(spark, tmp_path):
+    """Files hold keys packed, so that Spark takes a long list for a short one."""
+    for name, first in (("batch", 0), ("stored", 1000)):
+        keys = spark.range(first, first + 5000).selectExpr("concat('LP', lpad(id, 12, '0')) AS Application_ID")
+        keys.write.parquet(str(tmp_path / name))
+    batch, stored = (spark.read.parquet(str(tmp_path / name)) for name in ("batch", "stored"))
+    for question, n in ((q.new_only, 1000), (q.already_stored, 4000)):
+        few, many = (question(batch, stored, "Application_ID", named) for named in (5000, q.MOST_NAMED + 1))
+        assert "BroadcastHashJoin" in final_plan(few) and "Broadcast" not in final_plan(many)
+        assert sorted(few.collect()) == sorted(many.collect()) and many.count() == n
