@@ -44,7 +44,8 @@ MOST_ENTRIES = 1_500_000  # phrases of a task's trie, some 90 MB
 SLICE_BYTES = 4 << 20  # of text at once
 FILTER_BITS = 1 << 27  # of the filter of frequent pairs at most, 16 MB
 
-RUNS = "lang string, w1 string, w2 string, w3 string, f bigint"
+RUNS = "lang string, phrase string, f bigint"
+JOINED = "\t"  # between the words of a phrase in a run; no word holds it
 _MASK = (1 << SYMBOL_BITS) - 1
 _EMPTY = np.int64(-1)
 
@@ -289,25 +290,37 @@ class Counter:
             yield pa.RecordBatch.from_arrays(columns, ["lang", "w1", "w2", "w3", "f"])
 
 
+def joined(run: pa.RecordBatch) -> pa.RecordBatch:
+    """A run with each phrase as one text, empty for the empty phrase: one column to move, sort and group by."""
+    first = pc.fill_null(run.column("w1"), "")
+    phrase = pc.binary_join_element_wise(first, run.column("w2"), run.column("w3"), JOINED, null_handling="skip")
+    return pa.RecordBatch.from_arrays([run.column("lang"), phrase, run.column("f")], ["lang", "phrase", "f"])
+
+
 def _runs(documents: DataFrame, frequent=None, **limits: int) -> DataFrame:
-    """The sorted runs of all tasks: words (null beyond the phrase's end) and counts."""
+    """The sorted runs of all tasks: phrases and counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(frequent.value if frequent else None, **limits)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                yield from counter.add(part)
-        yield from counter.finish()
+                yield from map(joined, counter.add(part))
+        yield from map(joined, counter.finish())
 
     rows = documents.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     return materialize(rows.mapInArrow(count, RUNS), "phrase-runs")
 
 
 def _merged(runs: DataFrame, least: int) -> DataFrame:
-    """Phrases of all runs with their counts, of ``least`` occurrences at least, merged by ranges of prefixes."""
-    key = ["lang", "w1", "w2", "w3"]
+    """Phrases of all runs with their counts, of ``least`` occurrences at least, merged by ranges of prefixes.
+
+    Words are null beyond the phrase's end.
+    """
+    key = ["lang", "phrase"]
     merged = runs.repartitionByRange(*key).groupBy(*key).agg(F.sum("f").alias("f"))
-    return merged.where((F.col("f") >= least) | F.col("w1").isNull())
+    kept = merged.where((F.col("f") >= least) | (F.col("phrase") == ""))
+    parts = F.split(F.nullif("phrase", F.lit("")), JOINED)
+    return kept.select("lang", *(F.get(parts, F.lit(i)).alias(f"w{i + 1}") for i in range(3)), "f")
 
 
 def _pair_filter(pairs: DataFrame):

@@ -151,3 +151,15 @@ def test_containers_keep_prefixes_whole():
 
 def test_long_text(spark):
     assert collocations.collocations(frame(spark, [("en", LONG)] * 10)).count() > 0
+
+
+def test_runs_hold_a_phrase_in_one_column(spark):
+    """Every phrase of every task is written, moved and grouped: one text is half the row of three."""
+    runs = collocations._runs(frame(spark, [("en", "a b. \x00 a"), (None, "é")]))
+    assert runs.columns == ["lang", "phrase", "f"]
+    merged = collocations._merged(runs, least=1)
+    assert rows(merged, "lang", "w1", "w2", "w3", "f") == sorted(
+        [("en", None, None, None, 4), ("en", "a", None, None, 2), ("en", "b", None, None, 1), ("en", "a", "b", None, 1),
+         ("en", "\x00", None, None, 1), ("en", "\x00", "a", None, 1), ("und", None, None, None, 1), ("und", "é", None, None, 1)],
+        key=repr,
+    )
