@@ -9,7 +9,8 @@ segment up to it: the run in which it stands, and its place there. In every turn
 table of nodes is joined with itself: a node that points to another takes over its
 pointer and appends its segment to the own one, which doubles the distance. When all
 point to the root, the leaves of a run, which share the segment that their parent
-holds for them, join with that parent and so reach the root.
+holds for them, join with that parent and so reach the root. Nodes and their paths
+are broadcast while they are few, as the higher ones always are, and else shuffled.
 
 Places are counted without a window over all rows of a source: rows are sorted by
 ranges, numbered inside their range, and moved by the number of rows in the ranges
@@ -24,10 +25,12 @@ root. Further columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialize, release
+from ledgerline.llm.common import dealt, materialize, release
 from ledgerline.llm.ranks import numbered
 
 RUN = 16
@@ -37,12 +40,19 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TAMPERED_OF = 5  # a row is tampered with if this divides its id's checksum
 
 _STEP = "struct<slot:int,run:array<string>>"
+# Fixed value: bytes of a step with its hashes, 64 characters each, as a row of Spark's holds it.
+STEP_BYTES = 64 + RUN * (64 + 8)
 
 
 def _no_steps() -> Column:
     return F.array().cast(f"array<{_STEP}>")
 
 
+def _row_bytes(steps: int) -> Column:
+    """Of a row with a path of ``steps`` steps at most."""
+    return F.lit(128 + steps * STEP_BYTES)
+
+
 def digest(text: Column) -> Column:
     return F.sha2(text, 256)
 
@@ -107,15 +117,22 @@ def jump(nodes: DataFrame) -> DataFrame:
 
     Every turn doubles the distance that a node's path covers.
     """
-    nodes = materialize(nodes, "merkle-jump")
-    while not nodes.where("up is not null").isEmpty():
-        ahead = nodes.select(F.col("node").alias("_node"), F.col("up").alias("_up"), F.col("path").alias("_path"))
+    nodes, steps = materialize(nodes, "merkle-jump"), 1
+    while True:
+        # Nodes that others point to stand higher with every turn, above the sources (trees below 0) and in them.
+        outer = (F.col("up.tree") < 0).alias("outer")
+        lowest = nodes.where("up is not null").groupBy(outer).agg(F.min("up.level").alias("level")).collect()
+        if not lowest:
+            return nodes
+        reached = reduce(
+            Column.__or__, (((F.col("node.tree") < 0) == F.lit(x.outer)) & (F.col("node.level") >= x.level) for x in lowest)
+        )
+        ahead = nodes.where(reached).select(F.col("node").alias("_node"), F.col("up").alias("_up"), F.col("path").alias("_path"))
         further = F.concat("path", F.coalesce("_path", _no_steps()))
-        joined = nodes.join(ahead, F.col("up") == F.col("_node"), "left")
+        joined = nodes.join(dealt(ahead, _row_bytes(steps)), F.col("up") == F.col("_node"), "left")
         longer = materialize(joined.select("node", F.col("_up").alias("up"), further.alias("path")), "merkle-jump")
         release(nodes)
-        nodes = longer
-    return nodes
+        nodes, steps = longer, 2 * steps
 
 
 def _steps(levels: list[DataFrame]) -> DataFrame:
@@ -162,13 +179,15 @@ def _inner_paths(levels: list[DataFrame], above: list[DataFrame]) -> DataFrame:
     links = steps.select("node", F.when(crosses, outer).otherwise(F.col("up")).alias("up"), slot.alias("slot"), "run")
     links = materialize(links, "merkle-links")
     # A node's first segment is its parent's run and its own place there.
-    runs = links.select(F.col("node").alias("_node"), F.col("run").alias("_run"))
+    parents = links.where("node.level > 1 or node.tree < 0")
+    runs = dealt(parents.select(F.col("node").alias("_node"), F.col("run").alias("_run")), _row_bytes(1))
     segment = F.array(F.struct(F.col("slot"), F.col("_run").alias("run")).cast(_STEP))
     first = links.join(runs, F.col("up") == F.col("_node"), "left").select(
         "node", "up", F.when(F.col("up").isNotNull(), segment).otherwise(_no_steps()).alias("path")
     )
     jumped = jump(first)
-    found = materialize(jumped.join(links.select(F.col("node").alias("_node"), "run"), F.col("node") == F.col("_node")).select("_node", "run", "path"), "merkle-paths")
+    below = dealt(links.select(F.col("node").alias("_node"), "run"), _row_bytes(1))
+    found = materialize(jumped.join(below, F.col("node") == F.col("_node")).select("_node", "run", "path"), "merkle-paths")
     release(links, jumped)
     return found
 
@@ -181,7 +200,8 @@ def manifest(documents: DataFrame) -> DataFrame:
     sources = materialize(placed.where("place = 0").select("source", F.lit(0).alias("all")), "merkle-sources")
     trees, more = numbered(sources, "all", "source")
     trees = materialize(trees.select(F.col("source").alias("_source"), F.col("place").alias("tree")), "merkle-trees")
-    leafs = placed.join(trees, F.col("source").eqNullSafe(F.col("_source"))).select(
+    name_bytes = F.coalesce(F.octet_length("_source"), F.lit(0))
+    leafs = placed.join(dealt(trees, name_bytes + 64), F.col("source").eqNullSafe(F.col("_source"))).select(
         "doc_id", "tree", "place", F.col("group_size").alias("size"), "leaf", "tampered"
     )
     leafs = materialize(leafs, "merkle-placed")
@@ -195,7 +215,7 @@ def manifest(documents: DataFrame) -> DataFrame:
     )
     roots, above = _forest(top, "root")
     root = roots.first()  # one row, or none without documents
-    own = leafs.join(subroots, "tree").withColumn("root", F.lit(root.hash if root else None).cast("string"))
+    own = leafs.join(dealt(subroots, _row_bytes(0)), "tree").withColumn("root", F.lit(root.hash if root else None).cast("string"))
     if not levels and not above:
         return own.select("doc_id", "leaf", "tampered", "subroot", "root", _no_steps().alias("path"))
     paths = _inner_paths(levels, above)
@@ -209,6 +229,7 @@ def manifest(documents: DataFrame) -> DataFrame:
     own = own.withColumn("up", parent).withColumn("slot", slot.cast("int"))
     step = F.array(F.struct("slot", "run").cast(_STEP))
     path = F.when(F.col("_node").isNotNull(), F.concat(step, F.col("path"))).otherwise(_no_steps())
+    paths = dealt(paths, _row_bytes(1 + len(levels) + len(above)))
     joined = own.join(paths, F.col("up") == F.col("_node"), "left")
     return joined.select("doc_id", "leaf", "tampered", "subroot", "root", path.alias("path"))
 

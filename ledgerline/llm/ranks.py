@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialize
+from ledgerline.llm.common import dealt, materialize
 
 
 def numbered(rows: DataFrame, group: str, *order: str) -> tuple[DataFrame, list[DataFrame]]:
@@ -33,5 +33,6 @@ def numbered(rows: DataFrame, group: str, *order: str) -> tuple[DataFrame, list[
     # A row for each group in each range: few beside the rows, or as many where every group is small.
     ranges = materialize(ranges, "ranks-ranges")
     match = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_in"))
-    placed = own.join(ranges, match).withColumn("place", F.col("_number") + F.col("_move"))
+    name_bytes = F.coalesce(F.octet_length(F.col("_group").cast("string")), F.lit(0))
+    placed = own.join(dealt(ranges, name_bytes + 64), match).withColumn("place", F.col("_number") + F.col("_move"))
     return placed.drop("_number", "_range", "_group", "_in", "_move"), [own, ranges]

@@ -101,6 +101,39 @@ def test_empty_table(spark):
     assert merkle.verify(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("limit, strategy", [(0, "merge"), (1 << 20, "broadcast")])
+def test_paths_are_not_broadcast_by_the_size_of_their_files(spark, monkeypatch, limit, strategy):
+    """Files hold repeated hashes packed, so that Spark takes long paths for short ones."""
+    from ledgerline.llm import common
+
+    docs = [(i, "big", "en", i, f"Text {i}") for i in range(5000)] + [(i, f"s{i % 300}", "de", i, "x") for i in range(1000)]
+    real, plans = merkle.materialize, []
+
+    def noted(df, purpose):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        if purpose == "merkle-jump" and "Join" in plan:
+            plans.append(plan)
+        return real(df, purpose)
+
+    monkeypatch.setattr(merkle, "materialize", noted)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit, raising=False)
+    found = merkle.verify(spark.createDataFrame(docs, SCHEMA).repartition(3))
+    assert rows(found, *COLUMNS) == brute_force(docs)
+    assert len(plans) >= 4 and all(f"strategy={strategy}" in x for x in plans)
+    if not limit:
+        found.collect()
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_turn_joins_only_nodes_that_others_point_to(spark, monkeypatch):
+    docs = [(i, "big", "en", i, f"Text {i}") for i in range(5000)]
+    real, n = merkle.dealt, []
+    monkeypatch.setattr(merkle, "dealt", lambda rows, size: n.append(rows.count() if "_path" in rows.columns else None) or real(rows, size))
+    found = merkle.verify(spark.createDataFrame(docs, SCHEMA).repartition(3))
+    assert [x for x in n if x is not None] == [23, 3]  # of 336 inner nodes: 313, 20, 2 and 1 a level
+    assert rows(found, *COLUMNS) == brute_force(docs)
+
+
 def test_a_run_leaves_only_what_its_result_reads(spark, tmp_path):
     import glob
     import os
