@@ -128,14 +128,21 @@ def accepted(flagged: DataFrame, key: str | None = None, newest: Column | None =
     return one_per_key(sound, [key], order + [F.col(name).asc() for name in sound.columns if name != key])
 
 
-def rejected(flagged: DataFrame, key: str | None = None, newest: Column | None = None) -> DataFrame:
-    """Every row that ``accepted`` leaves out, with reason and number of equal rows."""
+def rejected(
+    flagged: DataFrame, key: str | None = None, newest: Column | None = None, kept: DataFrame | None = None
+) -> DataFrame:
+    """Every row that ``accepted`` leaves out, with reason and number of equal rows.
+
+    ``kept`` is what ``accepted`` gave, where it is written already and need not be
+    made again.
+    """
     broken = flagged.where(F.col(REASON).isNotNull())
     broken = broken.groupBy(*broken.columns).agg(F.count("*").alias("copies"))
     if key is None:
         return broken
     sound = _sound(flagged)
-    repeats = surplus(sound, accepted(flagged, key, newest)).withColumn(REASON, F.lit(DUPLICATE))
+    kept = accepted(flagged, key, newest) if kept is None else kept
+    repeats = surplus(sound, kept).withColumn(REASON, F.lit(DUPLICATE))
     return broken.unionByName(repeats, allowMissingColumns=True)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.functions import columns as fn
 from ledgerline.operators import clean, quality
-from ledgerline.session import shared_folder
+from ledgerline.session import shared_folder, shuffles_removed
 from ledgerline.sinks import files
 from ledgerline.sources import json
 
@@ -64,7 +64,7 @@ def _copy(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     A delivery is parsed once and not again for every output made from it.
     """
     path = shared_folder(df.sparkSession, f"staged-{name}")
-    files.write_table(df, path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -171,23 +171,25 @@ def load_loans(
         copies.append(path)
         return frame
 
-    flagged = copy(quality.flag(json.read_loans(spark, documents, multi_line), quality.loan_rules()), "loan")
-    try:
-        quality.check_lines(flagged)
-        report = quality.load_report(flagged, key)
-        quality.check_reject_rate(report, most_rejected)
-        loans = copy(quality.accepted(flagged, key), "loan-accepted")
-        named = loans.count()  # from the files' footers
-        # Written now: after the insertion every loan of the delivery is in the table.
-        known = copy(quality.already_stored(loans, spark.table(table), key, named), "loan-known")
-        left_out = known.withColumns({quality.REASON: F.lit(quality.STORED), "copies": F.lit(1).cast("bigint")})
-        files.publish(quality.rejected(flagged, key).unionByName(left_out, allowMissingColumns=True), rejects)
-        files.insert_loans(quality.new_only(loans, known, key, named), table)
-        found = known.agg(F.count("*").alias("n")).select(
-            F.stack(F.lit(2), F.lit(quality.STORED), F.col("n"), F.lit("accepted"), -F.col("n")).alias("outcome", "rows")
-        )
-        counted = report.unionByName(found).groupBy("outcome").agg(F.sum("rows").alias("rows"))
-        return _kept(counted.where("rows > 0 or outcome in ('read', 'accepted')"))
-    finally:
-        for path in copies:
-            files.remove(spark, path)
+    with shuffles_removed(spark):
+        try:
+            flagged = copy(quality.flag(json.read_loans(spark, documents, multi_line), quality.loan_rules()), "loan")
+            quality.check_lines(flagged)
+            report = _kept(quality.load_report(flagged, key))
+            quality.check_reject_rate(report, most_rejected)
+            loans = copy(quality.accepted(flagged, key), "loan-accepted")
+            named = loans.count()  # from the files' footers
+            # Written now: after the insertion every loan of the delivery is in the table.
+            known = copy(quality.already_stored(loans, spark.table(table), key, named), "loan-known")
+            left_out = known.withColumns({quality.REASON: F.lit(quality.STORED), "copies": F.lit(1).cast("bigint")})
+            rejects_now = quality.rejected(flagged, key, kept=loans)
+            files.publish(rejects_now.unionByName(left_out, allowMissingColumns=True), rejects)
+            files.insert_loans(quality.new_only(loans, known, key, named), table)
+            found = known.agg(F.count("*").alias("n")).select(
+                F.stack(F.lit(2), F.lit(quality.STORED), F.col("n"), F.lit("accepted"), -F.col("n")).alias("outcome", "rows")
+            )
+            counted = report.unionByName(found).groupBy("outcome").agg(F.sum("rows").alias("rows"))
+            return _kept(counted.where("rows > 0 or outcome in ('read', 'accepted')"))
+        finally:
+            for path in copies:
+                files.remove(spark, path)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+import time
 from pathlib import Path
 
 import pytest
@@ -219,3 +220,49 @@ def test_a_large_load_of_loans_broadcasts_no_keys(spark, tmp_path, monkeypatch):
         assert not [x for x in found[plans:] if "Broadcast" in plan(x)]
     assert sorted(r.Application_ID for r in spark.table("loan_many").collect()) == [f"LP{n}" for n in range(5)]
     spark.sql("DROP TABLE loan_many")
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {p.name for folder in folders for p in Path(str(folder)).rglob("shuffle_*.data")}
+
+
+def test_a_load_of_loans_leaves_no_shuffle_files(spark, tmp_path):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    files.create_loan_table(spark, "loan_tidy", str(tmp_path / "table"))
+    path = write(tmp_path / "l.json", [[{"Application_ID": f"LP{n % 30}", "Income": str(n % 7)} for n in range(100)]])
+    before, was = shuffle_files(spark), spark.conf.get(setting, None)
+    report = etl.load_loans(spark, path, "loan_tidy", str(tmp_path / "rejects"))
+    for _ in range(50):  # they go in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(setting, None) == was
+    assert outcomes(report) == {"read": 100, "accepted": 30, "duplicate_key": 70}
+    assert files.read_current(spark, str(tmp_path / "rejects")).agg(F.sum("copies")).first()[0] == 70
+    spark.sql("DROP TABLE loan_tidy")
+
+
+def test_the_documents_of_the_loan_queries_are_packed_and_go_after_their_load(spark, monkeypatch):
+    from ledgerline import schemas
+    from ledgerline.plans import queries
+
+    own = {"Application_ID": "concat('LP', lpad(id div 2, 12, '0'))", "Credit_History": "'1'"}
+    loans = lambda n: spark.range(n).selectExpr(*(f"{own.get(c, repr(c[:8]))} AS {c}" for c in schemas.LOAN_COLUMNS))
+    monkeypatch.setattr(queries.v, "earlier_loans", lambda *_: loans(2000).distinct())
+    monkeypatch.setattr(queries.v, "loan_feed", lambda *_: loans(6000))
+    real, found = etl.load_loans, []
+
+    def noted(spark, documents, *args, **more):
+        parts = [p.stat().st_size for p in Path(documents.removeprefix("file:")).glob("part-*")]
+        found.append((documents, sum(parts), sum(len(r.value) for r in spark.read.text(documents).collect())))
+        return real(spark, documents, *args, **more)
+
+    monkeypatch.setattr(etl, "load_loans", noted)
+    report = outcomes(queries.loan_load_report(spark, "unused"))
+    assert report == {"read": 6000, "accepted": 2000, "already_stored": 1000, "duplicate_key": 3000}
+    assert len(found) == 2
+    for documents, packed, plain in found:
+        assert packed * 5 < plain
+        assert not Path(documents.removeprefix("file:")).exists()

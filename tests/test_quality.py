@@ -227,3 +227,13 @@ def test_many_keys_are_not_broadcast(spark, tmp_path):
         few, many = (question(batch, stored, "Application_ID", named) for named in (5000, q.MOST_NAMED + 1))
         assert "BroadcastHashJoin" in final_plan(few) and "Broadcast" not in final_plan(many)
         assert sorted(few.collect()) == sorted(many.collect()) and many.count() == n
+
+
+def test_accepted_rows_that_are_written_are_not_made_again(spark, monkeypatch):
+    rows = [("LP1", "a", None), ("LP1", "b", None), ("LP1", "b", None), ("LP2", "a", None), (None, "a", "missing:Application_ID")] + [("LP3", "c", None)] * 3
+    flagged = spark.createDataFrame(rows, "Application_ID string, Income string, reject_reason string")
+    want = sorted(map(tuple, q.rejected(flagged, "Application_ID").collect()), key=str)
+    kept = q.accepted(flagged, "Application_ID").localCheckpoint()
+    monkeypatch.setattr(q, "accepted", None)
+    assert sorted(map(tuple, q.rejected(flagged, "Application_ID", kept=kept).collect()), key=str) == want
+    assert [r[3] for r in want] == [2, 2, 1]
